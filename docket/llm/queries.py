@@ -5,8 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, token_count
-from .common import table
+from . import bpe_codec, token_count, token_ids
+from .common import shared_dir, table
+
+
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_ids.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), shared_dir(spark), end_id=2)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +23,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
 }
