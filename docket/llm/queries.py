@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, token_count, token_ids
+from . import bpe_codec, quality, token_count, token_ids, toxicity
 from .common import shared_dir, table
 
 
@@ -18,14 +18,26 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, docs, table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=False)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
+    "op3_quality": op3_quality,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
