@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, quality, token_count, token_ids, toxicity
+from . import bpe_codec, mixing, quality, token_count, token_ids, toxicity
 from .common import shared_dir, table
 
 
@@ -23,6 +23,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, docs, table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=False)
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
     "op3_quality": op3_quality,
+    "op4_mixing": op4_mixing,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_toxicity": op9_toxicity,
 }
