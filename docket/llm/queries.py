@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, mixing, quality, token_count, token_ids, toxicity
+from . import bpe_codec, mixing, quality, secrets, token_count, token_ids, toxicity
 from .common import shared_dir, table
 
 
@@ -27,6 +27,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.default_forest(spark))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=False)
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
+    "op5_secret_scan": op5_secret_scan,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_toxicity": op9_toxicity,
 }
