@@ -5,8 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,3 +105,33 @@ def components(edges: DataFrame, name: str = "cc", broadcast_rows: int = 200_000
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """(key, rows) of each run of equal keys in a sorted partition; one run is held at a time."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        values = list(zip(*(b.column(k).to_pylist() for k in keys), strict=True))
+        start = 0
+        for k in range(len(values) + 1):
+            if k < len(values) and values[k] == key:
+                continue
+            if k > start:
+                held.append(b.slice(start, k - start))
+            start = k
+            if k < len(values):
+                if held:
+                    yield key, pa.Table.from_batches(held)
+                key, held = values[k], []
+    if held:
+        yield key, pa.Table.from_batches(held)
+
+
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """A column of lists of equal length, without nulls, as a matrix."""
+    flat = column.combine_chunks()
+    values = flat.flatten().to_numpy(zero_copy_only=False)
+    return values.reshape(len(flat), -1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, mixing, quality, secrets, token_count, token_ids, toxicity
+from . import bpe_codec, embedding_dedup, mixing, quality, secrets, token_count, token_ids, topk_search, toxicity
 from .common import shared_dir, table
 
 
@@ -35,11 +35,19 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=False)
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), every=50)
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
@@ -47,7 +55,9 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_secret_scan": op5_secret_scan,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
 ORACLE: dict[str, str] = {}
