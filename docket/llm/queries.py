@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, embedding_dedup, mixing, quality, secrets, token_count, token_ids, topk_search, toxicity
+from . import bpe_codec, embedding_dedup, jaccard_join, mixing, quality, secrets, token_count, token_ids, topk_search, toxicity
 from .common import shared_dir, table
 
 
@@ -35,6 +35,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), keep_ids=False)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir, "documents"))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_secret_scan": op5_secret_scan,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_exact_top_k": op10_exact_top_k,
