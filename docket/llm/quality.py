@@ -171,6 +171,21 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     return out.select(F.col("k.id").alias(id_col), held_out("k.id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *(F.col(f"k.{c}") for c in keep))
 
 
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of docs that score at least threshold, with all their columns."""
+    s = model.settings
+    shared = docs.sparkSession.sparkContext.broadcast(model.weights())
+    whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("k"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = Scorer(shared.value, s).score
+        for b in batches:
+            good = pa.array([score(t.as_py()) >= threshold for t in b.column(0).field(text_col)], pa.bool_())
+            yield b.filter(good)
+
+    return whole.mapInArrow(run, whole.schema).select("k.*")
+
+
 def classify(docs: DataFrame, learn_from: DataFrame, labels: DataFrame, s: Settings = Settings(), **kw) -> DataFrame:  # noqa: B008
     """Train on learn_from and labels, score docs."""
     return score_documents(docs, train(labelled_sample(learn_from, labels, s), s), **kw)
