@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed value: white space as the sources' language has it (with no-break space and byte order mark, without U+0085).
 WS = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
@@ -32,7 +33,7 @@ def word_count(normal: Column) -> Column:
     return F.size(F.split(normal, " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())  # a type object: this module is imported before there is a session
 def _nfkd(s: pd.Series) -> pd.Series:
     return s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKD", t))
 
