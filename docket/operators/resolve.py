@@ -97,7 +97,7 @@ def new_ids(new: DataFrame, taken: DataFrame, order: str = "cand") -> DataFrame:
 
     new: (order, year); taken: (id). Four digits at least.
     """
-    numbers = taken.select(F.regexp_extract("id", r"^a-(\d{4})-0*(\d+)$", 1).alias("year"), F.regexp_extract("id", r"^a-(\d{4})-0*(\d+)$", 2).cast("long").alias("k")).where("k is not null").distinct()
+    numbers = taken.select(F.regexp_extract("id", r"^a-(\d{4})-0*(\d+)$", 1).alias("year"), F.regexp_extract("id", r"^a-(\d{4})-0*(\d+)$", 2).try_cast("long").alias("k")).where("k is not null").distinct()
     wanted = new.groupBy("year").agg(F.count("*").alias("n"))
     used = numbers.groupBy("year").agg(F.count("*").alias("m"))
     span = wanted.join(used, "year", "left").select("year", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") + F.coalesce("m", F.lit(0)))).alias("k"))
