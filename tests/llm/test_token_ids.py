@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,15 +14,19 @@ from docket.llm import token_ids
 from docket.llm.common import shared_dir
 
 PATH = P.path("word_bpe_49k.json")
-PARTS = [" ", "  ", "\n", "\t", "Ab", "c's", "'LL", "x1", "É", "é", "́", "İ", "Σ", "日本", "<|endoftext|>", "!", "\xa0", "\x1c", "the", "\x00", "ǆ"]
+PARTS = [" ", "  ", "\n", "\t", "Ab", "c's", "'LL", "x1", "É", "é", "́", "İ", "Σ", "日本", "<|endoftext|>", "!", "\xa0", "\x1c", "the", "\x00", "ǆ", "€", "...", ">", "|", "a.b", "¿", "Ñ,"]
 
 
-@given(st.lists(st.integers(0, 2**32 - 1)))
+@given(st.lists(st.lists(st.integers(0, 2**32 - 1)), max_size=6))
 @settings(max_examples=200, deadline=None)
-def test_round_trip(ranks):
-    c, d = token_ids.pack(np.array(ranks, np.uint32))
-    assert len(c) == -(-len(ranks) // 4)
-    assert token_ids.unpack(c, d, len(ranks)).tolist() == ranks
+def test_round_trip(lists):
+    n = np.array([len(x) for x in lists], np.int64)
+    flat = np.array([r for x in lists for r in x], np.uint32)
+    c, d, sizes = token_ids.pack(flat, n)
+    assert len(c) == (-(-n // 4)).sum() and len(d) == sizes.sum()
+    assert token_ids.unpack(c, d, n).tolist() == flat.tolist()
+    for x, own_c, own_d in zip(lists, token_ids.cut(c, -(-n // 4)), token_ids.cut(d, sizes), strict=True):
+        assert token_ids.unpack(own_c, own_d, np.array([len(x)])).tolist() == x
 
 
 def texts(n):
@@ -32,8 +37,9 @@ def texts(n):
 def test_words_equal_library():
     t, w = Tokenizer.from_file(PATH), token_ids.Words(PATH)
     some = texts(3000)
-    for x, ids in zip(some, w.encode(some), strict=True):
-        assert ids.tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
+    ids, n = w.encode(pa.array(some))
+    for x, own in zip(some, np.split(ids, np.cumsum(n)[:-1]), strict=True):
+        assert own.tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
 
 
 def test_files(spark, monkeypatch):
