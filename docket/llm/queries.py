@@ -65,4 +65,33 @@ QUERIES = {
     "op10_exact_top_k": op10_exact_top_k,
 }
 
-ORACLE: dict[str, str] = {}
+_REACH = """r(id, c) as (select id, id from nodes union select r.id, e.b from r join e on r.c = e.a)"""
+
+ORACLE: dict[str, str] = {
+    "op7_jaccard_join": rf"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+s as (select distinct doc_id, unnest(case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s from w),
+n as (select doc_id, count(*) n from s group by doc_id),
+p as (select x.doc_id a, y.doc_id b, count(*) k from s x join s y on x.s = y.s and x.doc_id < y.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 75 * (x.n + y.n - k)),
+e as (select a, b from l union all select b, a from l),
+nodes as (select doc_id id from documents),
+{_REACH}
+select id doc_id, coalesce(any_value(n), 0)::bigint n_shingles, min(c) component_id from r left join n on n.doc_id = id group by id""",
+    "op8_embedding_near_dedup": rf"""
+with recursive v as (select vec_id, label, embedding::double[] v, sqrt(list_inner_product(embedding::double[], embedding::double[])) m from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+l as (select x.vec_id a, y.vec_id b from v x join v y on x.label = y.label and x.vec_id < y.vec_id where x.m > 0 and y.m > 0 and list_inner_product(x.v, y.v) / (x.m * y.m) >= 0.98),
+e as (select a, b from l union all select b, a from l),
+nodes as (select vec_id id from embeddings),
+k as (select a, count(*) k from e group by a),
+{_REACH}
+select id vec_id, coalesce(any_value(k), 0)::bigint n_links, min(c) component_id, id = min(c) kept from r left join k on k.a = id group by id""",
+    "op10_exact_top_k": """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id query_id, d.vec_id, list_inner_product(q.v, d.v)::bigint score from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s
+qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5""",
+}
