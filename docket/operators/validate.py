@@ -25,6 +25,12 @@ def _list(v: Column, path: str) -> Column:
     return F.when(_kind(member) == "ARRAY", F.try_variant_get(v, path, "array<variant>"))
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once: the optimizer would copy them into each of their uses, but not across a generator."""
+    one = F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias("_once")
+    return df.select(*df.columns, one).select(*df.columns, *(F.col(f"_once.{n}").alias(n) for n in columns))
+
+
 def parse_cases(answers: DataFrame, keys: list[str], raw: str = "raw") -> tuple[DataFrame, DataFrame]:
     """(cases, errors) of models' answers.
 
@@ -32,8 +38,8 @@ def parse_cases(answers: DataFrame, keys: list[str], raw: str = "raw") -> tuple[
     error). An answer with errors still gives its good cases. A case with one bad step
     is left out whole. Members that are missing have their defaults.
     """
-    v = strict_json(without_fences(F.col(raw)))
-    top = answers.select(*keys, v.alias("v")).withColumn("list", _list(F.col("v"), "$.arenden"))
+    top = _once(answers.select(*keys, raw), v=strict_json(without_fences(F.col(raw))))
+    top = _once(top, list=_list(F.col("v"), "$.arenden"))
     whole = (
         F.when(F.col("v").isNull(), F.lit("invalid JSON"))
         .when(F.coalesce(_kind(F.col("v")), F.lit("")) != "OBJECT", F.lit("no cases in the answer"))
@@ -44,7 +50,7 @@ def parse_cases(answers: DataFrame, keys: list[str], raw: str = "raw") -> tuple[
     top_errors = top.select(*keys, none.alias("case_pos"), none.alias("step_pos"), whole.alias("error")).where("error is not null")
 
     case = top.select(*keys, F.posexplode("list").alias("case_pos", "c"))
-    case = case.withColumn("title", _string(F.col("c"), "$.title")).withColumn("initiativ_typ", _string(F.col("c"), "$.initiativ_typ")).withColumn("step_list", _list(F.col("c"), "$.steps"))
+    case = _once(case, title=_string(F.col("c"), "$.title"), initiativ_typ=_string(F.col("c"), "$.initiativ_typ"), step_list=_list(F.col("c"), "$.steps"))
     bad_case = (
         F.when(F.coalesce(_kind(F.col("c")), F.lit("")) != "OBJECT", F.lit("not an object"))
         .when(is_blank(F.col("title")), F.lit("no title"))
@@ -60,7 +66,8 @@ def parse_cases(answers: DataFrame, keys: list[str], raw: str = "raw") -> tuple[
             .when(~F.coalesce(date.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.lit(False)), F.lit("bad date"))
         )
 
-    case = case.withColumn("case_error", bad_case).withColumn("step_errors", F.when(F.col("case_error").isNull(), F.transform("step_list", bad_step)))
+    case = _once(case, case_error=bad_case)
+    case = _once(case, step_errors=F.when(F.col("case_error").isNull(), F.transform("step_list", bad_step)))
     spoilt = F.exists("step_errors", lambda e: e.isNotNull())
     steps = case.where("case_error is null").select(*keys, "case_pos", F.posexplode("step_errors").alias("step_pos", "error")).where("error is not null")
     dropped = case.where(F.col("case_error").isNotNull() | spoilt)
