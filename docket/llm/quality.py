@@ -30,10 +30,10 @@ class Settings:
     dim: int = 8
     low: int = 3  # lengths of character n-grams, word ends marked
     high: int = 4
-    epochs: int = 6
+    epochs: int = 8
     rate: float = 1.0
     seed: int = 11
-    sample: int = 3000  # labelled documents that are learned from
+    sample: int = 1500  # labelled documents that are learned from
 
 
 def features(word: str, s: Settings) -> list[int]:
@@ -62,19 +62,20 @@ class Model:
 
 def train(labelled: Iterable[tuple[str | None, int]], s: Settings = Settings()) -> Model:  # noqa: B008
     """Learn from (text, label) pairs; without any, every text scores one half."""
-    known: dict[str, list[int]] = {}
+    known: dict[str, np.ndarray] = {}
     bags = []
     for text, label in labelled:
         words = (text or "").split()
         bag = Counter({0: 1, 1: repeats(words)})
         for w, n in Counter(words).items():
             if w not in known:
-                known[w] = features(w, s)
-            for f in known[w]:
+                known[w] = np.array(features(w, s), np.int32)
+            for f in known[w].tolist():
                 bag[f] += n
-        ids = np.fromiter(bag.keys(), np.int64)
+        ids = np.fromiter(bag.keys(), np.int32)
         n = np.fromiter(bag.values(), np.float64)
         bags.append((ids, (n / n.sum()).astype(np.float32), int(label)))
+    del known
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
     layer = np.zeros((s.dim, 2), np.float32)
