@@ -64,10 +64,12 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
-def components(edges: DataFrame, name: str = "cc", broadcast_rows: int = 200_000) -> DataFrame:
+def components(edges: DataFrame, name: str = "cc", broadcast_rows: int = 200_000, at_once: int = 500_000) -> DataFrame:
     """(node, root) for every node of the edges (a, b): root is the smallest node it reaches.
 
-    Alternates large-star and small-star steps until the edges stay the same.
+    Up to at_once different edges (a few megabytes) are followed by one task. Beyond
+    that it takes rounds of joins, which give the same: alternating large-star and
+    small-star steps until the edges stay the same.
     The smallest neighbours come from a grouped minimum (combined before the
     shuffle) and are joined back from a written table, so that a node with very
     many neighbours is split by the join rather than gathered in one task.
@@ -92,6 +94,9 @@ def components(edges: DataFrame, name: str = "cc", broadcast_rows: int = 200_000
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     e = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}-edges")
+    if fits(e, at_once):
+        kind = e.schema["a"].dataType.simpleString()
+        return written(e.coalesce(1).mapInArrow(_follow, f"node {kind}, root {kind}"), f"{name}-roots")
     seen = mark(e)
     while seen[0]:
         e = star(star(e, True), False)
@@ -103,6 +108,29 @@ def components(edges: DataFrame, name: str = "cc", broadcast_rows: int = 200_000
     return leaves.unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over all edges of a task, in which the smaller root wins."""
+    parent: dict = {}
+
+    def root(x):  # noqa: ANN001, ANN202
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    types = None
+    for b in batches:
+        types = b.schema.field(0).type
+        for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            parent.setdefault(x, x)
+            parent.setdefault(y, y)
+            p, q = root(x), root(y)
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+    if parent:
+        nodes = list(parent)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, types), pa.array([root(x) for x in nodes], types)], ["node", "root"])
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
