@@ -2,16 +2,17 @@
 
 Two documents whose sets have Jaccard similarity t or more share at least l of the
 first |x| - ceil(t |x|) + l elements of either set, in any order common to all sets.
-The order is by a hash, but shingles that a sample finds in several documents go
-last, so that prefixes hold rare ones. A document's l grows with the candidates that
+The order is by a hash, but shingles that several documents of a sample have go last,
+and so do those that are found to bring too many documents together, so that prefixes
+hold rare ones. A document's l grows with the candidates that
 its prefix would bring: a longer prefix, but as many shared elements before a pair
 is verified.
 
 Exact copies are one class from the start. To keep the work linear inside large
 groups of near copies, links are found in two steps:
 
-1. Every document is verified against the smallest one that shares one of its first
-   few elements (a star for each element, not all pairs). Verified links are merged
+1. Every document is verified against the smallest one that shares one of its
+   smallest hashes (a star for each of them, not all pairs). Verified links are merged
    into components.
 2. Prefixes of all documents are joined, but an element that only one component has
    is left out, and only pairs from different components are counted and verified.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, components, fits, written
+from .common import bounded, components, runs, written
 
 #: Bytes that separate words.
 SPACES = (9, 10, 11, 12, 13, 32)
@@ -41,11 +42,17 @@ class Settings:
     percent: int = 75
     words: int = 5
     longest: int = 4  # largest l
-    firsts: int = 3  # elements whose stars step 1 follows
+    firsts: int = 3  # smallest hashes of a set whose stars step 1 follows
     sample: int = 10_000  # documents in which common shingles are looked for
-    common: int = 500_000  # common shingles that go last, at most
+    common: int = 200_000  # common shingles that go last, at most
+    rounds: int = 3  # times that prefixes may be made anew
+    leaders: int = 400  # documents whose elements all go last, at a time
+    crowd: int = 6  # documents that may share an element, if meetings are too many
+    meetings: int = 4  # pairs of documents meeting in an element, for each document
     cost: int = 64  # candidates from which a document's prefix is lengthened
-    broadcast: int = 2_000_000  # rows of ids that may be broadcast
+    block: int = 512  # documents of a cluster that are compared in one place
+    broadcast: int = 600_000  # rows of ids that may be broadcast
+    elements: int = 1_500_000  # elements that may be broadcast
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -78,7 +85,7 @@ class Shingler:
 
     def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
+            size = n + n // 4
             inverse = pow(self.BASE, -1, 1 << 64)
             for name, base in (("up", self.BASE), ("down", inverse)):
                 steps = np.full(size, base, np.uint64)
@@ -118,8 +125,8 @@ class Shingler:
         return out
 
 
-def shingled(texts: pa.Array, s: Shingler, size: int = 1 << 22) -> Iterator[np.ndarray]:
-    """The sets of a column of texts, a few megabytes at a time; null texts have empty sets."""
+def shingled(texts: pa.Array, s: Shingler, size: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The sets of a column of texts, a megabyte at a time; null texts have empty sets."""
     part, held = [], 0
     with np.errstate(over="ignore"):
         for t in texts.cast(pa.binary()).to_pylist():
@@ -132,37 +139,49 @@ def shingled(texts: pa.Array, s: Shingler, size: int = 1 << 22) -> Iterator[np.n
             yield from s.sets(part)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that few sets are held at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def needed(n: int, percent: int) -> int:
     """The least intersection with which a set of n elements can be similar enough."""
     return -(-percent * n // 100)
 
 
 def signatures(docs: DataFrame, common: np.ndarray | None, s: Settings) -> DataFrame:
-    """(id, n, digest, prefix) of (id, t): set size, a digest of the set, and the elements of its longest prefix in order."""
+    """(id, n, digest, least, prefix) of (id, t): set size, a digest of the set, its smallest hashes, and the elements of its longest prefix in order."""
     kind = docs.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(common) if common is not None and len(common) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(s.words)
         late = shared.value if shared else None
-        for b in batches:
-            n, digest, prefix = [], [], []
+        for b in sliced(batches):
+            n, digest, prefix, least = [], [], [], []
             for own in shingled(b.column("t"), shingler):
                 size = len(own)
                 n.append(size)
                 with np.errstate(over="ignore"):
                     a, c = int(own.sum(dtype=np.uint64)), int(mixed(own ^ np.uint64(Shingler.BASE)).sum(dtype=np.uint64))
                 digest.append(f"{size:x}.{a:x}.{c:x}")
+                least.append(own[: s.firsts].view(np.int64))
                 keep = size - needed(size, s.percent) + s.longest
                 if late is not None and size:
                     at = np.minimum(np.searchsorted(late, own), len(late) - 1)
                     own = np.concatenate([own[late[at] != own], own[late[at] == own]])
                 prefix.append(own[: min(keep, size)].view(np.int64))
-            values = pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64))
-            ends = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int32()), pa.array(digest, pa.string()), pa.ListArray.from_arrays(ends, values)], ["id", "n", "digest", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int32()), pa.array(digest, pa.string()), lists(least), lists(prefix)], ["id", "n", "digest", "least", "prefix"])
+
+    return docs.mapInArrow(run, f"id {kind}, n int, digest string, least array<long>, prefix array<long>")
+
 
-    return docs.mapInArrow(run, f"id {kind}, n int, digest string, prefix array<long>")
+def lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    """Arrays of 64-bit values as a column of lists."""
+    ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32))
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64)))
 
 
 def common_shingles(docs: DataFrame, n_docs: int, s: Settings) -> np.ndarray:
@@ -186,32 +205,87 @@ def common_shingles(docs: DataFrame, n_docs: int, s: Settings) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
     counted = chosen.select("t").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n >= 3")
-    rows = counted.orderBy(F.col("n").desc(), "h").limit(s.common).select("h").toArrow()
-    return np.sort(rows.column("h").to_numpy().view(np.uint64))
+    return hashes(counted.orderBy(F.col("n").desc(), "h").limit(s.common))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough. Sets are computed again from the texts of the pairs' documents alone."""
+    """The pairs (a, b) whose whole sets are similar enough.
+
+    Documents that are joined by pairs, over any number of steps, form a cluster and meet
+    in one place, so that a set travels once rather than with each of its pairs. A cluster
+    of more than s.block documents is cut into blocks, and a set goes to each block
+    that it has a pair in. Sets are computed again from the texts of these documents alone.
+    """
     kind = docs.schema["id"].dataType.simpleString()
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    clusters = written(components(pairs, "join-cluster"), "join-clusters")
+    sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / s.block).cast("int").alias("cuts"))
+    placed = written(clusters.join(sizes, "root").select(F.col("node").alias("id"), "root", F.pmod(F.xxhash64("node"), "cuts").cast("int").alias("cut")), "join-placed")
+    at = bounded(placed, s.broadcast)
+    located = pairs.join(at.select(F.col("id").alias("a"), "root", F.col("cut").alias("i")), "a").join(at.select(F.col("id").alias("b"), F.col("cut").alias("j")), "b")
+    located = written(located, "join-located")
+    group = ["root", "i", "j"]
+    wanted = located.select(F.col("a").alias("id"), *group).unionByName(located.select(F.col("b").alias("id"), *group)).distinct()
     wanted = written(wanted, "join-wanted")
-    few = fits(wanted, s.broadcast)
-    texts = docs.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+
+    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(s.words)
+        for b in sliced(batches):
+            yield pa.RecordBatch.from_arrays([b.column("id"), lists(list(shingled(b.column("t"), shingler)))], ["id", "s"])
+
+    texts = docs.join(bounded(placed.select("id"), s.broadcast), "id", "left_semi")
+    sets = texts.mapInArrow(to_sets, f"id {kind}, s array<long>").join(bounded(wanted, s.broadcast // 2), "id")
+    none = F.lit(None)
+    rows = sets.select(*group, "id", none.cast(kind).alias("b"), "s").unionByName(located.select(*group, F.col("a").alias("id"), "b", none.cast("array<long>").alias("s")))
+    dealt = rows.repartition(*group).sortWithinPartitions(*group, F.col("b").asc_nulls_first())
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, t in runs(batches, group):
+            ids, partners = t.column("id").to_pylist(), t.column("b").to_pylist()
+            column = t.column("s").combine_chunks()
+            values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+            n = sum(p is None for p in partners)
+            of: dict = {}
+            for k in range(n):  # an id whose rows differ has several sets
+                of.setdefault(ids[k], []).append(values[ends[k] : ends[k + 1]].view(np.uint64))
+            found = [(a, b) for a, b in zip(ids[n:], partners[n:], strict=True) if any(alike(x, y, s.percent) for x in of.get(a, ()) for y in of.get(b, ()))]
+            types = t.schema.field("id").type
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], types), pa.array([b for _, b in found], types)], ["a", "b"])
+
+    return dealt.mapInArrow(compare, f"a {kind}, b {kind}")
+
+
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two ascending sets are similar enough."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or 100 * len(x) < percent * len(y):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    same = int((y[at] == x).sum())
+    return 100 * same >= percent * (len(x) + len(y) - same)
+
+
+def _entries(reps: DataFrame, moved: DataFrame, s: Settings) -> DataFrame:
+    """(id, digest, n, root, h, at): the elements of every prefix with their places."""
+    owned = reps.join(bounded(moved, s.broadcast), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    return owned.select("id", "digest", "n", "root", F.posexplode("prefix").alias("at", "h"))
+
+
+def elements(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
+    """(h): all elements of a bounded number of documents, s.common at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(s.words)
-        for b in batches:
-            sets = list(shingled(b.column("t"), shingler))
-            ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32))
-            values = pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(ends, values)], ["id", "s"])
+        for b in sliced(batches):
+            for own in shingled(b.column("t"), shingler):
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["h"])
+
+    return docs.join(F.broadcast(ids), "id", "left_semi").select("t").mapInArrow(run, "h long").distinct().limit(s.common)
 
-    sets = written(texts.mapInArrow(run, f"id {kind}, s array<long>"), "join-sets")
-    left = sets.select(F.col("id").alias("a"), F.col("s").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
-    same = F.size(F.array_intersect("x", "y"))
-    return both.where(same * 100 >= (F.size("x") + F.size("y") - same) * s.percent).select("a", "b")
+
+def hashes(rows: DataFrame) -> np.ndarray:
+    """A bounded column of hashes, ascending."""
+    return np.sort(rows.select("h").toArrow().column("h").to_numpy().view(np.uint64))
 
 
 def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:  # noqa: B008
@@ -236,43 +310,75 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", te
     # Exact copies: one representative for each digest; also rows that share an id.
     usable = sigs.where("n > 0 and id is not null")
     usable = usable if once else usable.dropDuplicates(["id", "digest"])
+    row = ["id"] if once else ["id", "digest"]  # what names a text
     classes = usable.groupBy("digest").agg(F.min("id").alias("rep"), F.max("id").alias("top"))
     several = written(classes.where("rep <> top").select("digest", "rep"), "join-classes")
     several = bounded(several, s.broadcast // 8)
     copies = written(usable.select("id", "digest").join(several, "digest").where("id <> rep"), "join-copies")
-    reps = usable.join(bounded(copies.select("id", "digest"), s.broadcast // 8), ["id", "digest"], "left_anti").select("id", "n", "prefix")
+    reps = usable.join(bounded(copies.select(*row), s.broadcast), row, "left_anti")
 
-    # Step 1: stars around the smallest document of each of the first elements.
-    first = reps.select("id", "n", F.explode(F.slice("prefix", 1, s.firsts)).alias("h"))
+    # Step 1: stars around the smallest document of each of the smallest hashes (similar sets mostly share
+    # them, whereas the rare elements that prefixes begin with are those that copies don't share).
+    first = reps.select("id", "n", F.explode("least").alias("h"))
     centre = first.groupBy("h").agg(F.min("id").alias("c"), F.max("id").alias("top")).where("c <> top").select("h", "c")
     centre = written(centre, "join-centres")
     sizes = reps.select(F.col("id").alias("c"), F.col("n").alias("m"))
-    stars = first.join(bounded(centre, s.broadcast // 8), "h").where("id <> c").select("id", "c", "n").distinct()
+    stars = first.join(bounded(centre, s.elements), "h").where("id <> c").select("id", "c", "n").distinct()
     stars = written(stars.join(sizes, "c").where(F.least("n", "m") * 100 >= F.greatest("n", "m") * s.percent).select(F.col("id").alias("a"), F.col("c").alias("b")), "join-stars")
     linked = written(verified(stars, known, s), "join-linked")
     roots = written(components(linked, "join-cc1"), "join-roots")
 
     # Step 2: prefixes, an element at a time, where several components have it.
     moved = roots.where("node <> root").select(F.col("node").alias("id"), F.col("root"))
-    owned = reps.join(bounded(moved, s.broadcast), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    entries = _entries(reps, moved, s)
+
+    def in_several(e: DataFrame) -> DataFrame:
+        own = e.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("df"))
+        return written(own.where("low <> high").select("h", "df"), "join-shared")
+
+    shared = in_several(entries)
+    for _ in range(s.rounds):
+        meetings = shared.agg(F.sum(F.col("df") * (F.col("df") - 1) / 2)).first()[0] or 0
+        if meetings <= s.meetings * max(total, 1000):
+            break
+        # What too many documents have goes last as well: these elements, and the rest of what the first and
+        # the last document with one of them holds (a passage or a copied text comes as a whole).
+        crowded = shared.where(F.col("df") > s.crowd).orderBy(F.col("df").desc(), "h").limit(s.common).select("h")
+        crowded = written(crowded, "join-crowded")
+        if not len(np.setdiff1d(hashes(crowded), late)):
+            break
+        met = entries.join(bounded(crowded, s.elements), "h").groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.min_by("id", F.xxhash64("id")).alias("c"))
+        leaders = met.select(F.explode(F.array("a", "b", "c")).alias("id")).groupBy("id").agg(F.count("*").alias("k")).orderBy(F.col("k").desc(), "id").limit(s.leaders)
+        added = written(crowded.unionByName(elements(known, leaders.select("id"), s)).distinct(), "join-added")
+        late = np.union1d(late, hashes(added))
+        # prefixes that hold one of them are made anew
+        held = written(entries.join(bounded(added, s.elements), "h").select(*row).distinct(), "join-held")
+        few = bounded(held, s.broadcast)
+        anew = signatures(known.join(bounded(held.select("id").distinct(), s.broadcast), "id", "left_semi"), late, s)
+        anew = written(anew if once else anew.join(few, row, "left_semi"), "join-anew")
+        old = entries.join(few, row, "left_semi").select(*row, "h")
+        reps = reps.join(few, row, "left_anti").unionByName(anew)
+        entries = _entries(reps, moved, s)
+        # only elements that went last, or are new to a prefix, need counting again
+        fresh = _entries(anew, moved, s).select(*row, "h").join(old, [*row, "h"], "left_anti").select("h")
+        again = bounded(written(fresh.unionByName(added).distinct(), "join-again"), s.elements)
+        shared = written(shared.join(again, "h", "left_anti").unionByName(in_several(entries.join(again, "h"))), "join-shared")
     least = F.expr(f"cast((n * {s.percent}L + 99) div 100 as int)")
-    reach = F.col("n") - least + 1  # the prefix for l = 1
-    entries = owned.select("id", "n", "root", F.posexplode("prefix").alias("at", "h"), reach.alias("reach"))
-    entries = entries.select("id", "n", "root", "h", F.greatest(F.lit(1), F.col("at") - F.col("reach") + 2).cast("byte").alias("l"))
-    shared = entries.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("df")).where("low <> high").select("h", "df")
-    shared = written(shared, "join-shared")
-    entries = written(entries.join(bounded(shared, s.broadcast), "h"), "join-entries")
+    entries = written(entries.drop("digest").join(bounded(shared, s.elements), "h"), "join-entries")
     # l by estimated cost: prefixes that share l of their elements make a l-th of their meetings candidates at most
-    cost = entries.groupBy("id", "n").agg(*(F.sum(F.when(F.col("l") <= l, F.col("df") - 1).otherwise(0)).alias(f"c{l}") for l in range(1, s.longest + 1)))
+    reach = F.col("n") - least
+    cost = entries.groupBy("id", "n").agg(*(F.sum(F.when(F.col("at") < reach + l, F.col("df") - 1).otherwise(0)).alias(f"c{l}") for l in range(1, s.longest + 1)))
     chosen = F.lit(1)
     for l in range(2, s.longest + 1):
         chosen = F.when((F.col("c1") > s.cost) & (least >= l) & (F.col(f"c{l}") / l < F.least(*(F.col(f"c{k}") / k for k in range(1, l)), F.lit(1e18))), F.lit(l)).otherwise(chosen)
-    entries = written(entries.join(cost.select("id", "n", chosen.cast("byte").alias("own")), ["id", "n"]).where("l <= own"), "join-prefixes")
-    x, y = (entries.select("h", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "root", "l", "own"))) for i in (1, 2))
-    met = x.join(y, "h").where((F.col("id1") < F.col("id2")) & (F.col("root1") != F.col("root2")))
-    met = met.where(F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * s.percent)
+    entries = written(entries.join(cost.select("id", "n", chosen.alias("own")), ["id", "n"]).where(F.col("at") < reach + F.col("own")), "join-prefixes")
+    x, y = (entries.select("h", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "root", "at", "own"))) for i in (1, 2))
     both = F.least("own1", "own2")
-    met = met.where(F.greatest("l1", "l2") <= both).groupBy("id1", "id2").agg(F.count("*").alias("k"), F.first(both).alias("need")).where("k >= need")
+    # the l-th shared element of sets with enough in common leaves room for the rest in either
+    common = F.expr(f"cast(((n1 + n2) * {s.percent}L + {99 + s.percent}) div {100 + s.percent} as int)")
+    room = (F.col("at1") <= F.col("n1") - common + both - 1) & (F.col("at2") <= F.col("n2") - common + both - 1)
+    met = x.join(y, "h").where((F.col("id1") < F.col("id2")) & (F.col("root1") != F.col("root2")) & room)
+    met = met.groupBy("id1", "id2").agg(F.count("*").alias("k"), F.first(both).alias("need")).where("k >= need")
     rest = written(met.select(F.col("id1").alias("a"), F.col("id2").alias("b")), "join-pairs")
     more = verified(rest, known, s) if not rest.isEmpty() else rest
 

@@ -60,7 +60,7 @@ def corpus(seed, n=160):
     return [(i, rnd.choice([" ", "\n", " \t"]).join(t)) for i, t in zip(ids, docs, strict=True)]
 
 
-@pytest.mark.parametrize("seed,s", [(1, join.Settings()), (2, join.Settings(cost=0, firsts=1)), (3, join.Settings(cost=2, firsts=1, common=40)), (4, join.Settings(broadcast=8, cost=1, sample=20))])
+@pytest.mark.parametrize("seed,s", [(1, join.Settings()), (2, join.Settings(cost=0, firsts=1)), (3, join.Settings(cost=2, firsts=1, common=40)), (4, join.Settings(broadcast=8, cost=1, sample=20)), (6, join.Settings(meetings=0, crowd=2, sample=0, firsts=1, cost=1))])
 def test_equals_all_pairs(spark, seed, s):
     docs = corpus(seed)
     df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, n string").repartition(3)
