@@ -50,6 +50,35 @@ def check(quotes: DataFrame, sources: DataFrame, on: list[str]) -> DataFrame:
     return out.withColumn("passed", F.col("reason") == FOUND)
 
 
+def candidates(passages: DataFrame, sources: DataFrame, on: list[str], size: int = 3) -> DataFrame:
+    """passages x sources (on..., text) that can contain them at any position; none that does is left out. passages: (quote, ...).
+
+    A passage's first and last word may be parts of the source's words, those between are whole ones:
+    its rarest run of size words (or one, if it hasn't so many between) is looked up among those of the whole texts. Passages of
+    one or two words are compared with every source. Blank passages and null texts have no candidates.
+    """
+    words = F.split(normal_space(F.col("quote")), " ")
+    known = passages.where(~is_blank(F.col("quote"))).distinct()
+    known = known.withColumn("_p", F.xxhash64(*known.columns)).withColumn("_w", words)
+
+    def runs(w: Column, k: int, first: int, last: int) -> Column:
+        """Hashes of each run of k words, without the first and last words."""
+        n = F.size(w) - first - last - k + 1
+        at = F.when(n > 0, F.sequence(F.lit(first), n + first - 1)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.lit(k), F.array_join(F.slice(w, i + 1, k), " "))))
+
+    inner = F.when(F.size("_w") >= size + 2, runs(F.col("_w"), size, 1, 1)).otherwise(runs(F.col("_w"), 1, 1, 1))
+    wanted = known.where(F.size("_w") > 2).select("_p", F.explode(inner).alias("_g"))
+    w = F.split(normal_space(F.col("text")), " ")
+    bound = F.get(F.transform(F.array(w), lambda x: F.array_union(runs(x, size, 0, 0), runs(x, 1, 0, 0))), F.lit(0))
+    have = sources.select(*on, F.explode(bound).alias("_g")).join(wanted.select("_g").distinct(), "_g", "left_semi")
+    often = have.groupBy("_g").agg(F.count("*").alias("_n"))
+    rarest = wanted.join(often, "_g", "left").groupBy("_p").agg(F.min_by("_g", F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("_g"))
+    met = have.join(rarest, "_g").select(*on, "_p").distinct().join(known, "_p")
+    short = known.where(F.size("_w") <= 2).crossJoin(sources.where("text is not null").select(*on))
+    return met.unionByName(short).select(*on, *passages.columns)
+
+
 def all_passed(cases: DataFrame, checks: DataFrame, on: list[str]) -> DataFrame:
     """cases with (n_checks, passed): passed if there are checks and all of them passed."""
     by_case = checks.groupBy(*on).agg(F.count("*").alias("n_checks"), F.bool_and("passed").alias("_all"))

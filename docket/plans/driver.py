@@ -41,6 +41,20 @@ def verbatim_checks(spark: SparkSession, d: str) -> DataFrame:
     return checked.select("doc_id", "field", "passed", "reason")
 
 
+def verbatim_checks_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All of each document's text in pieces, and every benchmark passage that stands anywhere in a document."""
+    docs, bench = read(spark, d, "documents").withColumn("text", F.coalesce("text", F.lit(""))), read(spark, d, "benchmark")
+    pieces = F.transform(F.expr("sequence(0, cast(greatest(length(text) - 1, 0) div 120 as int))"), lambda k: F.struct(k.alias("k"), F.substring(F.col("text"), k * 120 + 1, F.lit(120)).alias("quote")))
+    own = docs.select("doc_id", text.normal_space(F.col("text")).alias("n"), F.explode(pieces).alias("p"))
+    reason = gates.verdict(F.col("p.quote"), text.normal_space(F.col("p.quote")), F.col("n"), F.lit(gates.DEFAULT_LIMIT))
+    own = own.select("doc_id", F.concat(F.lit("own "), F.col("p.k").cast("string")).alias("field"), reason.alias("reason"))
+    own = own.select("doc_id", "field", (F.col("reason") == gates.FOUND).alias("passed"), "reason")
+    passages = bench.select(F.concat(F.lit("passage "), F.col("item_id").cast("string")).alias("field"), F.col("text").alias("quote"))
+    met = gates.candidates(passages, docs.select("doc_id", "text"), ["doc_id"]).withColumn("word_limit", F.lit(None).cast("int"))
+    found = gates.check(met, docs.select("doc_id", "text"), ["doc_id"]).where("passed")
+    return own.unionByName(found.select("doc_id", "field", "passed", "reason"))
+
+
 def whitespace_norm(spark: SparkSession, d: str) -> DataFrame:
     n = read(spark, d, "documents").select("doc_id", text.normal_space(F.col("text")).alias("t"))
     return n.select("doc_id", F.length("t").cast("long").alias("n_chars"), text.word_count(F.col("t")).cast("long").alias("n_words"), F.md5("t").alias("digest"))
@@ -369,7 +383,7 @@ def stream_batches(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    verbatim_checks, whitespace_norm, word_limit_by_type, gate_all_of, gate_partition, link_extract_first, link_absolutize, meeting_links,
+    verbatim_checks, verbatim_checks_whole, whitespace_norm, word_limit_by_type, gate_all_of, gate_partition, link_extract_first, link_absolutize, meeting_links,
     first_match_or_null, filename_sanitize, attachment_links, unseen_anti, seen_upsert, backfill_batch, newest_batch, run_diagnostics, run_funnel,
     json_validate, case_validation, json_coerce_defaults, verify_reconcile, slug_normalize, stamp_left_join, content_hash, marker_roundtrip,
     permalink_fill, service_messages, paragraph_refs, section_scope, key_link_first, title_similarity_best, link_decision, surrogate_ids,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docket import schemas
 from docket.functions.text import normal_space
 from docket.operators import archive, gates, incremental, publish, validate
+from docket.plans import driver
 from docket.sources import landed, providers, state
 from docket.streaming import incremental as streaming
 
@@ -252,3 +253,33 @@ def test_stream(spark, tmp_path):
     run()
     assert {r.committee_slug: r.dates for r in streaming.load_seen_store(spark, f"{tmp_path}/seen").collect()} == want | {"b": ["2024-01-01", "2024-01-02"]}
     assert normal_space is not None
+
+
+def test_passages_at_every_position(spark):
+    """Candidates lose no passage that a text contains: within sentences, after any mark, across words' parts, short ones."""
+    rnd = random.Random(8)
+    passages = ["the quick brown fox jumps over it", "No. Short start of a passage", "one  two\nthree", "ab cd", "xyz", "never there at all, this one", " ", None]
+    texts = [None, "", "xyz"]
+    for _ in range(80):
+        parts = ["".join(rnd.choice("abcxyz") for _ in range(rnd.randint(1, 4))) for _ in range(rnd.randint(0, 30))]
+        for p in rnd.sample(passages[:5], rnd.randint(0, 3)):
+            parts.insert(rnd.randint(0, len(parts)), rnd.choice(["", "Hm! ", "what? ", "x"]) + p + rnd.choice(["", "y", "!"]))
+        texts.append(rnd.choice([" ", "\n", ". "]).join(parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    quotes = spark.createDataFrame(list(enumerate(passages)), "item_id long, quote string")
+    found = gates.check(gates.candidates(quotes, docs, ["doc_id"]).withColumn("word_limit", F.lit(None).cast("int")), docs, ["doc_id"])
+    got = sorted((r.doc_id, r.item_id) for r in found.where("passed").collect())
+    normal = lambda t: " ".join((t or "").split())
+    want = sorted((i, k) for i, t in enumerate(texts) for k, p in enumerate(passages) if normal(p) and normal(p) in normal(t))
+    assert got == want and len(want) > 80
+
+
+def test_whole_verbatim_checks(spark):
+    """Every containment of a benchmark passage and every piece of each text, on the smallest tables."""
+    d = "/root/testdata/sf0.001"
+    rows = driver.verbatim_checks_whole(spark, d).collect()
+    docs, bench = ([(r[0], r[1]) for r in spark.read.parquet(f"{d}/{t}.parquet").select(k, "text").collect()] for t, k in (("documents", "doc_id"), ("benchmark", "item_id")))
+    normal = lambda t: " ".join((t or "").split())
+    want = sorted((i, f"passage {k}") for i, t in docs for k, p in bench if normal(p) and normal(p) in normal(t))
+    assert sorted((r.doc_id, r.field) for r in rows if r.field.startswith("passage")) == want and want
+    assert sum(r.field.startswith("own") for r in rows) == sum(max(1, -(-len(t or "") // 120)) for _, t in docs)
