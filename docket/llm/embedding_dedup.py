@@ -4,7 +4,10 @@ A rotation is learned on a sample so that the signs of the rotated vectors are
 balanced binary codes that lose little. The codes are cut into substrings, one hash
 table for each (multi-index Hamming search); vectors that share a substring are
 compared by the cosine of their original vectors in double precision. The number
-of tables follows from the substrings' length and the recall that is wanted.
+of tables follows from the substrings' length and the recall that is wanted, as
+measured with the codes themselves on partners made for the sample's vectors: codes
+are cut through the mean, where the angle between near vectors may be far larger
+than at the origin.
 
 Equal vectors are one class from the start. Within a table, a bucket is compared by
 matrix products in blocks of bounded size; what leaves it is a count per vector and
@@ -32,6 +35,7 @@ class Settings:
     sample: int = 4000  # vectors that rotations are learned from
     rounds: int = 30
     block: int = 2048  # vectors of a bucket compared at a time
+    most: int = 48  # tables beyond which substrings are made shorter instead
     seed: int = 17
 
 
@@ -68,12 +72,48 @@ class Quantiser:
         return (signs.reshape(len(x), self.tables, self.bits) @ (1 << np.arange(self.bits))).astype(np.int32)
 
 
-def fit(x: np.ndarray, largest: int, s: Settings) -> Quantiser:
-    """largest: vectors of the largest label; substrings are long enough that few unlike vectors share one."""
-    bits = min(24, max(10, math.ceil(math.log2(max(2, largest))) + 2))
-    tables = tables_for(bits, s)
-    turns = [rotation(x, s, s.seed + k) for k in range(-(-bits * tables // x.shape[1]))]
-    return Quantiser(bits, tables, np.stack([m for m, _ in turns]), np.stack([p for _, p in turns]))
+def partners(x: np.ndarray, s: Settings) -> list[np.ndarray]:
+    """Unit vectors at the threshold from each of x: in any direction, and in directions in which x's vectors differ."""
+    rng = np.random.default_rng(s.seed)
+    out = []
+    for to in (rng.normal(size=x.shape), x[rng.permutation(len(x))] - x):
+        to = to - (to * x).sum(1, keepdims=True) * x
+        size = np.sqrt((to * to).sum(1, keepdims=True))
+        to = np.divide(to, size, out=np.zeros_like(to), where=size > 1e-9)
+        out.append(s.threshold * x + math.sqrt(max(0.0, 1 - s.threshold**2)) * to)
+    return out
+
+
+def tables_needed(q: Quantiser, x: np.ndarray, labels: list, s: Settings) -> int | None:
+    """The first tables of q that bring the wanted share of made pairs together, for each label with enough of them; None: all are too few."""
+    own, need = q.codes(x), 1
+    kinds, of = np.unique([str(k) for k in labels], return_inverse=True)
+    groups = [np.full(len(x), True), *(of == k for k in np.flatnonzero(np.bincount(of, minlength=len(kinds)) >= 50))]
+    for y in partners(x, s):
+        same = own == q.codes(y)
+        first = np.where(same.any(1), same.argmax(1), q.tables)
+        for mine in (first[g] for g in groups):
+            need = max(need, int(np.sort(mine)[math.ceil(s.recall * len(mine)) - 1]) + 1)
+    return need if need <= q.tables else None
+
+
+def fit(x: np.ndarray, largest: int, s: Settings, labels: list | None = None) -> Quantiser:
+    """largest: vectors of the largest label; substrings are long enough that few unlike vectors share one, and short enough for the wanted recall."""
+    groups = [None] * len(x) if labels is None else labels
+    top = min(24, max(10, math.ceil(math.log2(max(2, largest))) + 2))
+    turns: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def cut(bits: int, tables: int) -> Quantiser:
+        used = -(-bits * tables // x.shape[1])
+        turns.extend(rotation(x, s, s.seed + k) for k in range(len(turns), used))
+        return Quantiser(bits, tables, np.stack([m for m, _ in turns[:used]]), np.stack([p for _, p in turns[:used]]))
+
+    for bits in range(top, 0, -1):
+        least = tables_for(bits, s)
+        for most in (2 * least, max(least, s.most)):
+            if tables := tables_needed(cut(bits, most), x, groups, s):
+                return cut(bits, max(tables, least))
+    return cut(1, max(s.most, tables_for(1, s)))
 
 
 def links_within(x: np.ndarray, codes: np.ndarray, mult: np.ndarray, table: int, sides: np.ndarray | None, s: Settings) -> tuple[np.ndarray, list[tuple[int, int]]]:
@@ -132,7 +172,7 @@ def near_duplicates(vectors: DataFrame, s: Settings = Settings(), id_col: str =
     if top is None:
         return members.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     dim = classes.agg(F.max(F.size("v"))).first()[0]
-    sample = classes.select("key", "v").orderBy("key").limit(s.sample).collect()
+    sample = classes.select("key", "v", "label").orderBy("key").limit(s.sample).collect()
 
     def filled(column: pa.Array | list) -> np.ndarray:
         rows = column if isinstance(column, list) else column.to_pylist()
@@ -142,7 +182,7 @@ def near_duplicates(vectors: DataFrame, s: Settings = Settings(), id_col: str =
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.sqrt((x * x).sum(1))[:, None]
 
-    quantiser = fit(unit(filled([r.v for r in sample])), top, s)
+    quantiser = fit(unit(filled([r.v for r in sample])), top, s, [r.label for r in sample])
     shared = vectors.sparkSession.sparkContext.broadcast(quantiser)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

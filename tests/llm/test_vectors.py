@@ -53,6 +53,25 @@ def test_links(spark, block):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+@pytest.mark.parametrize("share", [0.0, 0.9, 0.95])
+def test_links_with_a_common_mean(spark, share):
+    """Vectors of one direction and a small own part: pairs near the threshold are far from each other as seen from the mean."""
+    rng = np.random.default_rng(6)
+    unit = lambda a: a / np.linalg.norm(a, axis=1)[:, None]
+    x = np.sqrt(1 - share) * unit(rng.normal(size=(1600, 64)))
+    x[:, 0] = np.sqrt(share)
+    x = unit(x)
+    c = rng.uniform(0.9805, 0.99, 800)[:, None]
+    off = rng.normal(size=(800, 64))
+    off = unit(off - (off * x[:800]).sum(1, keepdims=True) * x[:800])
+    x[800:] = c * x[:800] + np.sqrt(1 - c * c) * off
+    labels = np.zeros(1600, int)
+    near, comp = brute_links(x.astype(np.float32), labels)
+    got = {r.vec_id: r for r in dedup.near_duplicates(frame(spark, x.astype(np.float32), labels)).collect()}
+    assert sum(got[i].n_links for i in range(1600)) >= 0.95 * near.sum() > 1500
+    assert np.mean([got[i].component_id == comp[i] for i in range(1600)]) > 0.95
+
+
 def test_odd_vectors(spark):
     nan, inf = math.nan, math.inf
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [0.0, 0.0], 1), (7, [1.0, None], 1), (8, [nan, 1.0], 1), (9, [inf, 1.0], 1), (10, [], 1), (11, [1.0, 0.0], 1), (11, [1.0, 0.0], 1), (12, [1.0], 1)]
