@@ -1,6 +1,7 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest (operator 5).
 
-Candidates are long runs with digits, key blocks and quoted values after a key word.
+Candidates are long runs with digits, whole key blocks, values after a secret's name
+and passwords in URLs.
 A forest judges each by its length, character transitions, dictionary coverage, path
 and neighbouring words; it is trained from labelled findings. Everything that touches
 documents is a DataFrame function: features are columns, and the trees are arrays
@@ -30,11 +31,17 @@ PLACEHOLDERS = "example changeme xxxx placeholder your dummy redacted sample 000
 
 _RUN = r"[A-Za-z0-9+/_.\-]"
 _NAMES = "password|passwd|pwd|secret|token|api[_-]?key"
-#: A run of 16 or more with a digit; a private key's header; a quoted value after a secret's name.
+_KEY = r"[A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+#: After a secret's name, quoted or not, and = or :.
+_NAMED = rf"""(?<=(?i:{_NAMES})[\\"']{{0,2}}\s{{0,3}}[:=]\s{{0,3}}"""
+#: A private key from BEGIN to END (without END: its header and the lines that can be its body); a value of 8 or more
+#: after a secret's name, quoted or not; a password in a URL; a run of 16 or more with a digit.
 CANDIDATE = (
-    rf"(?<!{_RUN})(?=[A-Za-z+/_.\-]*+[0-9]){_RUN}{{16,}}(?<!\.)={{0,2}}"
-    r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
-    rf"""|(?<=["'])(?<=(?i:{_NAMES})\s{{0,3}}[:=]\s{{0,3}}["'])[^\s"']{{8,}}"""
+    rf"-----BEGIN {_KEY}(?:[^\-]*+(?:-(?!----)[^\-]*+)*+-----END {_KEY}|(?:(?:\s|\\[nr])+(?:(?:Proc-Type|DEK-Info|Version|Comment): [^\r\n]*+|[A-Za-z0-9+/=]{{16,}}+))*+)"
+    rf"""|(?<=["']){_NAMED}["'])[^\s"']{{8,}}"""
+    rf"""|(?<=[:=]\s{{0,3}})(?=[^\s"',;]{{8}}){_NAMED})[^\s"',;]{{7,}}[^\s"',;.]"""
+    r"""|(?<=:)(?<=://[^\s/:@"']{0,64}:)[^\s/"']+(?=@)"""
+    rf"|(?<!{_RUN})(?=[A-Za-z+/_.\-]*+[0-9]){_RUN}{{16,}}(?<!\.)={{0,2}}"
 )
 #: Characters of context on either side.
 CONTEXT = 48
@@ -192,6 +199,20 @@ def findings(seed: int = 5, each: int = 40) -> list[dict]:
         add(0, f"{draw('abcdemnorst', 8)}.{rnd.randint(1, 99)}@mail{rnd.randint(1, 9)}.example.com".split("@")[0] + draw("abc", 6), "mail ")
         add(0, "=" * rnd.randint(16, 30) + "1", "")
         add(0, ".".join(draw(string.digits, 3) for _ in range(5)), rnd.choice(["", "version "]))
+        kind = rnd.choice(["RSA PRIVATE KEY", "EC PRIVATE KEY", "PRIVATE KEY", "OPENSSH PRIVATE KEY", "ENCRYPTED PRIVATE KEY", "PGP PRIVATE KEY BLOCK"])
+        body = "\n".join(draw(letters + "+/", 64) for _ in range(rnd.randint(2, 30)))
+        add(1, f"-----BEGIN {kind}-----\n{body}\n-----END {kind}-----", "")
+        add(1, f"-----BEGIN {kind}-----\n{body}", "")
+        named = rnd.choice(["password", "DB_PASSWORD", "passwd", "pwd", "client_secret", "token", "api_key"])
+        chosen = lambda: draw(letters, rnd.randint(2, 6)) + draw(string.ascii_letters, 4) + draw(string.digits, rnd.randint(1, 4)) + draw("!@#$%&*?^+", rnd.randint(0, 2)) + draw(letters, rnd.randint(0, 4))
+        for glue in ("=", " = ", ": "):
+            add(1, chosen(), named + glue)
+        add(1, chosen(), rnd.choice(["{", ""]) + f'"{named}": "', '"')
+        add(1, chosen(), rnd.choice(["https", "postgres", "redis", "ftp"]) + f"://{words(1)[0]}:", "@" + words(1)[0])
+        for value in (words(1)[0] + rnd.choice(["()", "(self)", ".get()"]), "".join(words(2)) + "ing", rnd.choice(["required", "undefined", "optional", "Optional[str]", "string", "process.env.TOKEN", "os.environ", "${DB_PASSWORD}", "getpass.getpass()", "<password>", "********", "your_password", "changeme1"])):
+            add(0, value, named + rnd.choice(["=", " = ", ": "]))
+        add(0, "".join(words(2)) + "er", f'"{named}": "', '"')
+        add(0, rnd.choice(["password", "your_password", "********", "$PASSWORD", "<password>", "${PASS}"]), f"https://{words(1)[0]}:", "@" + words(1)[0])
     return out
 
 

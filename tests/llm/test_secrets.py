@@ -75,3 +75,29 @@ def test_edges(spark, forest):
     assert secrets.scan(df.limit(0), forest).count() == 0
     plan = secrets.scan(df, forest)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_whole_secrets(spark, forest):
+    """Key blocks from BEGIN to END, short values after a secret's name, passwords in URLs: nothing of them stays."""
+    rnd = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    line = lambda chars: "".join(rnd.choice(chars) for _ in range(64))
+    body = "\n".join([line(letters + "0123456789+/"), line(letters), line(letters + "+/"), "Ab3="])
+    secret = {}
+    for kind in ("RSA PRIVATE KEY", "PRIVATE KEY", "OPENSSH PRIVATE KEY", "PGP PRIVATE KEY BLOCK"):
+        secret[f"see -----BEGIN {kind}-----\n{body}\n-----END {kind}----- end"] = "see [SECRET] end"
+        secret[f"see -----BEGIN {kind}-----\nProc-Type: 4,ENCRYPTED\n\n{line(letters)}\n{line(letters)}\n"] = "see [SECRET]\n"
+    for before, value, after in (('{"password": "', "hunter2!xQz", '"}'), ("password=", "Sup3rS3cret!", ""), ("DB_PASSWORD=", "Tr0ub4dor&3", ""), ("https://user:", "Pa55w0rd!", "@db.example.com/x"), ("'api_key' : '", "aZ81!kd93Q", "',")):
+        secret[before + value + after] = before + "[SECRET]" + after
+    plain = ["password: required", "token = self.next()", "https://host.example:8080/a@b", "the secret: everybody knows", 'password = "undefined"', "mail to a:b@c.example"]
+    rows = [(i, t) for i, t in enumerate([*secret, *plain])]
+    got = [r.text for r in sorted(secrets.redact(spark.createDataFrame(rows, "doc_id long, text string"), forest).collect())]
+    assert got == [*secret.values(), *plain]
+
+
+def test_long_blocks(spark, forest):
+    """No end, many headers and large bodies neither overflow the stack nor join two blocks."""
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = [head + "\n" + "Ab1+" * 100_000 + "\n" + end, (head + " x ") * 3000, head + "a-b" * 100_000, head + "\n" + ("Q" * 64 + "\n") * 5000, f"{head} x {head}\n{'k' * 64}\n{end}"]
+    got = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), forest).collect()
+    assert [r.n_candidates for r in sorted(got, key=lambda r: r.doc_id)] == [1, 3000, 1, 1, 2]
