@@ -288,6 +288,11 @@ def hashes(rows: DataFrame) -> np.ndarray:
     return np.sort(rows.select("h").toArrow().column("h").to_numpy().view(np.uint64))
 
 
+def often(met: DataFrame) -> DataFrame:
+    """(id1, id2) of the meetings (id1, id2, need) that are as many as the least of their needs: an id's texts may need more or fewer."""
+    return met.groupBy("id1", "id2").agg(F.count("*").alias("k"), F.min("need").alias("need")).where("k >= need")
+
+
 def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:  # noqa: B008
     """(id, n_shingles, component_id) for every row.
 
@@ -378,8 +383,7 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", te
     common = F.expr(f"cast(((n1 + n2) * {s.percent}L + {99 + s.percent}) div {100 + s.percent} as int)")
     room = (F.col("at1") <= F.col("n1") - common + both - 1) & (F.col("at2") <= F.col("n2") - common + both - 1)
     met = x.join(y, "h").where((F.col("id1") < F.col("id2")) & (F.col("root1") != F.col("root2")) & room)
-    met = met.groupBy("id1", "id2").agg(F.count("*").alias("k"), F.first(both).alias("need")).where("k >= need")
-    rest = written(met.select(F.col("id1").alias("a"), F.col("id2").alias("b")), "join-pairs")
+    rest = written(often(met.withColumn("need", both)).select(F.col("id1").alias("a"), F.col("id2").alias("b")), "join-pairs")
     more = verified(rest, known, s) if not rest.isEmpty() else rest
 
     # Components over all links that were found: copies, stars and bridges.

@@ -90,6 +90,13 @@ def test_edges(spark):
     assert join.representatives(df).columns == df.columns
 
 
+def test_texts_of_an_id_need_the_least(spark):
+    """Meetings of one pair of ids through texts that need 1 and 3, in either order."""
+    rows = [(1, 2, 3), (1, 2, 1), (3, 4, 1), (3, 4, 3), (5, 6, 3), (5, 6, 3), (7, 8, 2), (7, 8, 2)]
+    met = spark.createDataFrame(rows, "id1 long, id2 long, need int").coalesce(1)
+    assert sorted((r.id1, r.id2) for r in join.often(met).collect()) == [(1, 2), (3, 4), (7, 8)]
+
+
 @given(st.lists(st.text(alphabet="abAB \n\té\xa0", max_size=40), max_size=6))
 @settings(max_examples=150, deadline=None)
 def test_sets_have_right_sizes(texts):
