@@ -350,7 +350,7 @@ def view_search(spark: SparkSession, d: str) -> DataFrame:
 
 
 def title_norm_nfkd(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "documents").select("doc_id", text.normal_title(F.substring_index("text", "\n", 1)).alias("title"), text.normal_title(F.substring_index("text", "\n", 1), keep_marks_apart=False).alias("title_without_marks"))
+    return read(spark, d, "documents").select("doc_id", text.normal_title(F.col("text")).alias("title"), text.normal_title(F.col("text"), keep_marks_apart=False).alias("title_without_marks"))
 
 
 def merge_append(spark: SparkSession, d: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import json
 import random
+import unicodedata
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from docket import schemas
@@ -283,3 +285,18 @@ def test_whole_verbatim_checks(spark):
     want = sorted((i, f"passage {k}") for i, t in docs for k, p in bench if normal(p) and normal(p) in normal(t))
     assert sorted((r.doc_id, r.field) for r in rows if r.field.startswith("passage")) == want and want
     assert sum(r.field.startswith("own") for r in rows) == sum(max(1, -(-len(t or "") // 120)) for _, t in docs)
+
+
+def test_title_norm_takes_whole_texts(spark):
+    d = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()}
+
+    def plain(t, marks=" "):
+        t = regex.sub(r"\p{Mn}+", marks, unicodedata.normalize("NFKD", t.lower()))
+        return " ".join(regex.sub(r"[^\p{L}\p{N}]", " ", t).split())
+
+    rows = driver.title_norm_nfkd(spark, d).collect()
+    assert len(rows) == len(texts) and sum("\n" in (t or "") for t in texts.values()) > 100
+    for r in rows:
+        t = texts[r.doc_id]
+        assert (r.title, r.title_without_marks) == ((plain(t), plain(t, "")) if t is not None else (None, None)), r.doc_id
