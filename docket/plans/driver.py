@@ -302,6 +302,23 @@ def link_decision(spark: SparkSession, d: str) -> DataFrame:
     return out.select("page_id", kind.alias("kind"), F.coalesce("by_key", "by_title").alias("case"))
 
 
+def link_decision_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every page's links name an earlier page by the first word of its title, or else its title is compared with earlier pages'."""
+    p = read(spark, d, "pages")
+    t = _titles(spark, d)
+    names = F.transform(hrefs(), lambda u: F.lower(F.regexp_extract(u, r"([^/?#]+)/?(?:[?#].*)?$", 1)))
+    refs = p.select("page_id", F.posexplode(names).alias("ref_pos", "key")).where("key <> ''")
+    # the first match is by case, so that of each key only the earliest page is needed
+    keys = t.where(F.size("tokens") > 0).groupBy(F.get("tokens", F.lit(0)).alias("key")).agg(F.min("page_id").alias("case")).withColumn("step_pos", F.lit(0))
+    earlier = refs.join(keys.select("key", F.col("case").alias("_first")), "key").where("_first < page_id").drop("_first")
+    by_key = resolve.keyed(earlier, keys, "page_id", "case").select("page_id", F.col("case").alias("by_key"))
+    known = t.select(F.col("page_id").alias("case"), "tokens", F.col("page_id").alias("since"))
+    by_title = resolve.similar(t, known, "page_id", "case", earlier="since").select("page_id", F.col("case").alias("by_title"))
+    out = t.select("page_id").join(by_key, "page_id", "left").join(by_title, "page_id", "left")
+    kind = F.when(F.col("by_key").isNotNull(), "paragraph_ref").when(F.col("by_title").isNotNull(), "fuzzy_title").otherwise("none")
+    return out.select("page_id", kind.alias("kind"), F.coalesce("by_key", "by_title").alias("case"))
+
+
 def surrogate_ids(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders").withColumn("year", F.date_format("o_orderdate", "yyyy"))
     taken = o.where("o_orderstatus = 'F'").select(F.format_string("a-%s-%04d", "year", F.col("o_orderkey") % 3000 + 1).alias("id")).distinct()
@@ -386,6 +403,6 @@ QUERIES = {f.__name__: f for f in (
     verbatim_checks, verbatim_checks_whole, whitespace_norm, word_limit_by_type, gate_all_of, gate_partition, link_extract_first, link_absolutize, meeting_links,
     first_match_or_null, filename_sanitize, attachment_links, unseen_anti, seen_upsert, backfill_batch, newest_batch, run_diagnostics, run_funnel,
     json_validate, case_validation, json_coerce_defaults, verify_reconcile, slug_normalize, stamp_left_join, content_hash, marker_roundtrip,
-    permalink_fill, service_messages, paragraph_refs, section_scope, key_link_first, title_similarity_best, link_decision, surrogate_ids,
+    permalink_fill, service_messages, paragraph_refs, section_scope, key_link_first, title_similarity_best, link_decision, link_decision_whole, surrogate_ids,
     snapshot_diff, changelog_entry, canonical_hash, inline_escape, view_by_body, view_search, title_norm_nfkd, merge_append, stream_batches,
 )}

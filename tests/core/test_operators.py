@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 import unicodedata
 
 import pytest
@@ -300,3 +301,21 @@ def test_title_norm_takes_whole_texts(spark):
     for r in rows:
         t = texts[r.doc_id]
         assert (r.title, r.title_without_marks) == ((plain(t), plain(t, "")) if t is not None else (None, None)), r.doc_id
+
+
+def test_link_decision_grows_with_pages(spark):
+    """Keys and references of every page, against a plain loop."""
+    d = "/root/testdata/sf0.01"
+    pages = spark.read.parquet(f"{d}/pages.parquet").select("page_id", "html")
+    tokens = {r.page_id: r.tokens for r in driver._titles(spark, d).collect()}
+    links = {r.page_id: {m[1].lower() for u in re.findall('href="([^"]*)"', r.html or "") if (m := re.search(r"([^/?#]+)/?(?:[?#].*)?$", u))} for r in pages.collect()}
+    want = {}
+    for k in tokens:
+        by_key = [c for c, t in tokens.items() if c < k and t and t[0] in links[k]]
+        x = set(tokens[k] or [])
+        scored = [(-len(x & set(t)) / len(x | set(t)), c) for c, t in tokens.items() if c < k and t and x]
+        best = min((p for p in scored if p[0] <= -0.6), default=None)
+        want[k] = ("paragraph_ref", min(by_key)) if by_key else ("fuzzy_title", best[1]) if best else ("none", None)
+    assert {r.page_id: (r.kind, r.case) for r in driver.link_decision_whole(spark, d).collect()} == want
+    met = [c for kind, c in want.values() if kind == "paragraph_ref"]
+    assert len(set(met)) > 5 and len(met) > 10
