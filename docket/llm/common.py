@@ -54,6 +54,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Bytes of an Arrow batch where the session doesn't set them: rows are whole texts, some of them very long.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, unless the session has its own bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether df has at most so many rows; looks no further than that."""
     return df.limit(rows + 1).count() <= rows

@@ -11,18 +11,24 @@ is verified.
 Exact copies are one class from the start. To keep the work linear inside large
 groups of near copies, links are found in two steps:
 
-1. Every document is verified against the smallest one that shares one of its
-   smallest hashes (a star for each of them, not all pairs). Verified links are merged
-   into components.
-2. Prefixes of all documents are joined, but an element that only one component has
-   is left out, and only pairs from different components are counted and verified.
-   No link between components that step 1 left apart can be missed.
+1. Every document is verified against one that shares one of its smallest hashes
+   (a star for each of them, not all pairs), and then, as long as prefix elements
+   bring too many components together, against one that shares many of those elements
+   and has many that are widespread: in a group of edited copies the least edited one,
+   which links with nearly all. Verified links are merged into components.
+2. A document that has too few elements in common with all members of a large
+   component together can't link with any of them, and isn't compared with them.
+3. Prefixes of all documents are joined, but an element that only one component has
+   is left out, and only pairs from different components and of sizes that are near
+   enough are counted and verified. No link between components that step 1 left apart
+   can be missed.
 
 All verifications are exact: whole sets are intersected.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, components, runs, written
+from .common import bounded, components, runs, small_batches, unused, written
 
 #: Bytes that separate words.
 SPACES = (9, 10, 11, 12, 13, 32)
@@ -45,12 +51,14 @@ class Settings:
     firsts: int = 3  # smallest hashes of a set whose stars step 1 follows
     sample: int = 10_000  # documents in which common shingles are looked for
     common: int = 200_000  # common shingles that go last, at most
+    large: int = 8  # documents of a component that meet in an element from which others are compared with all of them at once
     rounds: int = 3  # times that prefixes may be made anew
     leaders: int = 400  # documents whose elements all go last, at a time
     crowd: int = 6  # documents that may share an element, if meetings are too many
-    meetings: int = 4  # pairs of documents meeting in an element, for each document
-    cost: int = 64  # candidates from which a document's prefix is lengthened
-    block: int = 512  # documents of a cluster that are compared in one place
+    meetings: int = 1  # pairs of documents of different components meeting in crowded elements, for each document
+    cost: int = 64  # meetings from which a document's prefix is lengthened
+    verify: float = 2.0  # cost of verifying a candidate, in meetings
+    block: int = 1 << 18  # elements of a cluster's sets (2 MB) that are held in one place, unless one set has more
     broadcast: int = 600_000  # rows of ids that may be broadcast
     elements: int = 1_500_000  # elements that may be broadcast
 
@@ -125,8 +133,8 @@ class Shingler:
         return out
 
 
-def shingled(texts: pa.Array, s: Shingler, size: int = 1 << 20) -> Iterator[np.ndarray]:
-    """The sets of a column of texts, a megabyte at a time; null texts have empty sets."""
+def shingled(texts: pa.Array, s: Shingler, size: int = 1 << 18) -> Iterator[np.ndarray]:
+    """The sets of a column of texts, a quarter of a megabyte at a time; null texts have empty sets."""
     part, held = [], 0
     with np.errstate(over="ignore"):
         for t in texts.cast(pa.binary()).to_pylist():
@@ -152,7 +160,7 @@ def needed(n: int, percent: int) -> int:
 
 
 def signatures(docs: DataFrame, common: np.ndarray | None, s: Settings) -> DataFrame:
-    """(id, n, digest, least, prefix) of (id, t): set size, a digest of the set, its smallest hashes, and the elements of its longest prefix in order."""
+    """(id, n, digest, shared, least, prefix) of (id, t): set size, a digest of the set, how many elements are common ones, its smallest hashes, and the elements of its longest prefix in order."""
     kind = docs.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(common) if common is not None and len(common) else None
 
@@ -160,7 +168,7 @@ def signatures(docs: DataFrame, common: np.ndarray | None, s: Settings) -> DataF
         shingler = Shingler(s.words)
         late = shared.value if shared else None
         for b in sliced(batches):
-            n, digest, prefix, least = [], [], [], []
+            n, digest, known, prefix, least = [], [], [], [], []
             for own in shingled(b.column("t"), shingler):
                 size = len(own)
                 n.append(size)
@@ -169,13 +177,16 @@ def signatures(docs: DataFrame, common: np.ndarray | None, s: Settings) -> DataF
                 digest.append(f"{size:x}.{a:x}.{c:x}")
                 least.append(own[: s.firsts].view(np.int64))
                 keep = size - needed(size, s.percent) + s.longest
+                common = 0
                 if late is not None and size:
-                    at = np.minimum(np.searchsorted(late, own), len(late) - 1)
-                    own = np.concatenate([own[late[at] != own], own[late[at] == own]])
+                    last = late[np.minimum(np.searchsorted(late, own), len(late) - 1)] == own
+                    common = int(last.sum())
+                    own = np.concatenate([own[~last], own[last]])
+                known.append(common)
                 prefix.append(own[: min(keep, size)].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int32()), pa.array(digest, pa.string()), lists(least), lists(prefix)], ["id", "n", "digest", "least", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int32()), pa.array(digest, pa.string()), pa.array(known, pa.int32()), lists(least), lists(prefix)], ["id", "n", "digest", "shared", "least", "prefix"])
 
-    return docs.mapInArrow(run, f"id {kind}, n int, digest string, least array<long>, prefix array<long>")
+    return docs.mapInArrow(run, f"id {kind}, n int, digest string, shared int, least array<long>, prefix array<long>")
 
 
 def lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -208,17 +219,18 @@ def common_shingles(docs: DataFrame, n_docs: int, s: Settings) -> np.ndarray:
     return hashes(counted.orderBy(F.col("n").desc(), "h").limit(s.common))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough.
+def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough; sizes: (id, n) of all sets.
 
     Documents that are joined by pairs, over any number of steps, form a cluster and meet
     in one place, so that a set travels once rather than with each of its pairs. A cluster
-    of more than s.block documents is cut into blocks, and a set goes to each block
+    of more than s.block elements is cut into blocks, and a set goes to each block
     that it has a pair in. Sets are computed again from the texts of these documents alone.
     """
     kind = docs.schema["id"].dataType.simpleString()
     clusters = written(components(pairs, "join-cluster"), "join-clusters")
-    sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / s.block).cast("int").alias("cuts"))
+    weights = sizes.join(bounded(clusters.withColumnRenamed("node", "id"), s.broadcast), "id")
+    sizes = weights.groupBy("root").agg(F.ceil(F.sum("n") / s.block).cast("int").alias("cuts"))
     placed = written(clusters.join(sizes, "root").select(F.col("node").alias("id"), "root", F.pmod(F.xxhash64("node"), "cuts").cast("int").alias("cut")), "join-placed")
     at = bounded(placed, s.broadcast)
     located = pairs.join(at.select(F.col("id").alias("a"), "root", F.col("cut").alias("i")), "a").join(at.select(F.col("id").alias("b"), F.col("cut").alias("j")), "b")
@@ -265,10 +277,100 @@ def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * same >= percent * (len(x) + len(y) - same)
 
 
-def _entries(reps: DataFrame, moved: DataFrame, s: Settings) -> DataFrame:
-    """(id, digest, n, root, h, at): the elements of every prefix with their places."""
-    owned = reps.join(bounded(moved, s.broadcast), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    return owned.select("id", "digest", "n", "root", F.posexplode("prefix").alias("at", "h"))
+def _entries(reps: DataFrame) -> DataFrame:
+    """(id, digest, n, h, at): the elements of every prefix with their places."""
+    return reps.select("id", "digest", "n", F.posexplode("prefix").alias("at", "h"))
+
+
+def rooted(rows: DataFrame, moved: DataFrame, s: Settings) -> DataFrame:
+    """rows with the root of their id's component: its own id unless it has moved."""
+    return rows.join(bounded(moved, s.broadcast), "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def tops(crowd: DataFrame, moved: DataFrame, s: Settings) -> DataFrame:
+    """(h, top, most, df, met): of each element of crowd (h, id) that different components have, the component with most of its documents, and the pairs across."""
+    own = rooted(crowd, moved, s).groupBy("h", "root").agg(F.count("*").alias("k"))
+    met = own.groupBy("h").agg(F.max_by("root", "k").alias("top"), F.max("k").alias("most"), F.sum("k").alias("df"), F.sum(F.col("k") * F.col("k")).alias("same"))
+    return met.select("h", "top", "most", "df", ((F.col("df") * F.col("df") - F.col("same")) / 2).alias("met")).where("met > 0")
+
+
+def laned(rows: DataFrame, top: DataFrame, bars: DataFrame, s: Settings) -> DataFrame:
+    """rows (h, id, root) with their lane in a crowded element: 0 of its largest component, 2 barred from that one, else 1; null elsewhere."""
+    seen = rows.join(bounded(top.select("h", "top"), s.elements // 2), "h", "left").join(bounded(bars, s.broadcast // 4), "id", "left")
+    barred = F.coalesce(F.array_contains("bars", F.col("top")), F.lit(False))
+    lane = F.when(F.col("top").isNotNull(), F.when(F.col("root") == F.col("top"), 0).when(barred, 2).otherwise(1))
+    return seen.withColumn("lane", lane).drop("top", "bars")
+
+
+def left_over(crowd: DataFrame, moved: DataFrame, top: DataFrame, bars: DataFrame, s: Settings) -> DataFrame:
+    """(h, df, met): the pairs across components that meet in the elements of top (h, top, most, df, met) and aren't barred."""
+    barred = laned(rooted(crowd, moved, s), top, bars, s).where("lane = 2").groupBy("h").agg(F.count("*").alias("barred"))
+    met = top.join(bounded(barred, s.elements // 2), "h", "left").select("h", "df", (F.col("met") - F.col("most") * F.coalesce("barred", F.lit(0))).alias("met"))
+    return met.where("met > 0")
+
+
+def barred_from(crowd: DataFrame, moved: DataFrame, top: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """(id, bars): components, out of those that are largest in one of its crowded elements, that hold nothing the document can link with.
+
+    What it has in common with any member is at most what it has in common with all of them together.
+    An id whose texts differ counts with the elements of all of them and the size of the smallest.
+    """
+    kind = docs.schema["id"].dataType.simpleString()
+    large = bounded(top.where(F.col("most") >= s.large).select("h", F.col("top").alias("bar")), s.elements // 2)
+    rows = rooted(crowd.join(large, "h"), moved, s)
+    asked = written(rows.where("root <> bar").groupBy("id", "bar").agg(F.min("n").alias("n")), "join-asked")
+    bar = written(asked.select("bar").distinct(), "join-bars")
+    members = written(moved.select("id", F.col("root").alias("bar")).unionByName(bar.select(F.col("bar").alias("id"), "bar")).join(bounded(bar, s.broadcast), "bar", "left_semi").distinct(), "join-members")
+
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(s.words)
+        for b in sliced(batches):
+            of: dict = {}
+            for r, own in zip(b.column("bar").to_pylist(), shingled(b.column("t"), shingler), strict=True):
+                held = of.setdefault(r, [None, []])
+                held[0] = len(own) if held[0] is None else min(held[0], len(own))
+                held[1].append(own)
+            for r, (n, sets) in of.items():
+                every = np.unique(np.concatenate(sets)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([r] * len(every), b.schema.field("bar").type), pa.array(every), pa.array(np.full(len(every), n, np.int32))], ["bar", "h", "n"])
+
+    texts = docs.join(bounded(members, s.broadcast), "id").select("bar", "t")
+    union = written(texts.mapInArrow(united, f"bar {kind}, h long, n int").groupBy("bar", "h").agg(F.min("n").alias("n")), "join-union")
+    smallest = union.groupBy("bar").agg(F.min("n").alias("m"))
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(s.words)
+        for b in sliced(batches, 100):
+            sets = list(shingled(b.column("t"), shingler))
+            ids = b.column("id").take(pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64))], ["id", "h"])
+
+    own = docs.join(bounded(asked.select("id").distinct(), s.broadcast), "id", "left_semi").mapInArrow(exploded, f"id {kind}, h long")
+    both = own.join(bounded(asked, s.broadcast), "id").join(bounded(union.select("bar", "h"), s.elements), ["bar", "h"])
+    common = written(both.groupBy("id", "bar").agg(F.count("*").alias("common")), "join-common")
+    judged = asked.join(bounded(common, s.broadcast), ["id", "bar"], "left").join(bounded(smallest, s.broadcast), "bar")
+    # the smallest member that is large enough needs least in common
+    other = F.greatest("m", F.expr(f"cast((n * {s.percent}L + 99) div 100 as int)"))
+    need = F.floor(((F.col("n") + other) * s.percent + 99 + s.percent) / (100 + s.percent))
+    barred = judged.where(F.coalesce("common", F.lit(0)) < need)
+    return written(barred.groupBy("id").agg(F.collect_set("bar").alias("bars")), "join-barred")
+
+
+def hubs(crowd: DataFrame, moved: DataFrame, met: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): for each document of crowd (h, id, n) a document of another component to be verified with, one at most.
+
+    An element's hub is the document with most crowded elements among those that have it. A document goes to the
+    hub that most of its elements have.
+    """
+    rows = crowd.join(bounded(met.select("h"), s.elements), "h")
+    fame = rows.groupBy("id").agg(F.count("*").alias("fame"))
+    rank = fame.select("id", (F.shiftleft("fame", 20) + F.pmod(F.xxhash64("id"), F.lit(1 << 20))).alias("rank"))
+    rows = written(rooted(rows.join(bounded(rank, s.broadcast), "id"), moved, s), "join-crowd")
+    hub = rows.groupBy("h").agg(F.max_by("id", "rank").alias("c"), F.max_by("n", "rank").alias("m"), F.max_by("root", "rank").alias("centre"))
+    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * s.percent
+    meets = rows.join(bounded(hub, s.elements // 2), "h").where((F.col("root") != F.col("centre")) & near)
+    best = meets.groupBy("id", "c").agg(F.count("*").alias("k")).groupBy("id").agg(F.max_by("c", "k").alias("b"))
+    return best.select(F.col("id").alias("a"), "b")
 
 
 def elements(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
@@ -302,6 +404,7 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", te
     Rows with the same id are one document; where their texts differ, it links with
     what any of them links with. An empty table gives no rows; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     known = docs.where("id is not null and t is not null")
@@ -322,38 +425,58 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", te
     copies = written(usable.select("id", "digest").join(several, "digest").where("id <> rep"), "join-copies")
     reps = usable.join(bounded(copies.select(*row), s.broadcast), row, "left_anti")
 
-    # Step 1: stars around the smallest document of each of the smallest hashes (similar sets mostly share
-    # them, whereas the rare elements that prefixes begin with are those that copies don't share).
-    first = reps.select("id", "n", F.explode("least").alias("h"))
-    centre = first.groupBy("h").agg(F.min("id").alias("c"), F.max("id").alias("top")).where("c <> top").select("h", "c")
-    centre = written(centre, "join-centres")
-    sizes = reps.select(F.col("id").alias("c"), F.col("n").alias("m"))
-    stars = first.join(bounded(centre, s.elements), "h").where("id <> c").select("id", "c", "n").distinct()
-    stars = written(stars.join(sizes, "c").where(F.least("n", "m") * 100 >= F.greatest("n", "m") * s.percent).select(F.col("id").alias("a"), F.col("c").alias("b")), "join-stars")
-    linked = written(verified(stars, known, s), "join-linked")
-    roots = written(components(linked, "join-cc1"), "join-roots")
+    sizes = reps.select("id", "n")
+
+    # Step 1: stars around one document of each of the smallest hashes (similar sets mostly share
+    # them, whereas the rare elements that prefixes begin with are those that copies don't share): the one
+    # with the largest share of common elements, which copies were least edited to get.
+    rank = F.shiftleft((F.col("shared") / F.col("n") * 1000).cast("long"), 40) + F.pmod(F.xxhash64("id"), F.lit(1 << 40))
+    first = reps.select("id", "n", rank.alias("rank"), F.explode("least").alias("h"))
+    centre = first.groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("top"), F.max_by("id", "rank").alias("c"), F.max_by("n", "rank").alias("m"))
+    centre = written(centre.where("low <> top").select("h", "c", "m"), "join-centres")
+    stars = first.join(bounded(centre, s.elements // 2), "h").where("id <> c").where(F.least("n", "m") * 100 >= F.greatest("n", "m") * s.percent)
+    stars = written(stars.select(F.col("id").alias("a"), F.col("c").alias("b")).distinct(), "join-stars")
+    linked = written(verified(stars, known, sizes, s), "join-linked")
+
+    def merged(links: DataFrame) -> DataFrame:
+        """(id, root) of the documents that have a smaller one in their component."""
+        return written(components(links, "join-cc1").where("node <> root").select(F.col("node").alias("id"), "root"), "join-moved")
+
+    moved = merged(linked)
 
     # Step 2: prefixes, an element at a time, where several components have it.
-    moved = roots.where("node <> root").select(F.col("node").alias("id"), F.col("root"))
-    entries = _entries(reps, moved, s)
+    entries = _entries(reps)
 
     def in_several(e: DataFrame) -> DataFrame:
-        own = e.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("df"))
+        own = rooted(e, moved, s).groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("df"))
         return written(own.where("low <> high").select("h", "df"), "join-shared")
 
     shared = in_several(entries)
-    for _ in range(s.rounds):
-        meetings = shared.agg(F.sum(F.col("df") * (F.col("df") - 1) / 2)).first()[0] or 0
-        if meetings <= s.meetings * max(total, 1000):
+    bars = known.sparkSession.createDataFrame([], f"id {kind}, bars array<{kind}>")
+    for turn in range(s.rounds + 1):
+        tight = bounded(shared.where(F.col("df") > s.crowd).select("h"), s.elements)
+        crowd = written(entries.join(tight, "h").select("h", "id", "n"), "join-crowded")
+        top = written(tops(crowd, moved, s), "join-tops")
+        met = left_over(crowd, moved, top, bars, s) if turn else top
+        many = lambda met: (met.agg(F.sum("met")).first()[0] or 0) > s.meetings * max(total, 1000)
+        if not turn and many(met):
+            pairs = written(hubs(crowd, moved, met, s), "join-hubs")
+            found = written(verified(pairs, known, sizes, s), "join-linked")
+            if not found.isEmpty():
+                moved = merged(moved.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found))
+                top = written(tops(crowd, moved, s), "join-tops")
+            bars = barred_from(crowd, moved, top, known, s)
+            met = left_over(crowd, moved, top, bars, s)
+        met = written(met, "join-met")
+        if turn == s.rounds or not many(met):
             break
         # What too many documents have goes last as well: these elements, and the rest of what the first and
         # the last document with one of them holds (a passage or a copied text comes as a whole).
-        crowded = shared.where(F.col("df") > s.crowd).orderBy(F.col("df").desc(), "h").limit(s.common).select("h")
-        crowded = written(crowded, "join-crowded")
+        crowded = written(met.orderBy(F.col("met").desc(), "h").limit(s.common).select("h"), "join-crowded")
         if not len(np.setdiff1d(hashes(crowded), late)):
             break
-        met = entries.join(bounded(crowded, s.elements), "h").groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.min_by("id", F.xxhash64("id")).alias("c"))
-        leaders = met.select(F.explode(F.array("a", "b", "c")).alias("id")).groupBy("id").agg(F.count("*").alias("k")).orderBy(F.col("k").desc(), "id").limit(s.leaders)
+        some = crowd.join(bounded(crowded, s.elements), "h").groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.min_by("id", F.xxhash64("id")).alias("c"))
+        leaders = some.select(F.explode(F.array("a", "b", "c")).alias("id")).groupBy("id").agg(F.count("*").alias("k")).orderBy(F.col("k").desc(), "id").limit(s.leaders)
         added = written(crowded.unionByName(elements(known, leaders.select("id"), s)).distinct(), "join-added")
         late = np.union1d(late, hashes(added))
         # prefixes that hold one of them are made anew
@@ -363,28 +486,41 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", te
         anew = written(anew if once else anew.join(few, row, "left_semi"), "join-anew")
         old = entries.join(few, row, "left_semi").select(*row, "h")
         reps = reps.join(few, row, "left_anti").unionByName(anew)
-        entries = _entries(reps, moved, s)
+        entries = _entries(reps)
         # only elements that went last, or are new to a prefix, need counting again
-        fresh = _entries(anew, moved, s).select(*row, "h").join(old, [*row, "h"], "left_anti").select("h")
+        fresh = _entries(anew).select(*row, "h").join(old, [*row, "h"], "left_anti").select("h")
         again = bounded(written(fresh.unionByName(added).distinct(), "join-again"), s.elements)
         shared = written(shared.join(again, "h", "left_anti").unionByName(in_several(entries.join(again, "h"))), "join-shared")
+    # a crowded element counts with the documents of other components that a document meets there
+    shared = shared.join(tight, "h", "left_anti").unionByName(met.select("h", (F.ceil(2 * F.col("met") / F.col("df")) + 1).cast("long").alias("df")))
+    shared = written(shared, "join-shared")
     least = F.expr(f"cast((n * {s.percent}L + 99) div 100 as int)")
-    entries = written(entries.drop("digest").join(bounded(shared, s.elements), "h"), "join-entries")
-    # l by estimated cost: prefixes that share l of their elements make a l-th of their meetings candidates at most
-    reach = F.col("n") - least
-    cost = entries.groupBy("id", "n").agg(*(F.sum(F.when(F.col("at") < reach + l, F.col("df") - 1).otherwise(0)).alias(f"c{l}") for l in range(1, s.longest + 1)))
+    entries = written(laned(rooted(entries.drop("digest").join(bounded(shared, s.elements), "h"), moved, s), top, bars, s), "join-entries")
+    # l by estimated cost: the meetings of a prefix, of sets of equal size, and a candidate for every l-th of them that has to be verified
+    equal = F.expr(f"cast((n * {2 * s.percent}L + {99 + s.percent}) div {100 + s.percent} as int)")
+    cost = entries.groupBy("id", "n").agg(*(F.sum(F.when(F.col("at") < F.col("n") - equal + l, F.col("df") - 1).otherwise(0)).alias(f"c{l}") for l in range(1, s.longest + 1)))
+    worth = lambda l: F.col(f"c{l}") * (1 + s.verify / l)
     chosen = F.lit(1)
     for l in range(2, s.longest + 1):
-        chosen = F.when((F.col("c1") > s.cost) & (least >= l) & (F.col(f"c{l}") / l < F.least(*(F.col(f"c{k}") / k for k in range(1, l)), F.lit(1e18))), F.lit(l)).otherwise(chosen)
-    entries = written(entries.join(cost.select("id", "n", chosen.alias("own")), ["id", "n"]).where(F.col("at") < reach + F.col("own")), "join-prefixes")
-    x, y = (entries.select("h", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "root", "at", "own"))) for i in (1, 2))
+        chosen = F.when((F.col("c1") > s.cost) & (least >= l) & (worth(l) < F.least(*map(worth, range(1, l)), F.lit(1e18))), F.lit(l)).otherwise(chosen)
+    entries = written(entries.join(cost.select("id", "n", chosen.alias("own")), ["id", "n"]).where(F.col("at") < F.col("n") - least + F.col("own")), "join-prefixes")
+    # sets whose sizes are near enough lie in the same band of sizes or the next one
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / s.percent * (1 + 1e-6)))
+    # two ways to meet in a crowded element, so that its largest component doesn't meet those that are barred from it
+    way = F.when(F.col("lane") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array((F.coalesce("lane", F.lit(0)) / 2).cast("int")))
+    entries = entries.withColumn("way", F.explode(way))
+    x, y = (entries.select("h", "way", bands.alias("band"), *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "root", "at", "own", "lane"))) for i, bands in ((1, F.explode(F.array(band, band + 1))), (2, band)))
     both = F.least("own1", "own2")
     # the l-th shared element of sets with enough in common leaves room for the rest in either
     common = F.expr(f"cast(((n1 + n2) * {s.percent}L + {99 + s.percent}) div {100 + s.percent} as int)")
     room = (F.col("at1") <= F.col("n1") - common + both - 1) & (F.col("at2") <= F.col("n2") - common + both - 1)
-    met = x.join(y, "h").where((F.col("id1") < F.col("id2")) & (F.col("root1") != F.col("root2")) & room)
-    rest = written(often(met.withColumn("need", both)).select(F.col("id1").alias("a"), F.col("id2").alias("b")), "join-pairs")
-    more = verified(rest, known, s) if not rest.isEmpty() else rest
+    first = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("id1") < F.col("id2")))
+    near = F.col("n1") * 100 >= F.col("n2") * s.percent
+    once_only = (F.col("way") == 0) | (F.col("lane1") + F.col("lane2") > 2)
+    met = x.join(y, ["h", "way", "band"]).where(once_only & first & near & (F.col("id1") != F.col("id2")) & (F.col("root1") != F.col("root2")) & room)
+    met = met.select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2"), both.alias("need"))
+    rest = written(often(met).select(F.col("id1").alias("a"), F.col("id2").alias("b")), "join-pairs")
+    more = verified(rest, known, sizes, s) if not rest.isEmpty() else rest
 
     # Components over all links that were found: copies, stars and bridges.
     edges = copies.select(F.col("id").alias("a"), F.col("rep").alias("b")).unionByName(moved.select(F.col("id").alias("a"), F.col("root").alias("b"))).unionByName(more)
@@ -395,6 +531,7 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", te
 
 def representatives(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:  # noqa: B008
     """The rows of docs whose id is the smallest of its component; all rows without id. Rows that repeat an id are all kept."""
-    gone = groups(docs, s, id_col, text_col).where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
+    name = unused(docs, "gone")
+    gone = groups(docs, s, id_col, text_col).where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(name)).distinct()
     gone = bounded(written(gone, "join-gone"), s.broadcast)
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")

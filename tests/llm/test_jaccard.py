@@ -60,6 +60,46 @@ def corpus(seed, n=160):
     return [(i, rnd.choice([" ", "\n", " \t"]).join(t)) for i, t in zip(ids, docs, strict=True)]
 
 
+def edited_copies(seed, n=150):
+    """One text of 140 words in copies from hardly to heavily edited, of which about half link with none; some share a passage only."""
+    rnd = random.Random(seed)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(7)) for _ in range(4000)]
+    first = [rnd.choice(words) for _ in range(140)]
+    docs = [first]
+    while len(docs) < n:
+        t = first[:]
+        for _ in range(rnd.choice([1, 2, 3, 4, 5, 6, 8, 12])):
+            t[rnd.randrange(len(t))] = rnd.choice(words)
+        docs.append(t if rnd.random() < 0.9 else [rnd.choice(words) for _ in range(30)] + t[:80])
+    ids = rnd.sample(range(10_000), n)
+    return [(i, " ".join(t)) for i, t in zip(ids, docs, strict=True)]
+
+
+@pytest.mark.parametrize("seed,s", [(1, join.Settings(meetings=0, large=2, sample=0)), (2, join.Settings(meetings=0, large=1, cost=0, verify=9.0, block=1000)), (3, join.Settings(meetings=0, rounds=0, firsts=1)), (4, join.Settings())])
+def test_crowded_elements(spark, monkeypatch, seed, s):
+    """A group far larger than the meetings allowed: hubs and barred documents change no link."""
+    barred = []
+    plain = join.barred_from
+    monkeypatch.setattr(join, "barred_from", lambda *a: barred.append(plain(*a)) or barred[-1])
+    docs = edited_copies(seed)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in join.groups(df, s).collect()}
+    assert got == plain_groups(docs)
+    if s.meetings == 0:
+        sets = {k: plain_set(t) for k, t in docs}
+        members = {}
+        for k, (_, c) in got.items():
+            members.setdefault(c, []).append(k)
+        rows = [r for b in barred for r in b.collect()]
+        assert rows and all(100 * len(sets[r.id] & sets[m]) < 75 * len(sets[r.id] | sets[m]) for r in rows for bar in r.bars for m in members[got[bar][1]] if got[r.id][1] != got[bar][1])
+
+
+def test_representatives_keep_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", "x", 1), (2, "a b c d e f", "y", 2), (3, "other", None, 3)], "doc_id long, text string, gone string, component_id int")
+    out = join.representatives(df)
+    assert out.columns == df.columns and sorted(tuple(r) for r in out.collect()) == [(1, "a b c d e f", "x", 1), (3, "other", None, 3)]
+
+
 @pytest.mark.parametrize("seed,s", [(1, join.Settings()), (2, join.Settings(cost=0, firsts=1)), (3, join.Settings(cost=2, firsts=1, common=40)), (4, join.Settings(broadcast=8, cost=1, sample=20)), (6, join.Settings(meetings=0, crowd=2, sample=0, firsts=1, cost=1))])
 def test_equals_all_pairs(spark, seed, s):
     docs = corpus(seed)
