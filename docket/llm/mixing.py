@@ -191,7 +191,11 @@ def taken(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
-    """The rows of docs, each as often as it is taken, with their columns."""
+    """The rows of docs, each as often as it is taken, with their columns.
+
+    Null texts and texts without words weigh nothing and come as often as their source's whole copies;
+    rows alike in id, source and size are taken equally often; an empty table gives no rows.
+    """
     p = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **kw).where("copies > 0")
     p = written(p.select(F.col("id").alias("_i"), F.col("source").alias("_s"), F.col("size").alias("_z"), "copies"), "mix-plan")
     if p.count() <= 500_000:

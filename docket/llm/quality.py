@@ -1,52 +1,93 @@
 """Quality classifier: supervised subword embeddings (operator 3).
 
 A document is the average of learned vectors of its hashed words, of their
-character n-grams and of the word n-gram "the same word again"; a softmax layer on
-top gives the probability. Vectors and layer are trained by stochastic gradient
-descent in numpy. For scoring, each vector's product with the layer is a number,
-so that a word costs one look-up.
+character n-grams and of its word bigrams; a softmax layer on top gives the
+probability. Vectors and layer are trained by stochastic gradient descent in numpy.
+For scoring, each vector's product with the layer is a number, so that a text costs
+a look-up per word and per bigram.
 """
 
 from __future__ import annotations
 
-import math
-import operator
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 1_000_000
+from .common import small_batches
+
+#: Words that a worker remembers; beyond that it begins anew.
+CACHE = 500_000
+#: Stands for "the word before again".
+AGAIN = 0x5851F42D4C957F2D
+Bag = tuple[np.ndarray, np.ndarray]
 
 
 @dataclass(frozen=True)
 class Settings:
-    buckets: int = 1 << 17  # rows of the table of vectors
+    buckets: int = 1 << 18  # rows of the table of vectors
     dim: int = 8
     low: int = 3  # lengths of character n-grams, word ends marked
     high: int = 4
     epochs: int = 8
     rate: float = 1.0
     seed: int = 11
-    sample: int = 1500  # labelled documents that are learned from
+    sample: int = 3000  # labelled documents that are learned from
 
 
 def features(word: str, s: Settings) -> list[int]:
-    """Buckets of the word and of its character n-grams; 0 and 1 are kept for document and repetition."""
-    edged, size = f"<{word}>", s.buckets - 2
-    out = [2 + crc32(word.encode("utf-8", "surrogatepass")) % size]
+    """Buckets of the word and of its character n-grams; bucket 0 is every document's own."""
+    edged, size = f"<{word}>", s.buckets - 1
+    out = [1 + crc32(word.encode("utf-8", "surrogatepass")) % size]
     for n in range(s.low, s.high + 1):
-        out += [2 + crc32(edged[i : i + n].encode("utf-8", "surrogatepass")) % size for i in range(len(edged) - n + 1)]
+        out += [1 + crc32(edged[i : i + n].encode("utf-8", "surrogatepass")) % size for i in range(len(edged) - n + 1)]
     return out
 
 
-def repeats(words: list[str]) -> int:
-    return sum(map(operator.eq, words, words[1:]))
+def bigrams(codes: np.ndarray, s: Settings) -> np.ndarray:
+    """Buckets of the bigrams of a sequence of words, given by the words' codes.
+
+    A word after itself is written as a reference back, so that all words' repetitions are one bigram: as
+    pairs of two words they would be learned for each word anew.
+    """
+    codes = codes.astype(np.uint64)
+    h = codes[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = np.where(codes[:-1] == codes[1:], np.uint64(AGAIN), h)
+    return 1 + ((h ^ (h >> np.uint64(29))) % np.uint64(s.buckets - 1)).astype(np.int64)
+
+
+class Words:
+    """Numbers for words, given in order of appearance, with what is known of each."""
+
+    def __init__(self, s: Settings) -> None:
+        self.settings, self.at = s, {}
+        self.codes, self.buckets = [], []
+
+    def numbers(self, words: list[str]) -> list[int]:
+        at = self.at
+        for w in words:
+            if w not in at:
+                at[w] = len(at)
+                self.codes.append(crc32(w.encode("utf-8", "surrogatepass")))
+                self.buckets.append(features(w, self.settings))
+        return [at[w] for w in words]
+
+
+def bag(text: str | None, s: Settings) -> Bag:
+    """(buckets, shares) of a text, ascending; shares sum to 1."""
+    known = Words(s)
+    every = [0]
+    at = known.numbers((text or "").split())
+    if at:
+        every += [b for k in at for b in known.buckets[k]]
+        every = np.concatenate([every, bigrams(np.array(known.codes, np.uint64)[at], s)])
+    ids, n = np.unique(np.array(every, np.int64), return_counts=True)
+    return ids.astype(np.int32), (n / n.sum()).astype(np.float32)
 
 
 @dataclass
@@ -60,29 +101,15 @@ class Model:
         return (self.vectors @ (self.layer[:, 1] - self.layer[:, 0])).astype(np.float64)
 
 
-def train(labelled: Iterable[tuple[str | None, int]], s: Settings = Settings()) -> Model:  # noqa: B008
-    """Learn from (text, label) pairs; without any, every text scores one half."""
-    known: dict[str, np.ndarray] = {}
-    bags = []
-    for text, label in labelled:
-        words = (text or "").split()
-        bag = Counter({0: 1, 1: repeats(words)})
-        for w, n in Counter(words).items():
-            if w not in known:
-                known[w] = np.array(features(w, s), np.int32)
-            for f in known[w].tolist():
-                bag[f] += n
-        ids = np.fromiter(bag.keys(), np.int32)
-        n = np.fromiter(bag.values(), np.float64)
-        bags.append((ids, (n / n.sum()).astype(np.float32), int(label)))
-    del known
+def train_bags(bags: list[tuple[Bag, int]], s: Settings = Settings()) -> Model:  # noqa: B008
+    """Learn from (bag, label) pairs; without any, every text scores one half."""
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
     layer = np.zeros((s.dim, 2), np.float32)
     steps, done = max(1, s.epochs * len(bags)), 0
     for _ in range(s.epochs):
         for k in rng.permutation(len(bags)):
-            ids, share, label = bags[k]
+            (ids, share), label = bags[k]
             rate = s.rate * (1 - done / steps)
             done += 1
             own = vectors[ids]
@@ -100,37 +127,40 @@ def train(labelled: Iterable[tuple[str | None, int]], s: Settings = Settings())
     return Model(s, vectors, layer)
 
 
-class Scorer:
-    """Scores texts by the collapsed weights, with a bounded cache of words."""
-
-    def __init__(self, weights: np.ndarray, s: Settings) -> None:
-        self.weights, self.settings = weights.tolist(), s
-        self.young: dict[str, complex] = _Cache(self)
-
-    def word(self, word: str) -> complex:
-        """Sum of weights and number of features, in one number."""
-        at = features(word, self.settings)
-        return complex(sum(map(self.weights.__getitem__, at)), len(at))
-
-    def score(self, text: str | None) -> float:
-        words = (text or "").split()
-        again = repeats(words)
-        total = sum(map(self.young.__getitem__, words), complex(self.weights[0] + again * self.weights[1], 1 + again))
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, total.real / total.imag))))
+def train(labelled: Iterable[tuple[str | None, int]], s: Settings = Settings()) -> Model:  # noqa: B008
+    """Learn from (text, label) pairs."""
+    return train_bags([(bag(t, s), int(y)) for t, y in labelled], s)
 
 
-class _Cache(dict):
-    def __init__(self, scorer: Scorer) -> None:
-        self.scorer, self.older = scorer, {}
+class Scorer:
+    """Scores texts by the collapsed weights; what a word adds is remembered."""
 
-    def __missing__(self, word: str) -> complex:
-        if (found := self.older.get(word)) is None:
-            found = self.scorer.word(word)
-        if len(self) >= CACHE // 2:
-            self.older = dict(self)
-            self.clear()
-        self[word] = found
-        return found
+    def __init__(self, weights: np.ndarray, s: Settings) -> None:
+        self.weights, self.settings = weights, s
+        self.forget()
+
+    def forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.sums, self.counts, self.codes = np.zeros(1 << 12), np.zeros(1 << 12), np.zeros(1 << 12, np.uint64)
+
+    def _learn(self, word: str) -> int:
+        k = self.at[word] = len(self.at)
+        if k == len(self.sums):
+            self.sums, self.counts, self.codes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sums, self.counts, self.codes))
+        own = features(word, self.settings)
+        self.sums[k], self.counts[k], self.codes[k] = self.weights[own].sum(), len(own), crc32(word.encode("utf-8", "surrogatepass"))
+        return k
+
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+        out = []
+        for text in texts:
+            if len(self.at) > CACHE:
+                self.forget()
+            known = self.at
+            at = np.array([known[w] if w in known else self._learn(w) for w in (text or "").split()], np.int64)
+            pairs = self.weights[bigrams(self.codes[at], self.settings)] if len(at) > 1 else np.zeros(0)
+            out.append((self.weights[0] + self.sums[at].sum() + pairs.sum()) / (1 + self.counts[at].sum() + len(pairs)))
+        return 1 / (1 + np.exp(-np.clip(np.array(out, np.float64), -700, 700)))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -138,17 +168,40 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> list[tuple[str | None, int]]:  # noqa: B008
-    """At most s.sample labelled texts outside the held-out fold, chosen by a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> list[tuple[Bag, int]]:  # noqa: B008
+    """Bags of at most s.sample labelled texts outside the held-out fold, chosen by a hash of the id.
 
-    Rows without id or label, and ids with both labels equally often, teach nothing.
+    Rows without id or label, and ids with both labels equally often, teach nothing; of an id
+    whose texts differ the least one does. Bags are made by the executors, and one has at most
+    s.buckets entries, so that neither repeated ids nor long texts fill the driver.
     """
+    small_batches(docs.sparkSession)
     votes = labels.select(F.col(id_col).alias("k"), F.col(label_col).alias("y")).where(F.col("y").isin(0, 1) & F.col("k").isNotNull())
     votes = votes.where(~held_out("k")).groupBy("k").agg(F.sum(F.col("y") * 2 - 1).alias("y")).where("y <> 0")
     chosen = votes.orderBy(F.xxhash64("k"), "k").limit(s.sample)
-    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
-    rows = texts.join(F.broadcast(chosen), "k").select("k", "t", "y").collect()  # s.sample rows at most, but for repeated ids
-    return [(r.t, int(r.y > 0)) for r in sorted(rows, key=lambda r: (r.k, r.t or ""))]
+    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "k").groupBy("k", "y").agg(F.min("t").alias("t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [bag(t.as_py(), s) for t in b.column("t")]
+            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("y"), pa.array([i.tobytes() for i, _ in own], pa.binary()), pa.array([w.tobytes() for _, w in own], pa.binary())], ["k", "y", "ids", "shares"])
+
+    rows = texts.mapInArrow(run, f"k {docs.schema[id_col].dataType.simpleString()}, y long, ids binary, shares binary").collect()
+    return [((np.frombuffer(r.ids, np.int32), np.frombuffer(r.shares, np.float32)), int(r.y > 0)) for r in sorted(rows, key=lambda r: r.k)]
+
+
+def scored(spark, model: Model, text: Column) -> Column:  # noqa: ANN001
+    """The probability of label 1 of a text: only texts go to Python, and only numbers come back."""
+    small_batches(spark)
+    s, shared = model.settings, spark.sparkContext.broadcast(model.weights())
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(shared.value, s)
+        for texts in batches:
+            yield pa.array(scorer.scores(t.as_py() for t in texts), pa.float64())
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "double")(text)
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -158,35 +211,22 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     (about the share of label 1); repeated rows score alike; an empty table gives no
     rows. One pass, no shuffle.
     """
-    s = model.settings
-    shared = docs.sparkSession.sparkContext.broadcast(model.weights())
-    narrow = docs.select(F.struct(F.col(id_col).alias("id"), *(F.col(c) for c in keep)).alias("k"), F.col(text_col).alias("t"))
-    kind = narrow.schema["k"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Scorer(shared.value, s).score
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([score(t.as_py()) for t in b.column(1)], pa.float64())], ["k", "score"])
-
-    out = narrow.mapInArrow(run, f"k {kind}, score double")
-    return out.select(F.col("k.id").alias(id_col), held_out("k.id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *(F.col(f"k.{c}") for c in keep))
+    out = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), scored(docs.sparkSession, model, F.col(text_col)).alias("score"), *(F.col(c).alias(c) for c in keep))
+    return out.select(id_col, "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *keep)
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of docs that score at least threshold, with all their columns."""
-    s = model.settings
-    shared = docs.sparkSession.sparkContext.broadcast(model.weights())
-    whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("k"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Scorer(shared.value, s).score
-        for b in batches:
-            good = pa.array([score(t.as_py()) >= threshold for t in b.column(0).field(text_col)], pa.bool_())
-            yield b.filter(good)
+    """The rows of docs that score at least threshold, with all their columns, whatever these are called.
 
-    return whole.mapInArrow(run, whole.schema).select("k.*")
+    Null and empty texts score by the document's own vector, repeated rows are kept or
+    dropped alike, an empty table gives no rows. One pass, no shuffle; Python sees texts only.
+    """
+    return docs.where(scored(docs.sparkSession, model, F.col(text_col)) >= threshold)
 
 
 def classify(docs: DataFrame, learn_from: DataFrame, labels: DataFrame, s: Settings = Settings(), **kw) -> DataFrame:  # noqa: B008
-    """Train on learn_from and labels, score docs."""
-    return score_documents(docs, train(labelled_sample(learn_from, labels, s), s), **kw)
+    """Train on learn_from and labels, score docs: a row for every row of docs, as score_documents gives them.
+
+    Without any labelled row every score is one half.
+    """
+    return score_documents(docs, train_bags(labelled_sample(learn_from, labels, s), s), **kw)

@@ -46,7 +46,51 @@ def test_quality_never_sees_held_out_labels(spark):
     docs, labels = corpus(spark, 200)
     s = quality.Settings(buckets=1 << 12, epochs=2)
     turned = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
-    assert quality.labelled_sample(docs, labels, s) == quality.labelled_sample(docs, turned, s)
+    plain = lambda sample: [(i.tolist(), w.tolist(), y) for (i, w), y in sample]
+    assert plain(quality.labelled_sample(docs, labels, s)) == plain(quality.labelled_sample(docs, turned, s)) != []
+
+
+def plain_quality(model, text):
+    """Average of all vectors of a text, softmax; feature by feature."""
+    s = model.settings
+    place = lambda x: 1 + crc32(x.encode()) % (s.buckets - 1)
+    words = (text or "").split()
+    at = [0]
+    for w in words:
+        at.append(place(w))
+        at += [place(f"<{w}>"[i : i + n]) for n in (3, 4) for i in range(len(w) + 3 - n)]
+    for a, b in zip(words, words[1:], strict=False):
+        x, y = (crc32(w.encode()) for w in (a, b))
+        h = (x * 0x9E3779B97F4A7C15 + y * 0xC2B2AE3D27D4EB4F) % 2**64
+        h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 % 2**64
+        h = quality.AGAIN if a == b else h
+        at.append(1 + (h ^ h >> 29) % (s.buckets - 1))
+    hidden = np.mean([model.vectors[i].astype(float) for i in at], axis=0)
+    p = np.exp(hidden @ model.layer.astype(float))
+    return p[1] / p.sum()
+
+
+def test_quality_scores_equal_brute_force(spark):
+    docs, labels = corpus(spark, 120)
+    s = quality.Settings(buckets=1 << 12, epochs=3)
+    model = quality.train_bags(quality.labelled_sample(docs, labels, s), s)
+    odd = [(1000, None, ""), (1001, "", ""), (1002, "ab ab ab  été\n***", ""), (1003, "x", "")]
+    both = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    texts = {r.doc_id: r.text for r in both.collect()}
+    got = quality.score_documents(both, model).collect()
+    assert len(got) == 124 and all(abs(r.score - plain_quality(model, texts[r.doc_id])) < 1e-5 for r in got)
+    kept = quality.accepted(both.withColumnRenamed("score", "k"), model).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in got if r.score >= 0.3)
+
+
+def test_quality_sample_is_bounded(spark):
+    """Repeated ids teach once, long texts come as bags of bounded size."""
+    docs = spark.createDataFrame([(1, "a b " * 50_000), (1, "a b " * 50_000), (1, "c"), (2, None), (3, "d e")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (3, 1)], "doc_id long, quality int")
+    s = quality.Settings(buckets=1 << 10)
+    got = quality.labelled_sample(docs, labels, s)
+    kept = [k for k in (1, 2, 3) if crc32(str(k).encode()) % 5]
+    assert len(got) == len(kept) and all(len(i) <= s.buckets and abs(w.sum() - 1) < 1e-3 for (i, w), _ in got)
 
 
 def test_quality_edges(spark):

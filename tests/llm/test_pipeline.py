@@ -11,6 +11,7 @@ import tiktoken
 import corpus_pipeline
 from docket.llm import jaccard_join, mixing, quality, secrets
 from docket.llm.common import table, written
+from tests.llm.test_classifiers import plain_quality
 from tests.llm.test_jaccard import plain_groups
 
 DIR = "/root/testdata/sf0.001"
@@ -35,8 +36,10 @@ def test_names_and_columns(spark, stages):
 def test_quality(spark, stages):
     before, after = stages[0], stages[1]
     sample = quality.labelled_sample(table(spark, DIR, "documents"), table(spark, DIR, "labels"))
-    score = quality.Scorer(quality.train(sample).weights(), quality.Settings()).score
-    assert sorted(r.doc_id for r in after) == sorted(r.doc_id for r in before if score(r.text) >= 0.3)
+    model = quality.train_bags(sample)
+    score = {r.doc_id: plain_quality(model, r.text) for r in before}
+    assert all(abs(p - 0.3) > 1e-4 for p in score.values())
+    assert sorted(r.doc_id for r in after) == sorted(k for k, p in score.items() if p >= 0.3)
     labels = {r.doc_id: r.quality for r in table(spark, DIR, "labels").collect()}
     kept = {r.doc_id for r in after}
     good = [k for k, q in labels.items() if q == 1]

@@ -94,14 +94,14 @@ def brute_top(x, ids, every, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("s", [topk.Settings(), topk.Settings(k=3, leaf=4, crumbs=2, data_block=(64, 100), query_block=7)])
+@pytest.mark.parametrize("s", [topk.Settings(), topk.Settings(k=3, leaf=4, crumbs=2, data_block=(64, 100), query_block=7, sample=200)])
 def test_top(spark, s):
     x, labels = clustered(700, 2)
     got = sorted(tuple(r) for r in topk.top_k(frame(spark, x, labels), 10, s=s).collect())
     assert got == brute_top(x, np.arange(700), 10, s.k)
 
 
-def test_trees_prune():
+def test_trees_hold_their_points():
     x, _ = clustered(2000, 3)
     x = np.floor(x * 256).astype(np.int64)
     tree = topk.build(x.astype(float), topk.Settings())
@@ -116,6 +116,39 @@ def test_trees_prune():
     assert check(tree) > 20
 
 
+@pytest.mark.parametrize("dim", [3, 64])
+def test_clusters_are_pruned(dim):
+    """On 20 tight clusters fewer than half of all pairs are evaluated, within a block and between blocks."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(20, dim))
+    x = centres[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, dim)) * 0.03
+    x = np.floor(x * 256).astype(np.int64)
+    ids, s, seen = np.arange(4000), topk.Settings(), []
+    q = ids % 20 == 0
+    score, who = topk.search(x[q], ids[q], x, ids, s, seen=seen)
+    assert sum(seen) < 0.5 * q.sum() * 4000
+    for i, row in enumerate(np.flatnonzero(q)):
+        other = ids != row
+        best = sorted(zip((-(x[other] @ x[row])).tolist(), ids[other].tolist(), strict=True))[:5]
+        assert [(-a, b) for a, b in best] == list(zip(score[i].tolist(), who[i].tolist(), strict=True))
+    middles = topk.learned_centres(x, 20)
+    at, far = topk.nearest(x.astype(float), middles)
+    radii = np.array([far[at == c].max(initial=0) for c in range(len(middles))])
+    rows, to = topk.blocks_to_visit(x[q], score[:, -1], middles, radii, s)
+    assert len(rows) < 0.5 * q.sum() * len(middles)
+
+
+def test_equal_vectors_of_many_ids(spark):
+    """More equal vectors than k: each query gets the smallest ids but its own."""
+    df = spark.createDataFrame([(i, [1.0, 0.5], 0, "x", 0) for i in range(300)] + [(300 + i, [float(i % 7), 0.0], 0, "x", 0) for i in range(40)], SCHEMA).repartition(3)
+    x = np.array([[1.0, 0.5]] * 300 + [[float(i % 7), 0.0] for i in range(40)])
+    got = sorted(tuple(r) for r in topk.top_k(df, 10, s=topk.Settings(data_block=(16, 32))).collect())
+    assert got == brute_top(x, np.arange(340), 10, 5)
+    often = df.unionByName(df.where("vec_id = 0").crossJoin(spark.range(200)).drop("id"))
+    got = sorted(tuple(r) for r in topk.top_k(often.where("vec_id < 300"), 170).collect())
+    assert got == [(0, r, r, 81920) for r in range(1, 6)] + [(170, r, 0, 81920) for r in range(1, 6)]
+
+
 def test_large_numbers():
     q, d = np.array([[2**28, -3]]), np.array([[2**28, 1], [2**28, 0], [-(2**28), 5]])
     score, ids = topk.search(q, np.array([9]), d, np.array([1, 2, 3]), topk.Settings(k=2))
