@@ -15,9 +15,12 @@ from docket.llm.common import table, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the classifier accepts; it learns from the labelled rows of sf_dir outside the held-out fold."""
+    """Rows that the classifier accepts; it learns from the labelled rows of sf_dir outside the held-out fold.
+
+    Null and empty texts score by the classifier's own prior, repeated rows alike; an empty table gives no rows.
+    """
     sample = quality.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality.accepted(docs, quality.train(sample), threshold=0.3)
+    return quality.accepted(docs, quality.train_bags(sample), threshold=0.3)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,17 +29,22 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows; what the forest takes for a secret is replaced by a mark."""
+    """All rows; what the forest takes for a secret is replaced by a mark. Null texts stay null, an empty table gives no rows."""
     return secrets.redact(docs, secrets.default_forest(spark))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it: not at all, once or twice."""
+    """Each row as often as the mix takes it: not at all, once or twice. Null texts and texts without words come as often as
+    their source's whole copies, equal rows equally often; an empty table gives no rows.
+    """
     return mixing.mix(docs, weights=(5, 2, 1), share=1.5, most=2.0)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every row; ids as little-endian 32-bit integers."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every row; ids as little-endian 32-bit integers.
+
+    Null texts count as empty, repeated rows are all encoded, an empty table gives no rows.
+    """
     return bpe_codec.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).drop("piece_offsets")
 
 
