@@ -176,7 +176,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
     s.buckets entries, so that neither repeated ids nor long texts fill the driver.
     """
     small_batches(docs.sparkSession)
-    votes = labels.select(F.col(id_col).alias("k"), F.col(label_col).alias("y")).where(F.col("y").isin(0, 1) & F.col("k").isNotNull())
+    votes = labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("k").isNotNull())
     votes = votes.where(~held_out("k")).groupBy("k").agg(F.sum(F.col("y") * 2 - 1).alias("y")).where("y <> 0")
     chosen = votes.orderBy(F.xxhash64("k"), "k").limit(s.sample)
     texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "k").groupBy("k", "y").agg(F.min("t").alias("t"))

@@ -5,8 +5,11 @@ distinct lower-cased words and their beginnings. A later model also sees the ear
 categories' probabilities; while training, those are out-of-fold predictions, so
 that it learns from what earlier models say of texts they have not seen.
 
-A labels table with one column (toxic) gives a chain of three: learned terms of
-abuse present (abuse), several of them (pile_on), and the label itself (toxic).
+A labels table with one column (toxic) gives a chain of three: toxic texts with one of
+the terms of abuse that are most spread (widespread), toxic texts with one of the others
+(rare), which are different terms, and the label itself (toxic). Which terms those are
+is learned for each fold from the other folds, so that no row's own label has a part in
+the terms by which its categories are marked, and out-of-fold predictions hold none of it.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .quality import held_out
 
 CACHE = 1_000_000
@@ -37,7 +41,8 @@ class Settings:
     terms: int = 240  # terms that a model chooses
     folds: int = 5
     ridge: float = 1e-4
-    pile: int = 2  # different terms of abuse that make a pile_on
+    longest: int = 1 << 16  # bytes of a text that is learned from, at most
+    spread: float = 0.5  # share of the occurrences of abuse that the widespread terms make up
     threshold: float = 0.5
 
 
@@ -63,15 +68,24 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) ->
     return w[:-1], float(w[-1])
 
 
+def words_of(text: str | list[str] | None) -> list[str]:
+    return text if isinstance(text, list) else (text or "").split()
+
+
+def folds_of(texts: list[str | list[str] | None], s: Settings) -> np.ndarray:
+    """A fold for each text by its words; copies share one."""
+    return np.array([crc32(" ".join(sorted(set(words_of(t)))).encode("utf-8", "surrogatepass")) % s.folds for t in texts], np.int64)
+
+
 class Bags:
     """The sample's documents as sets of term numbers."""
 
-    def __init__(self, texts: list[str | None], s: Settings) -> None:
+    def __init__(self, texts: list[str | list[str] | None], s: Settings) -> None:
         known: dict[str, tuple[str, ...]] = {}
         sets = []
         for t in texts:
             own: set[str] = set()
-            for w in set((t or "").split()):
+            for w in set(words_of(t)):
                 if w not in known:
                     known[w] = terms_of(w, s)
                 own.update(known[w])
@@ -122,14 +136,14 @@ class Chain:
         return out
 
 
-def train(texts: list[str | None], labels: np.ndarray, weight: np.ndarray, categories: tuple[str, ...], s: Settings = Settings(), bags: Bags | None = None) -> Chain:  # noqa: B008
+def train(texts: list[str | list[str] | None], labels: np.ndarray, weight: np.ndarray, categories: tuple[str, ...], s: Settings = Settings(), bags: Bags | None = None) -> Chain:  # noqa: B008
     """Learn a chain; labels has a column for each category, in the chain's order.
 
     A category without both labels in the sample gets a constant model.
     """
     n = len(texts)
     bags = bags or Bags(texts, s)
-    fold = np.array([crc32((t or "").encode("utf-8", "surrogatepass")) % s.folds for t in texts], np.int64)  # copies share a fold
+    fold = folds_of(texts, s)
     earlier = np.zeros((n, 0))
     weights: dict[str, list[float]] = {}
     heads = []
@@ -158,16 +172,28 @@ def train(texts: list[str | None], labels: np.ndarray, weight: np.ndarray, categ
     return Chain(s, categories, {t: tuple(w) for t, w in weights.items()}, tuple(heads))
 
 
-def abuse_labels(bags: Bags, toxic: np.ndarray, s: Settings) -> np.ndarray:
-    """Columns abuse, pile_on, toxic: toxic rows by how many of the learned terms they have.
+def abuse_labels(bags: Bags, toxic: np.ndarray, fold: np.ndarray, s: Settings) -> np.ndarray:
+    """Columns widespread, rare, toxic: toxic rows by the kind of learned terms that they have.
 
-    A term that begins with another learned beginning isn't counted besides it.
+    A row's terms are learned from the other folds. A term that begins with another learned beginning
+    isn't counted besides it.
     """
-    chosen = bags.choose(np.ones(len(toxic), bool), toxic, s.terms)
-    begun = {bags.names[t][:-1] for t in chosen if bags.names[t].endswith("-")}
-    roots = [t for t in chosen if not any(bags.names[t] != b + "-" and bags.names[t].startswith(b) for b in begun)]
-    hits = bags.matrix(np.array(roots, np.int64), len(toxic)).sum(1)
-    return np.stack([toxic * (hits >= 1), toxic * (hits >= s.pile), toxic], 1)
+    out = np.stack([np.zeros_like(toxic), np.zeros_like(toxic), toxic], 1)
+    for f in range(s.folds):
+        others, mine = fold != f, fold == f
+        if not mine.any() or len(set(toxic[others])) < 2:
+            continue
+        chosen = bags.choose(others, toxic, s.terms)
+        begun = {bags.names[t][:-1] for t in chosen if bags.names[t].endswith("-")}
+        roots = np.array([t for t in chosen if not any(bags.names[t] != b + "-" and bags.names[t].startswith(b) for b in begun)], np.int64)
+        hits = bags.matrix(roots, len(toxic))
+        df = hits[others & (toxic == 1)].sum(0)
+        order = np.lexsort((roots, -df))
+        wide = np.zeros(len(roots), bool)
+        wide[order] = np.cumsum(df[order]) - df[order] < s.spread * df.sum()
+        for k, of in enumerate((wide, ~wide)):
+            out[mine, k] = toxic[mine] * (hits[mine][:, of].sum(1) > 0)
+    return out
 
 
 class Scorer:
@@ -199,31 +225,41 @@ class _Hits(dict):
         return found
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list[str | None], np.ndarray, np.ndarray]:  # noqa: B008
-    """(texts, labels, weights): at most s.per_class texts of each label, chosen by a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[list[list[str]], np.ndarray, np.ndarray]:  # noqa: B008
+    """(words, labels, weights): the distinct words of at most s.per_class texts of each label, chosen by a hash of the id.
 
-    Only rows outside the held-out fold teach. An id marked both ways counts as toxic.
-    Weights restore the share of each label.
+    Only rows outside the held-out fold teach. An id marked both ways counts as toxic; of an
+    id whose texts differ the least one teaches. Texts of more than s.longest bytes don't, so that what
+    the driver holds is bounded in rows and bytes. Weights restore the share of each label.
     """
-    marks = labels.select(F.col(id_col).alias("k"), F.col(label_col).alias("y")).where(F.col("y").isin(0, 1) & F.col("k").isNotNull())
+    small_batches(docs.sparkSession)
+    marks = labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("k").isNotNull())
     marks = marks.where(~held_out("k")).groupBy("k").agg(F.max("y").alias("y"))
     totals = {r.y: r.n for r in marks.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
-    rows = []
+    chosen = None
     for y in (0, 1):
-        chosen = marks.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(s.per_class)
-        rows += texts.join(F.broadcast(chosen), "k").select("k", "t", "y").collect()
-    rows.sort(key=lambda r: (r.k, r.t or ""))
+        some = marks.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(s.per_class)
+        chosen = some if chosen is None else chosen.unionByName(some)
+    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where(F.coalesce(F.octet_length("t"), F.lit(0)) <= s.longest)
+    texts = texts.join(F.broadcast(chosen), "k").groupBy("k", "y").agg(F.min("t").alias("t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [sorted(set((t.as_py() or "").split())) for t in b.column("t")]
+            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("y"), pa.array(own, pa.list_(pa.string()))], ["k", "y", "words"])
+
+    rows = texts.mapInArrow(run, f"k {docs.schema[id_col].dataType.simpleString()}, y int, words array<string>").collect()
+    rows.sort(key=lambda r: r.k)
     y = np.array([r.y for r in rows], np.int64)
     weight = np.array([totals[v] / max(1, (y == v).sum()) for v in y])
-    return [r.t for r in rows], y, weight / weight.mean() if len(y) else weight
+    return [list(r.words) for r in rows], y, weight / weight.mean() if len(y) else weight
 
 
 def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), **kw) -> Chain:  # noqa: B008
-    """The chain abuse, pile_on, toxic from a table with the column toxic."""
-    texts, y, weight = labelled_sample(docs, labels, s, **kw)
-    bags = Bags(texts, s)
-    return train(texts, abuse_labels(bags, y, s), weight, ("abuse", "pile_on", "toxic"), s, bags)
+    """The chain widespread, rare, toxic from a table with the column toxic."""
+    words, y, weight = labelled_sample(docs, labels, s, **kw)
+    bags = Bags(words, s)
+    return train(words, abuse_labels(bags, y, folds_of(words, s), s), weight, ("widespread", "rare", "toxic"), s, bags)
 
 
 def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,6 +268,7 @@ def score_documents(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_
     Whole texts count. Null and empty texts have no terms and get the intercepts;
     repeated rows score alike; an empty table gives no rows. One pass, no shuffle.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     kind = docs.schema[id_col].dataType.simpleString()
     names = [f"p_{c}" for c in chain.categories]

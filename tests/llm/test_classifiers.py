@@ -114,8 +114,50 @@ def test_toxicity_held_out(spark):
     got = toxicity.score_documents(docs, toxicity.learn(docs, labels, s)).join(labels, "doc_id").collect()
     held = [r for r in got if r.held_out]
     assert len(got) == 600 and sum(r.predicted == r.toxic for r in held) / len(held) > 0.95
-    # pile_on is the stricter category
-    assert np.mean([r.p_pile_on for r in held]) < np.mean([r.p_abuse for r in held])
+
+
+def plain_chain(chain, text):
+    """Each category's probability from its own weights and those before it, term by term."""
+    terms = {t for w in (text or "").split() for t in toxicity.terms_of(w, chain.settings)}
+    out = []
+    for k, (bias, *earlier) in enumerate(chain.heads):
+        z = bias + sum(chain.weights[t][k] for t in terms if t in chain.weights) + sum(a * b for a, b in zip(earlier, out, strict=True))
+        out.append(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+    return out
+
+
+def test_toxicity_scores_equal_brute_force(spark):
+    docs, labels = corpus(spark, 240)
+    chain = toxicity.learn(docs, labels, toxicity.Settings(terms=30))
+    both = docs.unionByName(spark.createDataFrame([(1000, None, ""), (1001, "Grolbit!! SNARFLE é", "")], docs.schema))
+    texts = {r.doc_id: r.text for r in both.collect()}
+    for r in toxicity.score_documents(both, chain).collect():
+        want = plain_chain(chain, texts[r.doc_id])
+        assert np.allclose([r.p_widespread, r.p_rare, r.p_toxic], want) and r.predicted == int(want[2] >= 0.5)
+
+
+def test_categories_are_marked_by_the_other_folds_terms(spark):
+    """A term that one fold alone has marks nothing, and a row's categories don't depend on its own fold's labels."""
+    docs, labels = corpus(spark, 400)
+    s = toxicity.Settings(terms=40)
+    words, y, _ = toxicity.labelled_sample(docs, labels, s)
+    bags, fold = toxicity.Bags(words, s), toxicity.folds_of(words, s)
+    marks = toxicity.abuse_labels(bags, y, fold, s)
+    assert (marks[:, 2] == y).all() and (marks[:, :2].max(1) <= y).all()
+    assert 0 < marks[:, 0].sum() and 0 < marks[:, 1].sum()
+    assert (marks[:, 0] != marks[:, 1]).any() and (marks[:, 0] != y).any()
+    first = int(np.flatnonzero((fold == 0) & (y == 1))[0])
+    others = (fold == 0) & (np.arange(len(y)) != first)
+    again = toxicity.abuse_labels(bags, np.where(others, 1 - y, y), fold, s)
+    assert (again[first] == marks[first]).all()
+
+
+def test_toxicity_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(k, "bad word " * 3) for k in (1, 1, 2, 3, 4)] + [(5, "long " * 20_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 6)], "doc_id long, toxic long")
+    words, y, w = toxicity.labelled_sample(docs, labels)
+    kept = [k for k in (1, 2, 3, 4) if crc32(str(k).encode()) % 5]
+    assert words == [["bad", "word"]] * len(kept) and y.tolist() == [k % 2 for k in kept] and len(w) == len(kept)
 
 
 def test_chain_uses_earlier_categories():
