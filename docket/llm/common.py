@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -42,15 +44,41 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_SCOPES = threading.local()
+
+
+def remove_later(spark: SparkSession, path: str) -> None:
+    """Remove a folder when the driver ends."""
+    atexit.register(_drop, spark, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written inside is removed at the end, but for tables that are written to be kept."""
+    scopes = _SCOPES.__dict__.setdefault("open", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            _drop(spark, path)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage, survives lost executors.
 
-    The table is removed when the driver ends.
+    The table is removed at the end of the scratch() that it is written in (of the one around that
+    with keep), else when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/docket-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_drop, spark, path)
+    scopes = _SCOPES.__dict__.get("open", [])
+    scopes = scopes[:-1] if keep else scopes
+    if scopes:
+        scopes[-1].append(path)
+    else:
+        remove_later(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -100,7 +100,7 @@ def tables_needed(q: Quantiser, x: np.ndarray, labels: list, s: Settings) -> int
 def fit(x: np.ndarray, largest: int, s: Settings, labels: list | None = None) -> Quantiser:
     """largest: vectors of the largest label; substrings are long enough that few unlike vectors share one, and short enough for the wanted recall."""
     groups = [None] * len(x) if labels is None else labels
-    top = min(24, max(10, math.ceil(math.log2(max(2, largest))) + 2))
+    top = min(30, max(10, math.ceil(math.log2(max(2, largest))) + 2))
     turns: list[tuple[np.ndarray, np.ndarray]] = []
 
     def cut(bits: int, tables: int) -> Quantiser:

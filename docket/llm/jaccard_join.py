@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, components, runs, small_batches, unused, written
+from .common import bounded, components, runs, scratch, small_batches, unused, written
 
 #: Bytes that separate words.
 SPACES = (9, 10, 11, 12, 13, 32)
@@ -405,6 +405,11 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", te
     what any of them links with. An empty table gives no rows; other columns are not read.
     """
     small_batches(docs.sparkSession)
+    with scratch(docs.sparkSession):
+        return _groups(docs, s, id_col, text_col)
+
+
+def _groups(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     known = docs.where("id is not null and t is not null")
@@ -413,7 +418,7 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", te
     if not once:  # texts are only shuffled where ids repeat
         known = written(known.distinct(), "join-distinct")
     late = common_shingles(known, total, s)
-    sigs = written(signatures(docs, late, s), "join-signatures")
+    sigs = written(signatures(docs, late, s), "join-signatures", keep=True)
 
     # Exact copies: one representative for each digest; also rows that share an id.
     usable = sigs.where("n > 0 and id is not null")
@@ -525,7 +530,7 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", te
     # Components over all links that were found: copies, stars and bridges.
     edges = copies.select(F.col("id").alias("a"), F.col("rep").alias("b")).unionByName(moved.select(F.col("id").alias("a"), F.col("root").alias("b"))).unionByName(more)
     found = components(edges, "join-cc2").where("node <> root").select(F.col("node").alias("id"), "root")
-    out = sigs.select("id", "n").join(bounded(written(found, "join-components"), s.broadcast), "id", "left")
+    out = sigs.select("id", "n").join(bounded(written(found, "join-components", keep=True), s.broadcast), "id", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("root", "id").cast(kind).alias("component_id"))
 
 

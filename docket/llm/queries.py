@@ -28,7 +28,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"), secrets.default_forest(spark))
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.forest_for(docs))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,27 +1,30 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest (operator 5).
 
-Candidates are long runs with digits, whole key blocks, values after a secret's name
-and passwords in URLs.
+Candidates are long runs with digits or a known prefix, whole key blocks, values after
+a secret's name and passwords in URLs.
 A forest judges each by its length, character transitions, dictionary coverage, path
-and neighbouring words; it is trained from labelled findings. Everything that touches
+and neighbouring words; it is trained from labelled findings. The dictionary is that of
+the corpus: the words that most of its documents have. Everything that touches
 documents is a DataFrame function: features are columns, and the trees are arrays
 walked by higher-order functions. Nothing is exploded, joined or shuffled.
 """
 
 from __future__ import annotations
 
-import functools
 import json
+import pkgutil
 import random
 import string
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import unused
+
 #: Words that name a secret, words that name something public, common words inside identifiers.
 SECRET_WORDS = "token secret password passwd pwd apikey api_key api-key key auth authorization bearer credential credentials private".split()
 PUBLIC_WORDS = "commit sha sha1 sha256 md5 checksum digest hash etag uuid guid revision rev build version id isbn serial order invoice phone card".split()
@@ -35,13 +38,13 @@ _KEY = r"[A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
 #: After a secret's name, quoted or not, and = or :.
 _NAMED = rf"""(?<=(?i:{_NAMES})[\\"']{{0,2}}\s{{0,3}}[:=]\s{{0,3}}"""
 #: A private key from BEGIN to END (without END: its header and the lines that can be its body); a value of 8 or more
-#: after a secret's name, quoted or not; a password in a URL; a run of 16 or more with a digit.
+#: after a secret's name, quoted or not; a password in a URL; a run of 16 or more with a digit or a known prefix.
 CANDIDATE = (
     rf"-----BEGIN {_KEY}(?:[^\-]*+(?:-(?!----)[^\-]*+)*+-----END {_KEY}|(?:(?:\s|\\[nr])+(?:(?:Proc-Type|DEK-Info|Version|Comment): [^\r\n]*+|[A-Za-z0-9+/=]{{16,}}+))*+)"
     rf"""|(?<=["']){_NAMED}["'])[^\s"']{{8,}}"""
     rf"""|(?<=[:=]\s{{0,3}})(?=[^\s"',;]{{8}}){_NAMED})[^\s"',;]{{7,}}[^\s"',;.]"""
     r"""|(?<=:)(?<=://[^\s/:@"']{0,64}:)[^\s/"']+(?=@)"""
-    rf"|(?<!{_RUN})(?=[A-Za-z+/_.\-]*+[0-9]){_RUN}{{16,}}(?<!\.)={{0,2}}"
+    rf"|(?<!{_RUN})(?=[A-Za-z+/_.\-]*+[0-9]|{'|'.join(PREFIXES[:-1])}){_RUN}{{16,}}(?<!\.)={{0,2}}"
 )
 #: Characters of context on either side.
 CONTEXT = 48
@@ -51,8 +54,23 @@ def _any(words: list[str]) -> str:
     return "|".join(w.replace("-", r"\-") for w in words)
 
 
-def features(value: Column, before: Column, after: Column) -> list[Column]:
-    """The numbers that the forest sees of a candidate and its context."""
+#: Letters of the shortest word of a dictionary.
+SHORTEST = 4
+
+
+def dictionary(docs: DataFrame, size: int = 3000, text_col: str = "text") -> tuple[str, ...]:
+    """The words of SHORTEST letters or more that most documents have, in lower case; at most size, ties by the word.
+
+    All texts count, each once for a word; null and empty texts have none, an empty table gives no words.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(rf"\p{{L}}{{{SHORTEST},}}"), F.lit(0)))
+    counted = docs.select(F.explode(words).alias("w")).groupBy("w").agg(F.count("*").alias("n")).where("n > 1")
+    return tuple(sorted(r.w for r in counted.orderBy(F.col("n").desc(), "w").limit(size).collect()))
+
+
+def features(value: Column, before: Column, after: Column, words: tuple[str, ...] = ()) -> list[Column]:
+    """The numbers that the forest sees of a candidate and its context; words: the dictionary."""
+    known = F.split(F.lit(" ".join([*COMMON_WORDS, *words])), " ")
     low = F.lower(value)
     n = F.greatest(F.lit(1), F.length(value)).cast("double")
 
@@ -73,12 +91,16 @@ def features(value: Column, before: Column, after: Column) -> list[Column]:
         F.size(F.array_distinct(F.split(value, ""))) / n,
         share("[^aeiou]", low),
         yes(value.rlike("^[0-9a-f]+$|^[0-9A-F]+$")),
-        1 - share(f"({_any(COMMON_WORDS)})", low),  # dictionary coverage
+        1 - share(f"({_any(COMMON_WORDS)})", low),  # dictionary coverage, inside of words and by whole ones
+        F.aggregate(F.split(low, r"[^\p{L}]+"), F.lit(0), lambda total, w: total + F.when(F.array_contains(known, w), F.length(w)).otherwise(0)) / n,
         share("[^/]"),  # path
         yes(before.rlike(r"(://|/|\\)[^\s\"']*$")),
         yes(before.rlike(rf"(?i)({_any(SECRET_WORDS)})[^A-Za-z0-9]{{0,6}}$")),
         yes(before.rlike(rf"(?i)\b({_any(PUBLIC_WORDS)})[^A-Za-z0-9]{{0,6}}$")),
         yes(before.rlike(r"[=:]\s*[\"']?$")),
+        yes(before.rlike(r"=[\"']?$")),
+        yes(before.rlike(r"://[^\s/:@]{0,64}:$") & after.startswith("@")),
+        yes(value.rlike(r"^[a-z]+$")),
         yes(before.rlike(r"[\"']$") & after.rlike(r"^[\"']")),
         yes(value.rlike(f"^({_any(PREFIXES)})")),
         yes(low.rlike(f"({_any(PLACEHOLDERS)})")),
@@ -96,6 +118,7 @@ class Forest:
     right: tuple[int, ...]
     value: tuple[float, ...]
     depth: int
+    words: tuple[str, ...] = ()
 
     def column(self, of: Column) -> Column:
         """Mean of the trees' leaves for an array of features."""
@@ -216,21 +239,27 @@ def findings(seed: int = 5, each: int = 40) -> list[dict]:
     return out
 
 
-def learn(spark: SparkSession, labelled: list[dict] | None = None, **kw) -> Forest:
+def written_findings() -> list[dict]:
+    """Labelled findings that were written by hand: what people choose as passwords, and prose and code beside a secret's name."""
+    return json.loads(pkgutil.get_data(__package__, "findings.json"))
+
+
+def learn(spark: SparkSession, labelled: list[dict] | None = None, words: tuple[str, ...] = (), **kw) -> Forest:
     """A forest from labelled findings (value, before, after, label); their features are computed by Spark.
 
-    The list is the training set and bounded by its author; by default it is findings().
+    The list is the training set and bounded by its author; by default it is findings() and
+    written_findings(), these eight times. words: the corpus' dictionary.
     """
-    labelled = findings() if labelled is None else labelled
+    labelled = findings() + 8 * written_findings() if labelled is None else labelled
     kind = "array<struct<value:string,before:string,after:string,label:int>>"
     rows = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(labelled)), kind)).alias("r")).select("r.*")
-    got = rows.select(F.array(*features(F.col("value"), F.col("before"), F.col("after"))).alias("x"), "label").collect()
-    return grow(np.array([r.x for r in got]), np.array([r.label for r in got], float), **kw)
+    got = rows.select(F.array(*features(F.col("value"), F.col("before"), F.col("after"), words)).alias("x"), "label").collect()
+    return replace(grow(np.array([r.x for r in got]), np.array([r.label for r in got], float), **kw), words=words)
 
 
-@functools.lru_cache(maxsize=4)
-def default_forest(spark: SparkSession) -> Forest:
-    return learn(spark)
+def forest_for(docs: DataFrame, text_col: str = "text") -> Forest:
+    """A forest with the dictionary of docs."""
+    return learn(docs.sparkSession, words=dictionary(docs, text_col=text_col))
 
 
 def _judged(text: Column, forest: Forest) -> Column:
@@ -242,7 +271,7 @@ def _judged(text: Column, forest: Forest) -> Column:
             F.when(F.size(x["c"]) > 0, F.sequence(F.lit(0), F.size(x["c"]) - 1)).otherwise(F.array().cast("array<int>")),
             lambda i: F.struct(
                 F.get(x["c"], i).alias("value"),
-                F.array(*features(F.get(x["c"], i), F.right(F.get(x["p"], i), F.lit(CONTEXT)), F.substring(F.get(x["p"], i + 1), 1, CONTEXT))).alias("x"),
+                F.array(*features(F.get(x["c"], i), F.right(F.get(x["p"], i), F.lit(CONTEXT)), F.substring(F.get(x["p"], i + 1), 1, CONTEXT), forest.words)).alias("x"),
                 F.length(F.get(x["p"], i)).alias("gap"),
                 F.get(x["p"], i + 1).alias("rest"),
             ),
@@ -277,12 +306,14 @@ def scan(docs: DataFrame, forest: Forest, threshold: float = 0.5, id_col: str =
 def redact(docs: DataFrame, forest: Forest, threshold: float = 0.5, mark: str = "[SECRET]", text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
     """docs with each secret replaced by mark, all rows and columns kept.
 
-    size_col, if there, is set to the new length where a text changed. Null texts stay null.
+    size_col, if there, is set to the new length where a text changed. Null texts stay null, empty
+    ones empty; repeated rows change alike; an empty table gives no rows; columns may have any names.
     """
     text = F.col(text_col)
     judged = F.transform(F.array(_judged(text, forest)), lambda j: F.concat(j["head"], F.array_join(F.transform(j["found"], lambda c: F.concat(F.when(c["score"] >= threshold, F.lit(mark)).otherwise(c["value"]), c["rest"])), "")))
     new = F.when(text.isNotNull(), F.get(judged, F.lit(0)))
-    out = docs.withColumn("_new", new)
+    name = unused(docs, "new")
+    out = docs.withColumn(name, new)
     if size_col in docs.columns:
-        out = out.withColumn(size_col, F.when(F.col("_new") != text, F.length("_new").cast(docs.schema[size_col].dataType)).otherwise(F.col(size_col)))
-    return out.withColumn(text_col, F.col("_new")).drop("_new")
+        out = out.withColumn(size_col, F.when(F.col(name) != text, F.length(name).cast(docs.schema[size_col].dataType)).otherwise(F.col(size_col)))
+    return out.withColumn(text_col, F.col(name)).drop(name)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import written
+from .common import remove_later, scratch, small_batches, written
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core
 
@@ -42,8 +42,10 @@ SIMPLE = r"^[\x{00}-\x{12f}]*$"
 TAIL = r"(?P<tail>[!-/:-@\[-`{-~]*)$"
 #: Stands between words that are encoded together; its id must be one that it alone has.
 SEPARATOR = "€"
-#: Tokens after which a block is closed.
+#: Tokens after which a block is closed; tokens of a shard, and shards at most (their bounds are held by the driver).
 BLOCK = 1 << 18
+SHARD = 1 << 23
+SHARDS = 20_000
 
 
 def length_table() -> np.ndarray:
@@ -258,7 +260,8 @@ def write_ids(docs: DataFrame, path: str, out: str, end_id: int, id_col: str = "
     """Encode docs and write the files to the folder out, with end_id after each document.
 
     Ids are numbers. Null texts count as empty (end id only); repeated rows are all written; null ids
-    come first; an empty table writes no block. The rank table has one row per id of
+    come first; an empty table writes no block. There are as many shards as their tokens ask for (SHARD),
+    and at least as many as the session's shuffle partitions. The rank table has one row per id of
     the vocabulary that occurs, so that its size is bounded by the vocabulary.
     """
     spark = docs.sparkSession
@@ -270,7 +273,7 @@ def write_ids(docs: DataFrame, path: str, out: str, end_id: int, id_col: str = "
     schema = "rank long, id long, n long"
     spark.createDataFrame([(k, int(i), int(count[i])) for k, i in enumerate(order)], schema).coalesce(1).write.parquet(f"{out}/ranks")
 
-    shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), min(SHARDS, -(-sum(count.values()) // SHARD)))
     kind = docs.schema[id_col].dataType.simpleString()
     bounds = np.array(sorted(set(coded.approxQuantile("k", [i / shards for i in range(1, shards)], 0.2 / shards))) if shards > 1 and order else [])
     table = spark.sparkContext.broadcast(rank)
@@ -355,7 +358,10 @@ def read_ids(spark: SparkSession, out: str, id_col: str = "doc_id", keep_ids: bo
 
 
 def round_trip(docs: DataFrame, path: str, folder: str, end_id: int = 2, id_col: str = "doc_id") -> DataFrame:
-    """Write the files to a new folder within folder and read them back, without the ids."""
+    """Write the files to a new folder within folder and read them back, without the ids. The folder is removed when the driver ends."""
     out = f"{folder}/token-ids-{uuid.uuid4().hex}"
-    write_ids(docs, path, out, end_id, id_col)
+    small_batches(docs.sparkSession)
+    remove_later(docs.sparkSession, out)
+    with scratch(docs.sparkSession):
+        write_ids(docs, path, out, end_id, id_col)
     return read_ids(docs.sparkSession, out, id_col, keep_ids=False)

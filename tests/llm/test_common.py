@@ -35,3 +35,19 @@ def test_components(spark, kind, at_once):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r.node: r.root for r in components(df, at_once=at_once).collect()}
     assert got == plain(edges)
+
+
+def test_scratch_removes_what_is_not_kept(spark):
+    from pathlib import Path
+
+    from docket.llm.common import scratch, shared_dir, written
+
+    there = lambda: {p.name.split("-")[1] for p in Path(shared_dir(spark).removeprefix("file:")).glob("docket-s?scope-*")}
+    with scratch(spark):
+        written(spark.range(3), "s1scope")
+        with scratch(spark):
+            written(spark.range(3), "s2scope")
+            inner = written(spark.range(3), "s3scope", keep=True)
+        assert there() == {"s1scope", "s3scope"} and inner.count() == 3
+        kept = written(spark.range(4), "s4scope", keep=True)
+    assert there() == {"s4scope"} and kept.count() == 4

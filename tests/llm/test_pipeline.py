@@ -56,7 +56,7 @@ def test_secrets(spark, stages):
     before, after = {r.doc_id: r for r in stages[2]}, {r.doc_id: r for r in stages[3]}
     assert before.keys() == after.keys()
     changed = [k for k in before if before[k].text != after[k].text]
-    found = secrets.scan(spark.createDataFrame(stages[2]), secrets.default_forest(spark)).where("n_secrets > 0").collect()
+    found = secrets.scan(spark.createDataFrame(stages[2]), secrets.forest_for(spark.createDataFrame(stages[2]))).where("n_secrets > 0").collect()
     assert sorted(changed) == sorted(r.doc_id for r in found)
     assert all(after[k].n_chars == len(after[k].text) for k in changed)
 
