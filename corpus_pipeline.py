@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from docket.llm import bpe_codec, jaccard_join, mixing, quality, secrets
-from docket.llm.common import table, written
+from docket.llm.common import scratch, table, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows; what the forest takes for a secret is replaced by a mark. Null texts stay null, an empty table gives no rows."""
-    return secrets.redact(docs, secrets.default_forest(spark))
+    return secrets.redact(docs, secrets.forest_for(docs))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,5 +63,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"stage{k}")
+        with scratch(spark):
+            docs = written(stage(spark, docs, sf_dir), f"stage{k}", keep=True)
     return docs
