@@ -227,6 +227,8 @@ def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, s: Settings) -
     of more than s.block elements is cut into blocks, and a set goes to each block
     that it has a pair in. Sets are computed again from the texts of these documents alone.
     """
+    if pairs.isEmpty():
+        return pairs
     kind = docs.schema["id"].dataType.simpleString()
     clusters = written(components(pairs, "join-cluster"), "join-clusters")
     weights = sizes.join(bounded(clusters.withColumnRenamed("node", "id"), s.broadcast), "id")
@@ -525,7 +527,7 @@ def _groups(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFra
     met = x.join(y, ["h", "way", "band"]).where(once_only & first & near & (F.col("id1") != F.col("id2")) & (F.col("root1") != F.col("root2")) & room)
     met = met.select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2"), both.alias("need"))
     rest = written(often(met).select(F.col("id1").alias("a"), F.col("id2").alias("b")), "join-pairs")
-    more = verified(rest, known, sizes, s) if not rest.isEmpty() else rest
+    more = verified(rest, known, sizes, s)
 
     # Components over all links that were found: copies, stars and bridges.
     edges = copies.select(F.col("id").alias("a"), F.col("rep").alias("b")).unionByName(moved.select(F.col("id").alias("a"), F.col("root").alias("b"))).unionByName(more)
