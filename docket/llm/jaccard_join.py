@@ -145,6 +145,7 @@ def shingled(texts: pa.Array, s: Shingler, size: int = 1 << 18) -> Iterator[np.n
                 part, held = [], 0
         if part:
             yield from s.sets(part)
+    pa.default_memory_pool().release_unused()
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:

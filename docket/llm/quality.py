@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-#: Words that a worker remembers; beyond that it begins anew.
-CACHE = 500_000
+#: Words that a worker remembers; beyond that it forgets those that it hasn't met for longest.
+CACHE = 160_000
 #: Stands for "the word before again".
 AGAIN = 0x5851F42D4C957F2D
 Bag = tuple[np.ndarray, np.ndarray]
@@ -37,6 +37,7 @@ class Settings:
     rate: float = 1.0
     seed: int = 11
     sample: int = 3000  # labelled documents that are learned from
+    longest: int = 1 << 16  # bytes of a text that is learned from, at most
 
 
 def features(word: str, s: Settings) -> list[int]:
@@ -101,8 +102,9 @@ class Model:
         return (self.vectors @ (self.layer[:, 1] - self.layer[:, 0])).astype(np.float64)
 
 
-def train_bags(bags: list[tuple[Bag, int]], s: Settings = Settings()) -> Model:  # noqa: B008
-    """Learn from (bag, label) pairs; without any, every text scores one half."""
+def train(labelled: Iterable[tuple[str | None, int]], s: Settings = Settings()) -> Model:  # noqa: B008
+    """Learn from (text, label) pairs; without any, every text scores one half."""
+    bags = [(bag(t, s), int(y)) for t, y in labelled]
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
     layer = np.zeros((s.dim, 2), np.float32)
@@ -127,39 +129,50 @@ def train_bags(bags: list[tuple[Bag, int]], s: Settings = Settings()) -> Model:
     return Model(s, vectors, layer)
 
 
-def train(labelled: Iterable[tuple[str | None, int]], s: Settings = Settings()) -> Model:  # noqa: B008
-    """Learn from (text, label) pairs."""
-    return train_bags([(bag(t, s), int(y)) for t, y in labelled], s)
-
-
 class Scorer:
-    """Scores texts by the collapsed weights; what a word adds is remembered."""
+    """Scores texts by the collapsed weights; what a word adds is remembered, in an older and a younger half."""
 
     def __init__(self, weights: np.ndarray, s: Settings) -> None:
         self.weights, self.settings = weights, s
-        self.forget()
-
-    def forget(self) -> None:
+        self.half = max(2, CACHE // 2)
         self.at: dict[str, int] = {}
-        self.sums, self.counts, self.codes = np.zeros(1 << 12), np.zeros(1 << 12), np.zeros(1 << 12, np.uint64)
+        self.older: dict[str, int] = {}
+        # a word's number is its place in the half that it is in
+        self.young, self.old = (np.zeros((3, self.half)) for _ in range(2))
 
     def _learn(self, word: str) -> int:
+        if len(self.at) == self.half:
+            self.at, self.older = {}, self.at
+            self.young, self.old = self.old, self.young
         k = self.at[word] = len(self.at)
-        if k == len(self.sums):
-            self.sums, self.counts, self.codes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sums, self.counts, self.codes))
-        own = features(word, self.settings)
-        self.sums[k], self.counts[k], self.codes[k] = self.weights[own].sum(), len(own), crc32(word.encode("utf-8", "surrogatepass"))
+        if (known := self.older.get(word)) is not None:
+            self.young[:, k] = self.old[:, known]
+        else:
+            own = features(word, self.settings)
+            self.young[:, k] = self.weights[own].sum(), len(own), crc32(word.encode("utf-8", "surrogatepass"))
         return k
 
+    def _look(self, words: list[str]) -> np.ndarray:
+        """Sum, number of features and code of each word."""
+        out, start = [], 0
+        while start < len(words):  # at most so many that none of them is forgotten meanwhile
+            some = words[start : start + self.half]
+            start += len(some)
+            if len(self.at) + len(some) > self.half:
+                missing = len({w for w in some if w not in self.at})
+                if len(self.at) + missing > self.half:
+                    self.at, self.older = {}, self.at
+                    self.young, self.old = self.old, self.young
+            known = self.at
+            out.append(self.young[:, [known[w] if w in known else self._learn(w) for w in some]])
+        return np.hstack(out) if out else np.zeros((3, 0))
+
     def scores(self, texts: Iterable[str | None]) -> np.ndarray:
         out = []
         for text in texts:
-            if len(self.at) > CACHE:
-                self.forget()
-            known = self.at
-            at = np.array([known[w] if w in known else self._learn(w) for w in (text or "").split()], np.int64)
-            pairs = self.weights[bigrams(self.codes[at], self.settings)] if len(at) > 1 else np.zeros(0)
-            out.append((self.weights[0] + self.sums[at].sum() + pairs.sum()) / (1 + self.counts[at].sum() + len(pairs)))
+            sums, counts, codes = self._look((text or "").split())
+            pairs = self.weights[bigrams(codes.astype(np.uint64), self.settings)] if len(codes) > 1 else np.zeros(0)
+            out.append((self.weights[0] + sums.sum() + pairs.sum()) / (1 + counts.sum() + len(pairs)))
         return 1 / (1 + np.exp(-np.clip(np.array(out, np.float64), -700, 700)))
 
 
@@ -168,26 +181,20 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> list[tuple[Bag, int]]:  # noqa: B008
-    """Bags of at most s.sample labelled texts outside the held-out fold, chosen by a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> list[tuple[str | None, int]]:  # noqa: B008
+    """At most s.sample labelled texts outside the held-out fold, chosen by a hash of the id.
 
     Rows without id or label, and ids with both labels equally often, teach nothing; of an id
-    whose texts differ the least one does. Bags are made by the executors, and one has at most
-    s.buckets entries, so that neither repeated ids nor long texts fill the driver.
+    whose texts differ the least one does. Texts of more than s.longest bytes don't teach, so that what the
+    driver holds is bounded in rows and bytes (bags of features would be three times as large as texts).
     """
     small_batches(docs.sparkSession)
     votes = labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("k").isNotNull())
     votes = votes.where(~held_out("k")).groupBy("k").agg(F.sum(F.col("y") * 2 - 1).alias("y")).where("y <> 0")
     chosen = votes.orderBy(F.xxhash64("k"), "k").limit(s.sample)
-    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "k").groupBy("k", "y").agg(F.min("t").alias("t"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = [bag(t.as_py(), s) for t in b.column("t")]
-            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("y"), pa.array([i.tobytes() for i, _ in own], pa.binary()), pa.array([w.tobytes() for _, w in own], pa.binary())], ["k", "y", "ids", "shares"])
-
-    rows = texts.mapInArrow(run, f"k {docs.schema[id_col].dataType.simpleString()}, y long, ids binary, shares binary").collect()
-    return [((np.frombuffer(r.ids, np.int32), np.frombuffer(r.shares, np.float32)), int(r.y > 0)) for r in sorted(rows, key=lambda r: r.k)]
+    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where(F.coalesce(F.octet_length("t"), F.lit(0)) <= s.longest)
+    rows = texts.join(F.broadcast(chosen), "k").groupBy("k", "y").agg(F.min("t").alias("t")).collect()
+    return [(r.t, int(r.y > 0)) for r in sorted(rows, key=lambda r: r.k)]
 
 
 def scored(spark, model: Model, text: Column) -> Column:  # noqa: ANN001
@@ -199,6 +206,7 @@ def scored(spark, model: Model, text: Column) -> Column:  # noqa: ANN001
         scorer = Scorer(shared.value, s)
         for texts in batches:
             yield pa.array(scorer.scores(t.as_py() for t in texts), pa.float64())
+        pa.default_memory_pool().release_unused()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "double")(text)
@@ -229,4 +237,4 @@ def classify(docs: DataFrame, learn_from: DataFrame, labels: DataFrame, s: Setti
 
     Without any labelled row every score is one half.
     """
-    return score_documents(docs, train_bags(labelled_sample(learn_from, labels, s), s), **kw)
+    return score_documents(docs, train(labelled_sample(learn_from, labels, s), s), **kw)

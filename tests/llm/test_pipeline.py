@@ -36,7 +36,7 @@ def test_names_and_columns(spark, stages):
 def test_quality(spark, stages):
     before, after = stages[0], stages[1]
     sample = quality.labelled_sample(table(spark, DIR, "documents"), table(spark, DIR, "labels"))
-    model = quality.train_bags(sample)
+    model = quality.train(sample)
     score = {r.doc_id: plain_quality(model, r.text) for r in before}
     assert all(abs(p - 0.3) > 1e-4 for p in score.values())
     assert sorted(r.doc_id for r in after) == sorted(k for k, p in score.items() if p >= 0.3)
