@@ -2,32 +2,59 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import safe_filename
 
+#: The portal's paths to meetings and to attachments, and what it puts after a file's name.
+MEETINGS, MEETING, MINUTES = "committees", "mote-", "protocol"
+BODIES, AGENDA = ["welcome-sv", "namnder-styrelser"], "agenda"
+DOWNLOAD = "downloadMode=open"
+
 
 def absolute(base: str, link: Column) -> Column:
     return F.when(link.startswith("http"), link).otherwise(F.concat(F.lit(base), link))
 
 
-def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
-
-
 def first_occurrences(df: DataFrame, keys: list[str], found: Column, name: str) -> DataFrame:
     """Explode an array of matches; of equal ones within the same keys the first stays, with its position."""
-    return first_by(df.select(*keys, F.posexplode(found).alias("pos", name)), [*keys, name], ["pos"])
+    return df.select(*keys, F.posexplode(found).alias("pos", name)).groupBy(*keys, name).agg(F.min("pos").alias("pos"))
+
+
+def links_in(html: Column) -> Column:
+    """What may be an address on a page: pieces between quotes, brackets, parentheses and white space that hold a slash."""
+    pieces = F.transform(F.split(html, r"[\"'\s<>()]+"), lambda u: F.when(F.lower(u).startswith("href="), F.substring(u, 6, 2**31 - 1)).otherwise(u))
+    return F.filter(pieces, lambda u: u.contains("/"))
+
+
+def _parts(base: str, link: Column) -> Column:
+    """The parts of a link's path on the portal, without query and fragment; null for other hosts."""
+    path = F.when(link.startswith(base + "/"), F.substring(link, len(base) + 1, 2**31 - 1)).when(link.startswith("/"), link)
+    return F.split(F.substring_index(F.substring_index(path, "#", 1), "?", 1), "/")
+
 
+def _is_file(link: Column, name: Column) -> Column:
+    """Whether a link with this last part is one of the portal's files: named pdf, perhaps with a number, to be downloaded or plain."""
+    query = F.when(link.contains("?"), F.substring_index(link, "?", -1))
+    return name.rlike(r"(?i).pdf(-[0-9]+)?$") & (query.isNull() | (query == DOWNLOAD))
 
-def meeting_dates(slug: str, base: str, html: Column) -> Column:
-    pattern = rf"(?:{re.escape(base)})?/committees/{re.escape(slug)}/mote-(\d{{4}}-\d{{2}}-\d{{2}})(?![\w/-])"
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+
+def meeting_dates(slug: Column, base: str, html: Column) -> Column:
+    """Dates of the body's meetings that a page links to, in order; links to pages below a meeting don't count."""
+    parts = F.transform(links_in(html), lambda u: _parts(base, u))
+    own = F.filter(parts, lambda p: (F.size(p) == 4) & (F.get(p, F.lit(1)) == MEETINGS) & (F.get(p, F.lit(2)) == slug) & F.get(p, F.lit(3)).rlike(f"^{MEETING}[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$"))
+    return F.transform(own, lambda p: F.right(F.get(p, F.lit(3)), F.lit(10)))
+
+
+def meeting_url(base: str, slug: Column, date: Column) -> Column:
+    return F.concat(F.lit(f"{base}/{MEETINGS}/"), slug, F.lit(f"/{MEETING}"), date)
+
+
+def refs(pages: DataFrame, base: str) -> DataFrame:
+    """(committee_slug, date, meeting_url, pos) of (committee_slug, html), all bodies at once."""
+    found = first_occurrences(pages, ["committee_slug"], meeting_dates(F.col("committee_slug"), base, F.col("html")), "date")
+    return found.select("committee_slug", "date", meeting_url(base, F.col("committee_slug"), F.col("date")).alias("meeting_url"), "pos")
 
 
 def meeting_refs(pages: DataFrame, slug: str, base: str) -> DataFrame:
@@ -35,24 +62,30 @@ def meeting_refs(pages: DataFrame, slug: str, base: str) -> DataFrame:
 
     pages: (html). Links of other bodies and to pages below a meeting don't count.
     """
-    found = first_occurrences(pages.select(F.lit(slug).alias("committee_slug"), "html"), ["committee_slug"], meeting_dates(slug, base, F.col("html")), "date")
-    return found.select("committee_slug", "date", F.concat(F.lit(f"{base}/committees/{slug}/mote-"), "date").alias("meeting_url"), "pos")
+    return refs(pages.select(F.lit(slug).alias("committee_slug"), "html"), base)
 
 
 def protocol_url(base: str, slug: Column, date: Column, html: Column) -> Column:
     """The first link to the meeting's approved minutes, absolute; null if there is none."""
-    quoted = lambda c: F.concat(F.lit(r"\Q"), c, F.lit(r"\E"))
-    pattern = F.concat(F.lit(rf"(?i)(?:{re.escape(base)})?/committees/"), quoted(slug), F.lit("/mote-"), quoted(date), F.lit(r"""/protocol/[^"'\s)>]+?pdf(?:-\d+)?(?:\?downloadMode=open)?"""))
-    return absolute(base, F.regexp_substr(html, pattern))
+    folder = F.lower(F.concat_ws("/", F.lit(MEETINGS), slug, F.concat(F.lit(MEETING), date), F.lit(MINUTES)))
+
+    def minutes(u: Column) -> Column:
+        p = _parts(base, u)
+        return (F.size(p) >= 6) & (F.lower(F.array_join(F.slice(p, 2, 4), "/")) == folder) & _is_file(u, F.element_at(p, -1))
+
+    return absolute(base, F.get(F.filter(links_in(html), minutes), F.lit(0)))
 
 
 def attachments(pages: DataFrame, base: str, keys: list[str]) -> DataFrame:
     """(keys, url, filename, pos): attachments of agendas, each address once, in order."""
-    pattern = rf"""(?:{re.escape(base)})?/welcome-sv/namnder-styrelser/[^"'\s)>]+?/agenda/[^"'\s)>/]+?pdf(?:-\d+)?(?:\?downloadMode=open)?"""
-    found = F.transform(F.regexp_extract_all("html", F.lit(pattern), F.lit(0)), lambda u: absolute(base, u))
+
+    def attached(u: Column) -> Column:
+        p = _parts(base, u)
+        return (F.size(p) >= 6) & (F.slice(p, 2, 2) == F.array(*map(F.lit, BODIES))) & (F.element_at(p, -2) == AGENDA) & _is_file(u, F.element_at(p, -1))
+
+    found = F.transform(F.filter(links_in(F.col("html")), attached), lambda u: absolute(base, u))
     out = first_occurrences(pages, keys, found, "url")
-    slug = F.regexp_extract("url", r"/agenda/([^/?]+?pdf(?:-\d+)?)(?:\?|$)", 1)
-    return out.select(*keys, "url", F.concat(safe_filename(slug), F.lit(".pdf")).alias("filename"), "pos")
+    return out.select(*keys, "url", F.concat(safe_filename(F.element_at(_parts(base, F.col("url")), -1)), F.lit(".pdf")).alias("filename"), "pos")
 
 
 def local_paths(base_dir: Column, slug: Column, date: Column) -> Column:
@@ -62,8 +95,8 @@ def local_paths(base_dir: Column, slug: Column, date: Column) -> Column:
 
 def seed_url(cases: DataFrame, base: str, slug: str) -> DataFrame:
     """(meeting_url): from the first step whose file lies under the body's path, in case and step order; no row if none does."""
-    prefix = f"/committees/{slug}/mote-"
+    prefix = f"/{MEETINGS}/{slug}/{MEETING}"
     steps = cases.select(F.col("pos").alias("c"), F.posexplode("steps").alias("s", "step")).select("c", "s", F.col("step.source.pdf_url").alias("u"))
-    date = F.regexp_extract("u", re.escape(prefix) + r"(\d{4}-\d{2}-\d{2})", 1)
-    found = steps.where(F.col("u").contains(prefix) & (date != "")).orderBy("c", "s").limit(1)
+    date = F.left(F.substring_index("u", prefix, -1), F.lit(10))
+    found = steps.where(F.col("u").contains(prefix) & date.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")).orderBy("c", "s").limit(1)
     return found.select(F.concat(F.lit(base + prefix), date).alias("meeting_url"))

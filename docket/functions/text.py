@@ -85,7 +85,10 @@ def strict_json(c: Column) -> Column:
 
 def safe_filename(slug: Column) -> Column:
     """Without the final pdf (a number after it stays), cut at a query or fragment, 150 characters at most."""
-    return F.substring(F.regexp_replace(F.regexp_replace(slug, r"pdf(-\d+)?$", "$1"), r"[?#][\s\S]*$", ""), 1, 150)
+    number = F.regexp_extract(slug, "-[0-9]+$", 0)
+    stem = F.left(slug, F.length(slug) - F.length(number))
+    named = F.concat(F.when(stem.endswith("pdf"), F.left(stem, F.length(stem) - 3)).otherwise(stem), number)
+    return F.left(F.substring_index(F.substring_index(named, "?", 1), "#", 1), F.lit(150))
 
 
 def inline_script(json: Column) -> Column:

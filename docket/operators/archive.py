@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from docket.functions.archive import filled, pending_marker
 
-from .incremental import row_per_group
+from .incremental import first_per_group
 
 
 def file_hashes(raw_files: DataFrame) -> DataFrame:
     """(relative_path, sha256); of a path that comes twice the last counts."""
-    last = row_per_group(raw_files, ["relative_path"], [F.col("pos").desc()])
-    return last.select("relative_path", F.sha2("content", 256).alias("sha256"))
+    hashed = raw_files.select("relative_path", "pos", F.sha2("content", 256).alias("sha256"))  # bytes don't travel
+    return first_per_group(hashed, ["relative_path"], -F.col("pos")).select("relative_path", "sha256")
 
 
 def file_of_url(raw_files: DataFrame) -> DataFrame:
     """(pdf_url, relative_path, repo): the last entry of each address."""
-    return row_per_group(raw_files.select("pdf_url", "relative_path", "repo", "pos"), ["pdf_url"], [F.col("pos").desc()])
+    return last_per_group(raw_files.select("pdf_url", "relative_path", "repo", "pos"), ["pdf_url"], -F.col("pos"))
 
 
 def marked_steps(steps: DataFrame, raw_files: DataFrame) -> DataFrame:

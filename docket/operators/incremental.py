@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEY = ["committee_slug", "date"]
@@ -60,6 +60,7 @@ def funnel(refs: DataFrame, seen: DataFrame, wanted: Column, on: list[str] = KEY
     )
 
 
-def row_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+def first_per_group(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """Of each key the row that comes first in the order; combined before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(*keys, "_r.*")

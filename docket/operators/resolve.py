@@ -15,7 +15,7 @@ from docket.functions.refs import own_section, paragraph_key, ref_keys
 from docket.functions.text import jaccard, normal_title, title_tokens
 from docket.sources.state import cut
 
-from .incremental import row_per_group
+from .incremental import first_per_group
 
 THRESHOLD = 0.6
 
@@ -35,7 +35,7 @@ def candidate_refs(candidates: DataFrame, pos: str) -> DataFrame:
 def keyed(refs: DataFrame, keys: DataFrame, candidate: str, case: str) -> DataFrame:
     """(candidate, case, step_pos, ref_pos, key): the first match by case, step and reference order."""
     met = refs.join(keys, "key")
-    return row_per_group(met, [candidate], [F.col(case), F.col("step_pos"), F.col("ref_pos")])
+    return first_per_group(met, [candidate], F.struct(F.col(case), F.col("step_pos"), F.col("ref_pos")))
 
 
 def similar(titles: DataFrame, known: DataFrame, candidate: str, case: str, threshold: float = THRESHOLD, earlier: str | None = None) -> DataFrame:
@@ -61,7 +61,7 @@ def similar(titles: DataFrame, known: DataFrame, candidate: str, case: str, thre
     if earlier:
         met = met.where(F.col("_e") < F.col("_a"))
     met = met.withColumn("score", jaccard(F.col("_x"), F.col("_y"))).where(F.col("score") >= threshold)
-    best = row_per_group(met, ["_a"], [F.col("score").desc(), F.col("_b")])
+    best = first_per_group(met, ["_a"], F.struct(-F.col("score"), F.col("_b")))
     return best.select(F.col("_a").alias(candidate), F.col("_b").alias(case), "score")
 
 

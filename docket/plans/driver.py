@@ -29,19 +29,6 @@ def page_title() -> F.Column:
 
 
 def verbatim_checks(spark: SparkSession, d: str) -> DataFrame:
-    """Each document's own opening and one benchmark passage, checked against the document."""
-    docs, bench = read(spark, d, "documents"), read(spark, d, "benchmark")
-    own = docs.select("doc_id", F.lit("own").alias("field"), F.substring("text", 1, 120).alias("quote"), F.lit(gates.DEFAULT_LIMIT).alias("word_limit"))
-    # a passage is checked against the documents that have its opening words as a line of their own or in a line
-    opening = F.substring(text.normal_space(F.col("text")), 1, 24)
-    passages = bench.select("item_id", F.col("text").alias("quote"), opening.alias("w"))
-    grams = docs.select("doc_id", F.explode(F.array_distinct(F.transform(F.filter(F.split(text.normal_space(F.col("text")), r"(?<=\.) "), lambda s: F.length(s) > 0), lambda s: F.substring(s, 1, 24)))).alias("w"))
-    other = grams.join(passages, "w").select("doc_id", F.concat(F.lit("passage "), F.col("item_id").cast("string")).alias("field"), "quote", F.lit(None).cast("int").alias("word_limit"))
-    checked = gates.check(own.unionByName(other), docs.select("doc_id", "text"), ["doc_id"])
-    return checked.select("doc_id", "field", "passed", "reason")
-
-
-def verbatim_checks_whole(spark: SparkSession, d: str) -> DataFrame:
     """All of each document's text in pieces, and every benchmark passage that stands anywhere in a document."""
     docs, bench = read(spark, d, "documents").withColumn("text", F.coalesce("text", F.lit(""))), read(spark, d, "benchmark")
     pieces = F.transform(F.expr("sequence(0, cast(greatest(length(text) - 1, 0) div 120 as int))"), lambda k: F.struct(k.alias("k"), F.substring(F.col("text"), k * 120 + 1, F.lit(120)).alias("quote")))
@@ -98,7 +85,7 @@ def meeting_links(spark: SparkSession, d: str) -> DataFrame:
     host = F.when(F.col("o_orderkey") % 2 == 0, BASE).otherwise("")
     link = F.concat(F.lit('<a href="'), host, F.lit("/committees/"), body, F.lit("/mote-"), F.date_format("o_orderdate", DAY), F.when(F.col("o_orderkey") % 5 == 0, "/agenda").otherwise(""), F.lit('">'))
     page = o.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", link.alias("a")))), lambda r: r["a"]), "\n").alias("html"))
-    dates = links.meeting_dates("council", BASE, F.col("html"))
+    dates = links.meeting_dates(F.lit("council"), BASE, F.col("html"))
     found = links.first_occurrences(page, ["o_custkey"], dates, "date")
     return found.select("o_custkey", "date", F.concat(F.lit(f"{BASE}/committees/council/mote-"), "date").alias("meeting_url"))
 
@@ -269,7 +256,7 @@ def section_scope(spark: SparkSession, d: str) -> DataFrame:
 def key_link_first(spark: SparkSession, d: str) -> DataFrame:
     """Orders refer to two parts; the first line (by order, then line) that has one of them is the match."""
     li = read(spark, d, "lineitem")
-    keys = li.where("l_linenumber = 1").select(F.col("l_orderkey").alias("case"), F.col("l_linenumber").alias("step_pos"), F.concat(F.col("l_partkey").cast("string"), F.lit("|KF")).alias("key"))
+    keys = li.select(F.col("l_orderkey").alias("case"), F.col("l_linenumber").alias("step_pos"), F.concat(F.col("l_partkey").cast("string"), F.lit("|KF")).alias("key"))
     o = read(spark, d, "orders")
     asked = o.select("o_orderkey", F.posexplode(F.array(F.col("o_custkey"), F.col("o_custkey") + 7)).alias("ref_pos", "p"))
     asked = asked.select("o_orderkey", "ref_pos", F.concat(F.col("p").cast("string"), F.lit("|KF")).alias("key"))
@@ -290,19 +277,6 @@ def title_similarity_best(spark: SparkSession, d: str) -> DataFrame:
 
 
 def link_decision(spark: SparkSession, d: str) -> DataFrame:
-    """Every third page has references, of which some are known; the others are compared by title with earlier pages."""
-    t = _titles(spark, d)
-    asked = t.where("page_id % 3 = 0").select("page_id", F.lit(0).alias("ref_pos"), (F.col("page_id") % 10).cast("string").alias("key"))
-    keys = t.where("page_id < 5").select(F.col("page_id").alias("case"), F.lit(0).alias("step_pos"), F.col("page_id").cast("string").alias("key"))
-    by_key = resolve.keyed(asked, keys, "page_id", "case").select("page_id", F.col("case").alias("by_key"))
-    known = t.select(F.col("page_id").alias("case"), "tokens", F.col("page_id").alias("since"))
-    by_title = resolve.similar(t.where("page_id % 3 > 0"), known, "page_id", "case", earlier="since").select("page_id", F.col("case").alias("by_title"))
-    out = t.select("page_id").join(by_key, "page_id", "left").join(by_title, "page_id", "left")
-    kind = F.when(F.col("by_key").isNotNull(), "paragraph_ref").when(F.col("by_title").isNotNull(), "fuzzy_title").otherwise("none")
-    return out.select("page_id", kind.alias("kind"), F.coalesce("by_key", "by_title").alias("case"))
-
-
-def link_decision_whole(spark: SparkSession, d: str) -> DataFrame:
     """Every page's links name an earlier page by the first word of its title, or else its title is compared with earlier pages'."""
     p = read(spark, d, "pages")
     t = _titles(spark, d)
@@ -345,7 +319,7 @@ def snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
 
 def changelog_entry(spark: SparkSession, d: str) -> DataFrame:
     row = publish.changelog(_cases(spark, d, "1996-06-30"), _cases(spark, d, None), "run-1", "2024-01-31T00-00-00")
-    return row.select("run_id", "arende_count", F.size("new_arenden").cast("long").alias("n_new"), F.size("updated_arenden").cast("long").alias("n_updated"), F.length("data_hash").cast("long").alias("hash_length"))
+    return row.select("run_id", "arende_count", F.size("new_arenden").cast("long").alias("n_new"), F.size("updated_arenden").cast("long").alias("n_updated"), "data_hash")
 
 
 def canonical_hash(spark: SparkSession, d: str) -> DataFrame:
@@ -400,9 +374,9 @@ def stream_batches(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    verbatim_checks, verbatim_checks_whole, whitespace_norm, word_limit_by_type, gate_all_of, gate_partition, link_extract_first, link_absolutize, meeting_links,
+    verbatim_checks, whitespace_norm, word_limit_by_type, gate_all_of, gate_partition, link_extract_first, link_absolutize, meeting_links,
     first_match_or_null, filename_sanitize, attachment_links, unseen_anti, seen_upsert, backfill_batch, newest_batch, run_diagnostics, run_funnel,
     json_validate, case_validation, json_coerce_defaults, verify_reconcile, slug_normalize, stamp_left_join, content_hash, marker_roundtrip,
-    permalink_fill, service_messages, paragraph_refs, section_scope, key_link_first, title_similarity_best, link_decision, link_decision_whole, surrogate_ids,
+    permalink_fill, service_messages, paragraph_refs, section_scope, key_link_first, title_similarity_best, link_decision, surrogate_ids,
     snapshot_diff, changelog_entry, canonical_hash, inline_escape, view_by_body, view_search, title_norm_nfkd, merge_append, stream_batches,
 )}

@@ -25,19 +25,21 @@ _BEST = f"""select page_id, "case", score from ({_SIMILAR}) where score >= 0.6 q
 
 _CASES = """select o_orderkey, 'a-' || o_orderkey id, o_orderpriority title, o_orderstatus status from orders {orders}"""
 
+_DATABASE = """select sha256('[' || string_agg('{{"id":"a-' || o_orderkey || '","status":"' || o_orderstatus || '","steps":[' || coalesce(steps, '') || '],"title":"' || o_orderpriority || '"}}', ',' order by o_orderkey) || ']') h
+from orders left join (select l_orderkey, string_agg('{{"instance":"' || lower(l_returnflag) || '","l_linenumber":' || l_linenumber || ',"quote":"part ' || l_partkey || '","step_id":"s-' || l_linenumber || '"}}', ',' order by l_linenumber, lower(l_returnflag), 'part ' || l_partkey) steps
+from lineitem group by 1) on l_orderkey = o_orderkey""".replace("{{", "{").replace("}}", "}")
+
 _BEFORE = "where {} <= timestamp '1996-06-30'"
 
 ORACLE = {
     "verbatim_checks": rf"""
-with d as (select doc_id, text, {_NORM} n from documents),
-own as (select doc_id, 'own' field, substr(text, 1, 120) quote, 40 word_limit from d),
-p as (select item_id, text quote, substr({_NORM}, 1, 24) w from benchmark),
-s as (select distinct doc_id, substr(x, 1, 24) w from (select doc_id, unnest(string_split(replace(n, '. ', '.' || chr(1)), chr(1))) x from d) where x <> ''),
-q as (select * from own union all select doc_id, 'passage ' || item_id, quote, null from s join p using (w)),
-c as (select q.doc_id, field, case when trim(quote, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') = '' then 'empty'
-when word_limit is not null and len(string_split(trim(regexp_replace(quote, '[\t\n\x0B\f\r ]+', ' ', 'g')), ' ')) > word_limit then 'too long'
-when contains(n, trim(regexp_replace(quote, '[\t\n\x0B\f\r ]+', ' ', 'g'))) then 'verified' else 'not found' end reason from q join d using (doc_id))
-select doc_id, field, reason = 'verified' passed, reason from c""",
+with d as (select doc_id, coalesce(text, '') text, {_NORM.replace('text', "coalesce(text, '')")} n from documents),
+o as (select doc_id, n, text, unnest(range(0, greatest(length(text) - 1, 0) // 120 + 1)) k from d),
+q as (select doc_id, n, 'own ' || k field, substr(text, k * 120 + 1, 120) quote, {_NORM.replace('text', "substr(text, k * 120 + 1, 120)")} m from o),
+c as (select doc_id, field, case when m = '' then 'empty' when len(string_split(m, ' ')) > 40 then 'too long' when contains(n, m) then 'verified' else 'not found' end reason from q),
+p as (select 'passage ' || item_id field, {_NORM} m from benchmark)
+select doc_id, field, reason = 'verified' passed, reason from c
+union all select doc_id, field, true, 'verified' from d join p on m <> '' and contains(n, m)""",
     "whitespace_norm": f"select doc_id, length({_NORM}) n_chars, len(string_split({_NORM}, ' ')) n_words, md5({_NORM}) digest from documents",
     "word_limit_by_type": f"""select conv_id, turn, case role when 'assistant' then 60 else 40 end::bigint word_limit,
 len(string_split({_NORM}, ' ')) > case role when 'assistant' then 60 else 40 end too_long from conversations""",
@@ -88,11 +90,15 @@ t as (select l_orderkey, string_agg(line, chr(10) order by k) t from r group by
 own as (select l_orderkey, line || case when k = last then '' else chr(10) end own from r where n = l_orderkey % 3 + 1 qualify row_number() over (partition by l_orderkey order by k) = 1)
 select l_orderkey, case when l_orderkey % 5 = 0 then replace(t, '§', 'par') else coalesce(own, '') end section from t left join own using (l_orderkey)""",
     "key_link_first": """with a as (select o_orderkey, 0 ref_pos, o_custkey p from orders union all select o_orderkey, 1, o_custkey + 7 from orders)
-select o_orderkey, l_orderkey "case", p || '|KF' "key" from a join (select * from lineitem where l_linenumber = 1) on l_partkey = p
+select o_orderkey, l_orderkey "case", p || '|KF' "key" from a join lineitem on l_partkey = p
 qualify row_number() over (partition by o_orderkey order by l_orderkey, l_linenumber, ref_pos) = 1""",
     "title_similarity_best": f"""select page_id, "case", round(score, 9) score from ({_BEST})""",
-    "link_decision": f"""select p.page_id, case when k.page_id is not null then 'paragraph_ref' when b.page_id is not null then 'fuzzy_title' else 'none' end kind, coalesce(k.page_id, b."case") "case"
-from pages p left join pages k on p.page_id % 3 = 0 and k.page_id < 5 and k.page_id = p.page_id % 10 left join ({_BEST}) b on b.page_id = p.page_id and p.page_id % 3 > 0""",
+    "link_decision": rf"""
+with t as ({_TOKENS.replace("list_distinct(list_filter(", "(list_filter(")}), k as (select tokens[1] "key", min(page_id) "case" from t where len(tokens) > 0 group by 1),
+r as (select page_id, lower(regexp_extract(unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)), '([^/?#]+)/?(?:[?#].*)?$', 1)) "key" from pages),
+e as (select page_id, min("case") "case" from r join k using ("key") where r."key" <> '' and "case" < page_id group by 1)
+select p.page_id, case when e.page_id is not null then 'paragraph_ref' when b.page_id is not null then 'fuzzy_title' else 'none' end kind, coalesce(e."case", b."case") "case"
+from pages p left join e using (page_id) left join ({_BEST}) b using (page_id)""",
     "surrogate_ids": """with o as (select *, strftime(o_orderdate, '%Y') y from orders), used as (select distinct y, o_orderkey % 3000 + 1 k from o where o_orderstatus = 'F'),
 new as (select o_orderkey, y, row_number() over (partition by y order by o_orderkey) nth from o where o_orderstatus <> 'F'),
 span as (select y, unnest(range(1, n + m + 1)) k from (select y, count(*) n from new group by y) join (select y, count(*) m from used group by y) using (y)),
@@ -105,7 +111,7 @@ where not exists (select 1 from lineitem m where m.l_orderkey = l.l_orderkey and
 select w.id, is_new, case when is_new then '' else steps end new_step_ids from w left join s on s.id = w.id where is_new or steps is not null""",
     "changelog_entry": f"""with s as (select o_orderkey, o_orderdate > timestamp '1996-06-30' fresh,
 exists (select 1 from lineitem l where l.l_orderkey = o_orderkey and not exists (select 1 from lineitem m where m.l_orderkey = l.l_orderkey and m.l_linenumber = l.l_linenumber and m.l_shipdate <= timestamp '1996-06-30')) more from orders)
-select 'run-1' run_id, count(*) arende_count, count(*) filter (fresh) n_new, count(*) filter (not fresh and more) n_updated, 64::bigint hash_length from s""",
+select 'run-1' run_id, count(*) arende_count, count(*) filter (fresh) n_new, count(*) filter (not fresh and more) n_updated, any_value(h) data_hash from s, ({_DATABASE})""",
     "canonical_hash": """select event_id, sha256('{"a":' || replace(props, ' ', '') || ',"b":[2,1],"z":null}') hash from events""",
     "inline_escape": r"""select page_id, md5(replace(replace(regexp_replace(case when page_id % 2 = 0 then html || ' </SCRIPT>' || chr(8232) else html end, '</(script)', '<\\/\1', 'gi'), chr(8232), chr(92) || 'u2028'), chr(8233), chr(92) || 'u2029')) digest from pages""",
     "view_by_body": "select 'a-' || l_orderkey id, count(*) n_steps from lineitem group by l_orderkey having bool_or(lower(l_returnflag) = 'r')",

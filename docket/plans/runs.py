@@ -7,31 +7,18 @@ meeting it belongs to isn't marked seen and comes again.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docket.functions.links import first_occurrences, protocol_url
+from docket.functions.links import protocol_url, refs
 from docket.operators import archive, gates, incremental, publish, resolve, validate
 from docket.sources.state import cut
 
 KEY = incremental.KEY
 
 
-def _dates(slug: Column, base: str, html: Column) -> Column:
-    quoted = F.concat(F.lit(r"\Q"), slug, F.lit(r"\E"))
-    pattern = F.concat(F.lit(rf"(?:{re.escape(base)})?/committees/"), quoted, F.lit(r"/mote-(\d{4}-\d{2}-\d{2})(?![\w/-])"))
-    return F.regexp_extract_all(html, pattern, F.lit(1))
-
-
-def refs(pages: DataFrame, base: str) -> DataFrame:
-    """(committee_slug, date, meeting_url, pos) of (committee_slug, html), all bodies at once."""
-    found = first_occurrences(pages, ["committee_slug"], _dates(F.col("committee_slug"), base, F.col("html")), "date")
-    return found.withColumn("meeting_url", F.concat(F.lit(f"{base}/committees/"), "committee_slug", F.lit("/mote-"), "date"))
-
-
 def discover(bodies: DataFrame, list_pages: DataFrame, seed_pages: DataFrame, seen: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
     """(new meetings, diagnostics per body); a body whose list has no links is read from its seed page instead."""
     known = incremental.confirmed(bodies).select(F.col("slug").alias("committee_slug"))
@@ -104,9 +91,11 @@ def process(
     failed = checks.where("not passed").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("step_id", "field", "reason"))).alias("failed_checks"))
     review = gated.where("final_status = 'needs_review'").join(failed, "key", "left").withColumn("stage", F.when(F.col("passed"), "verify").otherwise("gate"))
 
-    order = F.row_number().over(incremental.Window.partitionBy(F.lit(0)).orderBy("date", "committee_slug", "pdf_url", "case_pos")) - 1
-    ready = archive.marked(gated.where("final_status = 'publish'"), raw_files, "key")
-    ready = ready.join(texts.select("pdf_url", "text"), "pdf_url", "left").withColumn("cand", order.cast("long"))
+    accepted = gated.where("final_status = 'publish'")
+    order = accepted.select("key", "date", "committee_slug", "pdf_url", "case_pos").orderBy("date", "committee_slug", "pdf_url", "case_pos")
+    order = cut(order.select("key", F.monotonically_increasing_id().alias("cand")))  # keys alone are sorted, by ranges
+    ready = archive.marked(accepted, raw_files, "key")
+    ready = ready.join(texts.select("pdf_url", "text"), "pdf_url", "left").join(order, "key")
     fields = [c for c in existing.columns if c != "pos"]
     ready = cut(ready)  # the fold reads it many times
     cases, lost = resolve.merged(existing, ready.select("cand", *fields, "text"))

@@ -10,7 +10,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from docket.operators.incremental import mark_seen
 
@@ -41,10 +40,5 @@ def load_seen_store(spark: SparkSession, folder: str) -> DataFrame:
     return mark_seen(rows.limit(0), rows)
 
 
-def late_counts(stream: DataFrame, time: str, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """Counts per window; rows later than the delay are left out by the watermark."""
-    return stream.withWatermark(time, delay).groupBy(F.window(time, window)).agg(F.count("*").alias("n"))
-
-
 def scratch(folder: str) -> str:
     return f"{folder}/stream-{uuid.uuid4().hex}"

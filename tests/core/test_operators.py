@@ -280,7 +280,7 @@ def test_passages_at_every_position(spark):
 def test_whole_verbatim_checks(spark):
     """Every containment of a benchmark passage and every piece of each text, on the smallest tables."""
     d = "/root/testdata/sf0.001"
-    rows = driver.verbatim_checks_whole(spark, d).collect()
+    rows = driver.verbatim_checks(spark, d).collect()
     docs, bench = ([(r[0], r[1]) for r in spark.read.parquet(f"{d}/{t}.parquet").select(k, "text").collect()] for t, k in (("documents", "doc_id"), ("benchmark", "item_id")))
     normal = lambda t: " ".join((t or "").split())
     want = sorted((i, f"passage {k}") for i, t in docs for k, p in bench if normal(p) and normal(p) in normal(t))
@@ -316,6 +316,6 @@ def test_link_decision_grows_with_pages(spark):
         scored = [(-len(x & set(t)) / len(x | set(t)), c) for c, t in tokens.items() if c < k and t and x]
         best = min((p for p in scored if p[0] <= -0.6), default=None)
         want[k] = ("paragraph_ref", min(by_key)) if by_key else ("fuzzy_title", best[1]) if best else ("none", None)
-    assert {r.page_id: (r.kind, r.case) for r in driver.link_decision_whole(spark, d).collect()} == want
+    assert {r.page_id: (r.kind, r.case) for r in driver.link_decision(spark, d).collect()} == want
     met = [c for kind, c in want.values() if kind == "paragraph_ref"]
     assert len(set(met)) > 5 and len(met) > 10
