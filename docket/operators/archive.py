@@ -18,7 +18,7 @@ def file_hashes(raw_files: DataFrame) -> DataFrame:
 
 def file_of_url(raw_files: DataFrame) -> DataFrame:
     """(pdf_url, relative_path, repo): the last entry of each address."""
-    return last_per_group(raw_files.select("pdf_url", "relative_path", "repo", "pos"), ["pdf_url"], -F.col("pos"))
+    return first_per_group(raw_files.select("pdf_url", "relative_path", "repo", "pos"), ["pdf_url"], -F.col("pos"))
 
 
 def marked_steps(steps: DataFrame, raw_files: DataFrame) -> DataFrame:
