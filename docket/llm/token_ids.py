@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import remove_later, scratch, small_batches, written
+from .common import remove_later, scratch, written
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core
 
@@ -360,7 +360,6 @@ def read_ids(spark: SparkSession, out: str, id_col: str = "doc_id", keep_ids: bo
 def round_trip(docs: DataFrame, path: str, folder: str, end_id: int = 2, id_col: str = "doc_id") -> DataFrame:
     """Write the files to a new folder within folder and read them back, without the ids. The folder is removed when the driver ends."""
     out = f"{folder}/token-ids-{uuid.uuid4().hex}"
-    small_batches(docs.sparkSession)
     remove_later(docs.sparkSession, out)
     with scratch(docs.sparkSession):
         write_ids(docs, path, out, end_id, id_col)
