@@ -80,7 +80,13 @@ def test_crowded_elements(spark, monkeypatch, seed, s):
     """A group far larger than the meetings allowed: hubs and barred documents change no link."""
     barred = []
     plain = join.barred_from
-    monkeypatch.setattr(join, "barred_from", lambda *a: barred.append(plain(*a)) or barred[-1])
+
+    def noted(*a):
+        out = plain(*a)
+        barred.extend(out.collect())  # the table goes with the operator's scratch
+        return out
+
+    monkeypatch.setattr(join, "barred_from", noted)
     docs = edited_copies(seed)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in join.groups(df, s).collect()}
@@ -90,7 +96,7 @@ def test_crowded_elements(spark, monkeypatch, seed, s):
         members = {}
         for k, (_, c) in got.items():
             members.setdefault(c, []).append(k)
-        rows = [r for b in barred for r in b.collect()]
+        rows = barred
         assert rows and all(100 * len(sets[r.id] & sets[m]) < 75 * len(sets[r.id] | sets[m]) for r in rows for bar in r.bars for m in members[got[bar][1]] if got[r.id][1] != got[bar][1])
 
 
