@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_codec, embedding_dedup, jaccard_join, mixing, quality, secrets, token_count, token_ids, topk_search, toxicity
+from . import bpe_codec, embedding_dedup, hard_negatives, jaccard_join, mixing, quality, secrets, token_count, token_ids, topk_search, toxicity, whitening
 from .common import shared_dir, table
 
 
@@ -53,6 +54,16 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), every=50)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row has another row's label, as wrong labels would have."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), every=100)
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_token_counts": op2_token_counts,
@@ -64,6 +75,8 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_whitening": op11_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _REACH = """r(id, c) as (select id, id from nodes union select r.id, e.b from r join e on r.c = e.a)"""
@@ -95,4 +108,12 @@ with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::dou
 s as (select q.vec_id query_id, d.vec_id, list_inner_product(q.v, d.v)::bigint score from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0)
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s
 qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5""",
+    "op13_hard_negatives": """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end g, list_transform(embedding, lambda x: floor(256 * x::double)) v from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id anchor_id, a.g = d.g same, d.vec_id, list_inner_product(a.v, d.v)::bigint score from v a join v d on a.vec_id <> d.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, vec_id positive_id, score positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id)::int as rank, vec_id negative_id, positive_score, score negative_score
+from p join s on s.anchor_id = p.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) <= 10""",
 }
