@@ -178,13 +178,13 @@ def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, types), pa.array([root(x) for x in nodes], types)], ["node", "root"])
 
 
-def tree_sum(df: DataFrame, column: str) -> np.ndarray:
-    """The sum of arrays of doubles, a binary value per row, all as long; merged in a tree, so that the driver meets few of them."""
+def tree_sum(df: DataFrame, column: str, kind: type = np.float64) -> np.ndarray | None:
+    """The sum of arrays of numbers, a binary value per row, all as long; merged in a tree, so that the driver meets few of them. None without rows."""
 
     def add(a: np.ndarray | None, b: np.ndarray | None) -> np.ndarray | None:
         return b if a is None else a if b is None else a + b
 
-    return df.select(column).rdd.map(lambda r: np.frombuffer(r[0])).treeAggregate(None, add, add, depth=2)
+    return df.select(column).rdd.map(lambda r: np.frombuffer(r[0], kind)).treeAggregate(None, add, add, depth=2)
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, embedding_dedup, hard_negatives, jaccard_join, mixing, quality, secrets, token_count, token_ids, topk_search, toxicity, whitening
+from . import bpe_codec, embedding_dedup, hard_negatives, jaccard_join, language_model, mixing, quality, secrets, token_count, token_ids, topk_search, toxicity, whitening
 from .common import shared_dir, table
 
 
@@ -58,6 +58,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.components(table(spark, sf_dir, "embeddings"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh row has another row's label, as wrong labels would have."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -76,6 +80,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_exact_top_k": op10_exact_top_k,
     "op11_whitening": op11_whitening,
+    "op12_lm_scoring": op12_lm_scoring,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
