@@ -184,7 +184,7 @@ def tree_sum(df: DataFrame, column: str, kind: type = np.float64) -> np.ndarray
     def add(a: np.ndarray | None, b: np.ndarray | None) -> np.ndarray | None:
         return b if a is None else a if b is None else a + b
 
-    return df.select(column).rdd.map(lambda r: np.frombuffer(r[0], kind)).treeAggregate(None, add, add, depth=2)
+    return df.select(column).rdd.map(lambda r: np.frombuffer(r[0], kind)).treeAggregate(None, add, add, depth=3)
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -30,6 +30,7 @@ from .common import small_batches, tree_sum, written
 from .topk_search import learned_centres, nearest
 
 END = b"\n"  # white space, so that no word is like it
+MOST, NONE = 60.0, -80.0  # bounds of what goes into exp
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,7 @@ class Settings:
     words: int = 1 << 18  # most frequent words that get a number
     classes: int = 32  # the last one is for words without a number
     slots: int = 32  # the last one is for all other words of the class
-    rows: int = 1 << 15  # of each table of weights, that features are hashed to
+    rows: int = 1 << 14  # of each table of weights, that features are hashed to
     near: int = 48  # most frequent words, whose company tells the classes
     learn: int = 4096  # words that the classes' centres are learned from
     rounds: int = 2
@@ -199,9 +200,7 @@ class Layout:
     classes: np.ndarray
     slots: np.ndarray
     tail: np.ndarray  # log probability within the last slot
-    no_class: np.ndarray  # 0, or minus infinity where there is no word
-    no_slot: np.ndarray
-    class_bias: np.ndarray
+    class_bias: np.ndarray  # log shares; NONE where there is no word
     slot_bias: np.ndarray
 
 
@@ -218,12 +217,8 @@ def layout(known: Vocabulary, classes: np.ndarray, s: Settings) -> Layout:
         tail[rest] = np.log(np.maximum(counts[rest], 0.5) / np.maximum(counts[rest], 0.5).sum())
     mass = np.zeros((s.classes, s.slots))
     np.add.at(mass, (of, slots), np.maximum(counts, 0.5))  # what wasn't seen stays possible
-    with np.errstate(divide="ignore"):
-        logs = np.log(mass)
-        class_bias = np.log(mass.sum(1))
-    no_slot, no_class = np.where(mass > 0, 0.0, -np.inf), np.where(mass.sum(1) > 0, 0.0, -np.inf)
-    clean = lambda x: np.where(np.isfinite(x), x, 0.0).astype(np.float32)
-    return Layout(of, slots, tail, no_class.astype(np.float32), no_slot.astype(np.float32), clean(class_bias - np.log(mass.sum())), clean(logs - np.where(np.isfinite(class_bias), class_bias, 0.0)[:, None]))
+    share = lambda x, of: np.where(x > 0, np.log(np.where(x > 0, x, 1.0) / np.maximum(of, 1e-300)), NONE).astype(np.float32)
+    return Layout(of, slots, tail, share(mass.sum(1), mass.sum()), share(mass, mass.sum(1, keepdims=True)))
 
 
 # Weights
@@ -262,39 +257,37 @@ def features(x: np.ndarray, at: Layout, s: Settings) -> tuple[np.ndarray, np.nda
     return own, c, slot, of_class, of_slot
 
 
-def _softmax(table: np.ndarray, rows: list[np.ndarray], mask: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log probability of the target)."""
-    z = table[rows[0]]
+def _softmax(table: np.ndarray, rows: list[np.ndarray], always: np.ndarray | None, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(probabilities, log probability of the target). always: a row of every context."""
+    z = np.take(table, rows[0], axis=0)
+    more = np.empty_like(z)
     for r in rows[1:]:
-        z += table[r]
-    z += mask
-    z -= z.max(1, keepdims=True)
-    own = z[np.arange(len(z)), target].copy()
+        z += np.take(table, r, axis=0, out=more, mode="clip")
+    if always is not None:
+        z += always
+    np.minimum(z, MOST, out=z)  # far beyond what is learned, but exp must not overflow
+    own = z[np.arange(len(z)), target]
     np.exp(z, out=z)
     total = z.sum(1)
     z /= total[:, None]
     return z, own - np.log(total)
 
 
-def _bias(n: int, s: Settings) -> np.ndarray:
-    return np.full(n, s.rows, np.int32)
-
-
 def log_probabilities(x: np.ndarray, w: Weights, at: Layout, s: Settings) -> np.ndarray:
     """Of each token of joined numbers; of rare ones, that of their class."""
     own, c, slot, of_class, of_slot = features(x, at, s)
     out = at.tail[own]
     for i in range(0, len(own), s.batch):
         part = slice(i, i + s.batch)
-        out[part] += _softmax(w.classes, [*(f[part] for f in of_class), _bias(len(own[part]), s)], at.no_class, c[part])[1]
-        out[part] += _softmax(w.slots, [f[part] for f in of_slot], at.no_slot[c[part]], slot[part])[1]
+        out[part] += _softmax(w.classes, [f[part] for f in of_class], w.classes[s.rows], c[part])[1]
+        out[part] += _softmax(w.slots, [f[part] for f in of_slot], None, slot[part])[1]
     return out
 
 
 def _step(table: np.ndarray, energy: np.ndarray, used: np.ndarray, rows: list[np.ndarray], gradient: np.ndarray, s: Settings) -> None:
     """Move the rows against their summed gradients, less the more they have moved already."""
     for r in rows:
-        order = np.argsort(r.astype(np.uint16) if len(table) <= 1 << 16 else r, kind="stable")
+        order = np.argsort(r.astype(np.uint16) if len(table) <= 1 << 16 else r, kind="stable")  # 16 bits are sorted by radix
         at = r[order]
         starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         total = np.add.reduceat(gradient[order], starts, axis=0)
@@ -314,12 +307,16 @@ def follow(batches: Iterator[np.ndarray], w: Weights, at: Layout, s: Settings) -
             part = slice(i, i + s.batch)
             n = len(own[part])
             every = np.arange(n)
-            rows = [*(f[part] for f in of_class), _bias(n, s)]
-            p, _ = _softmax(classes, rows, at.no_class, c[part])
+            rows = [f[part] for f in of_class]
+            p, _ = _softmax(classes, rows, classes[s.rows], c[part])
             p[every, c[part]] -= 1
             _step(classes, energy[0], used[0], rows, p, s)
+            total = p.sum(0)
+            used[0][s.rows] += n
+            energy[0][s.rows] += total @ total
+            classes[s.rows] -= s.rate * total / np.sqrt(1.0 + energy[0][s.rows])
             rows = [f[part] for f in of_slot]
-            p, _ = _softmax(slots, rows, at.no_slot[c[part]], slot[part])
+            p, _ = _softmax(slots, rows, None, slot[part])
             p[every, slot[part]] -= 1
             _step(slots, energy[1], used[1], rows, p, s)
     parts = [used[0], (classes - w.classes) * used[0][:, None], energy[0] - w.energy[0], used[1], (slots - w.slots) * used[1][:, None], energy[1] - w.energy[1]]

@@ -95,8 +95,8 @@ def test_scores_are_those_of_the_model(spark):
         for k in range(3, len(ids)):
             one = np.array([[known.start] * 3 + ids[k - 3 : k + 1]]).ravel()
             own, c, slot, of_class, of_slot = lm.features(one, at, s)
-            z = sum(w.classes[f[-1]].astype(float) for f in of_class) + w.classes[s.rows] + at.no_class
-            y = sum(w.slots[f[-1]].astype(float) for f in of_slot) + at.no_slot[c[-1]]
+            z = sum(w.classes[f[-1]].astype(float) for f in of_class) + w.classes[s.rows]
+            y = sum(w.slots[f[-1]].astype(float) for f in of_slot)
             total += z[c[-1]] - np.log(np.exp(z).sum()) + y[slot[-1]] - np.log(np.exp(y).sum()) + at.tail[own[-1]]
         assert abs(got[r.row] - total / np.log(10)) < 1e-3
     assert count[lm.END] == 300
@@ -110,7 +110,7 @@ def test_training_follows_the_gradient(spark):
 
 
 def test_merging_weights_rows_by_their_use():
-    s, at = lm.Settings(rows=2, classes=2, slots=2), lm.Layout(*(np.zeros(2, int),) * 2, np.zeros(2), np.zeros(2), np.zeros((2, 2)), np.zeros(2), np.zeros((2, 2)))
+    s, at = lm.Settings(rows=2, classes=2, slots=2), lm.Layout(*(np.zeros(2, int),) * 2, np.zeros(2), np.zeros(2), np.zeros((2, 2)))
     w = lm.Weights.first(at, s)
     part = lambda used, change: np.concatenate([np.full(3, used), np.full(6, change * used), np.ones(3), np.zeros(4), np.zeros(8), np.zeros(4)])
     out = lm.merged(w, part(3.0, 1.0) + part(1.0, 5.0))
