@@ -22,29 +22,40 @@ def first_occurrences(df: DataFrame, keys: list[str], found: Column, name: str)
     return df.select(*keys, F.posexplode(found).alias("pos", name)).groupBy(*keys, name).agg(F.min("pos").alias("pos"))
 
 
-def links_in(html: Column) -> Column:
-    """What may be an address on a page: pieces between quotes, brackets, parentheses and white space that hold a slash."""
-    pieces = F.transform(F.split(html, r"[\"'\s<>()]+"), lambda u: F.when(F.lower(u).startswith("href="), F.substring(u, 6, 2**31 - 1)).otherwise(u))
-    return F.filter(pieces, lambda u: u.contains("/"))
+def links_in(base: str, html: Column) -> Column:
+    """What may be an address on a page: pieces between quotes, brackets, parentheses and white space, from the portal's name or else the first slash on.
+
+    Fragments are left out, and of a query all but the parameter that asks for a download, wherever it stands.
+    """
+
+    def address(piece: Column) -> Column:
+        u = F.replace(piece, F.lit("&amp;"), F.lit("&"))
+        at = F.instr(u, base + "/")
+        u = F.substring_index(F.substring(u, F.when(at > 0, at).otherwise(F.instr(u, "/")), F.lit(2**31 - 1)), "#", 1)
+        path = F.substring_index(u, "?", 1)
+        asked = F.split(F.substring(u, F.length(path) + 2, F.lit(2**31 - 1)), "&")
+        return F.when(F.array_contains(asked, DOWNLOAD), F.concat(path, F.lit("?" + DOWNLOAD))).otherwise(path)
+
+    pieces = F.filter(F.split(html, r"[\"'\s<>()]+"), lambda u: u.contains("/"))
+    return F.transform(pieces, address)
 
 
 def _parts(base: str, link: Column) -> Column:
-    """The parts of a link's path on the portal, without query and fragment; null for other hosts."""
+    """The parts of a link's path on the portal, without query; null for other hosts."""
     path = F.when(link.startswith(base + "/"), F.substring(link, len(base) + 1, 2**31 - 1)).when(link.startswith("/"), link)
-    return F.split(F.substring_index(F.substring_index(path, "#", 1), "?", 1), "/")
+    return F.split(F.substring_index(path, "?", 1), "/")
 
 
-def _is_file(link: Column, name: Column) -> Column:
-    """Whether a link with this last part is one of the portal's files: named pdf, perhaps with a number, to be downloaded or plain."""
-    query = F.when(link.contains("?"), F.substring_index(link, "?", -1))
-    return name.rlike(r"(?i).pdf(-[0-9]+)?$") & (query.isNull() | (query == DOWNLOAD))
+def _is_file(name: Column) -> Column:
+    """Whether a path's last part names one of the portal's files: pdf at its end, perhaps with a number."""
+    return name.rlike(r"(?i).pdf(-[0-9]+)?$")
 
 
 def meeting_dates(slug: Column, base: str, html: Column) -> Column:
     """Dates of the body's meetings that a page links to, in order; links to pages below a meeting don't count."""
-    parts = F.transform(links_in(html), lambda u: _parts(base, u))
-    own = F.filter(parts, lambda p: (F.size(p) == 4) & (F.get(p, F.lit(1)) == MEETINGS) & (F.get(p, F.lit(2)) == slug) & F.get(p, F.lit(3)).rlike(f"^{MEETING}[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$"))
-    return F.transform(own, lambda p: F.right(F.get(p, F.lit(3)), F.lit(10)))
+    parts = F.transform(links_in(base, html), lambda u: _parts(base, u))
+    own = F.filter(parts, lambda p: (F.size(p) == 4) & (F.get(p, F.lit(1)) == MEETINGS) & (F.get(p, F.lit(2)) == slug) & F.get(p, F.lit(3)).rlike(f"^{MEETING}[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}(?![A-Za-z0-9_-])"))
+    return F.transform(own, lambda p: F.substring(F.get(p, F.lit(3)), len(MEETING) + 1, 10))
 
 
 def meeting_url(base: str, slug: Column, date: Column) -> Column:
@@ -71,9 +82,9 @@ def protocol_url(base: str, slug: Column, date: Column, html: Column) -> Column:
 
     def minutes(u: Column) -> Column:
         p = _parts(base, u)
-        return (F.size(p) >= 6) & (F.lower(F.array_join(F.slice(p, 2, 4), "/")) == folder) & _is_file(u, F.element_at(p, -1))
+        return (F.size(p) >= 6) & (F.lower(F.array_join(F.slice(p, 2, 4), "/")) == folder) & _is_file(F.element_at(p, -1))
 
-    return absolute(base, F.get(F.filter(links_in(html), minutes), F.lit(0)))
+    return absolute(base, F.get(F.filter(links_in(base, html), minutes), F.lit(0)))
 
 
 def attachments(pages: DataFrame, base: str, keys: list[str]) -> DataFrame:
@@ -81,9 +92,9 @@ def attachments(pages: DataFrame, base: str, keys: list[str]) -> DataFrame:
 
     def attached(u: Column) -> Column:
         p = _parts(base, u)
-        return (F.size(p) >= 6) & (F.slice(p, 2, 2) == F.array(*map(F.lit, BODIES))) & (F.element_at(p, -2) == AGENDA) & _is_file(u, F.element_at(p, -1))
+        return (F.size(p) >= 6) & (F.slice(p, 2, 2) == F.array(*map(F.lit, BODIES))) & (F.element_at(p, -2) == AGENDA) & _is_file(F.element_at(p, -1))
 
-    found = F.transform(F.filter(links_in(F.col("html")), attached), lambda u: absolute(base, u))
+    found = F.transform(F.filter(links_in(base, F.col("html")), attached), lambda u: absolute(base, u))
     out = first_occurrences(pages, keys, found, "url")
     return out.select(*keys, "url", F.concat(safe_filename(F.element_at(_parts(base, F.col("url")), -1)), F.lit(".pdf")).alias("filename"), "pos")
 

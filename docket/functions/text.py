@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .unicode import nfkd
 
 #: Fixed value: white space as the sources' language has it (with no-break space and byte order mark, without U+0085).
-WS = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+_OTHER = r"\t\n\x0B\f\r\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
+WS = f"[{_OTHER} ]"
 #: Words that say nothing about a title.
 STOPWORDS = ["motion", "gällande", "om", "till", "av", "i", "på", "för", "och", "med", "flera", "svar", "en", "ett", "att"]
 
@@ -24,8 +23,8 @@ def is_blank(c: Column) -> Column:
 
 
 def normal_space(c: Column) -> Column:
-    """Each run of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(c, f"{WS}+", " "))
+    """Each run of white space as one space, none at the ends. Single spaces, which most are, aren't touched."""
+    return F.trim(F.regexp_replace(c, f" *+[{_OTHER}]{WS}*+| {{2,}}", " "))
 
 
 def word_count(normal: Column) -> Column:
@@ -33,18 +32,13 @@ def word_count(normal: Column) -> Column:
     return F.size(F.split(normal, " "))
 
 
-@F.pandas_udf(T.StringType())  # a type object: this module is imported before there is a session
-def _nfkd(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKD", t))
-
-
 def normal_title(c: Column, keep_marks_apart: bool = True) -> Column:
     """Lower case, compatibility decomposition, only letters, digits and single spaces.
 
     Decomposed marks become spaces (keep_marks_apart) or are dropped, so that accents
-    don't cut words. Decomposition is the one step that Spark has no function for.
+    don't cut words.
     """
-    t = _nfkd(F.lower(c))
+    t = nfkd(F.lower(c))
     if not keep_marks_apart:
         t = F.regexp_replace(t, r"\p{Mn}+", "")
     return normal_space(F.regexp_replace(t, r"[^\p{L}\p{N}\s]", " "))

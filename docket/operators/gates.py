@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docket.functions.text import is_blank, normal_space, word_count
+from docket.sources.state import kept
 
 #: Words that a quotation may have, by the step's type and else.
 WORD_LIMITS = {"namndyttrande": 60}
@@ -40,43 +43,122 @@ def quotes(cases: DataFrame, key: str = "case_pos") -> DataFrame:
     return every.where(F.coalesce(F.col("quote"), F.lit("")) != "")
 
 
+#: Words of a run that quotations are found by, of a segment that a place is looked up in, and of a part that is compared at once.
+RUN, SEGMENT, PART = 3, 256, 64
+#: Places of a run in one source that are tried before the whole source is searched instead.
+PLACES = 16
+
+
+def normalised(sources: DataFrame, on: list[str]) -> DataFrame:
+    """(on..., _n): the texts of sources (on..., text) with normal space, in a table of their own; without nulls and blank ones."""
+    normal = sources.select(*on, normal_space(F.col("text")).alias("_n"))
+    return kept(normal.where("_n is not null and _n <> ''"), "sources")
+
+
 def check(quotes: DataFrame, sources: DataFrame, on: list[str]) -> DataFrame:
-    """quotes with (passed, reason). sources: (on..., text); each is normalised once. A missing source is an empty one."""
-    normal = sources.select(*on, normal_space(F.col("text")).alias("_source"))
-    joined = quotes.join(normal, on, "left").withColumn("_quote", normal_space(F.col("quote")))
+    """quotes with (passed, reason). sources: (on..., text), one text for each, or what normalised() made of them; a missing source is an empty one.
+
+    Each source is normalised once, and read once for all its quotations: these meet it at the places of a run of
+    their words (located), so that the work grows with the texts and not with texts times quotations.
+    """
+    normal = sources if "_n" in sources.columns else normalised(sources, on)
+    asked = kept(quotes.withColumn("_quote", normal_space(F.col("quote"))), "quotes")
     limit = F.when(F.col("word_limit").isNull(), F.lit(2**31 - 1)).otherwise(F.col("word_limit"))
-    reason = verdict(F.col("quote"), F.col("_quote"), F.coalesce("_source", F.lit("")), limit)
-    out = joined.withColumn("reason", reason).drop("_source", "_quote")
-    return out.withColumn("passed", F.col("reason") == FOUND)
+    blank = F.coalesce(F.col("_quote"), F.lit("")) == ""
+    known = asked.where(~blank & (word_count(F.col("_quote")) <= limit)).select(*on, "_quote").distinct()
+    found = located(known, normal, on).withColumn("_found", F.lit(True))
+    out = asked.join(found, [*on, "_quote"], "left")
+    reason = F.when(blank, F.lit(EMPTY)).when(word_count(F.col("_quote")) > limit, F.lit(TOO_LONG)).when(F.col("_found"), F.lit(FOUND)).otherwise(F.lit(MISSING))
+    return out.withColumn("reason", reason).drop("_quote", "_found").withColumn("passed", F.col("reason") == FOUND)
 
 
-def candidates(passages: DataFrame, sources: DataFrame, on: list[str], size: int = 3) -> DataFrame:
-    """passages x sources (on..., text) that can contain them at any position; none that does is left out. passages: (quote, ...).
+def located(known: DataFrame, normal: DataFrame, on: list[str]) -> DataFrame:
+    """Those of known (on..., _quote) that stand in their own source. normal: (on..., _n); both with normal space.
+
+    A quotation's first and last word may be parts of the source's words, those between are whole ones. One run of these (the one with
+    the least hash; of three and four words a single word) is looked up among the source's runs. At each place that it has, the
+    quotation is compared with the source's words, in parts and within segments, so that no comparison looks further than its own
+    place. Where a run has very many places and the first few don't fit, and for one or two words, the source is searched.
+    """
+    q = F.split("_quote", " ")
+    n = F.size(q)
+    whole, normal = normal, normal.select(*on, F.explode(F.array(F.split("_n", " "))).alias("_w"))  # split once for all uses of its words
+
+    def run(x: Column, i: Column, k: int) -> Column:
+        return F.xxhash64(*(F.get(x, i + j) for j in range(k)))
+
+    def met_by(least: int, most: int | None, k: int) -> DataFrame:
+        """(on..., _quote, off, at, n) of quotations of so many words: where their run is in them, its first places in the source, how many it has."""
+        mine = known.where(n.between(least, most) if most else n >= least)
+        at = F.transform(F.array(q), lambda x: F.array_min(F.transform(F.sequence(F.lit(1), F.size(x) - k - 1), lambda i: F.struct(run(x, i, k).alias("h"), i.alias("off")))))
+        mine = mine.select(*on, "_quote", F.explode(at).alias("a")).select(*on, "_quote", "a.h", "a.off")
+        own = normal.where(F.size("_w") >= k)
+        if most:  # few quotations are so short
+            own = own.join(mine.select(*on).distinct(), on, "left_semi")
+        places = own.select(*on, F.posexplode(F.transform(F.sequence(F.lit(0), F.size("_w") - k), lambda i: run(F.col("_w"), i, k))).alias("p", "h"))
+        wanted = places.join(mine.select(*on, "h").distinct(), [*on, "h"], "left_semi")
+        where = wanted.groupBy(*on, "h").agg(F.slice(F.array_sort(F.collect_list("p")), 1, PLACES).alias("at"), F.count("*").alias("n"))
+        return mine.join(where, [*on, "h"]).select(*on, "_quote", "off", "at", "n")
+
+    met = met_by(RUN + 2, None, RUN).unionByName(met_by(3, RUN + 1, 1))
+    starts = met.select(*on, "_quote", F.explode(F.transform("at", lambda p: p - F.col("off"))).alias("start")).where("start >= 0")
+    cut = F.transform(F.array(q), lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / PART).cast("int")), lambda j: F.slice(x, j * PART + 1, PART)))
+    tried = starts.select(*on, "_quote", "start", F.explode(cut).alias("parts")).select(*on, "_quote", "start", F.size("parts").alias("of"), F.posexplode("parts").alias("j", "w"))
+    tried = tried.withColumn("p", F.col("start") + F.col("j") * PART).withColumn("seg", F.floor(F.col("p") / SEGMENT).cast("int"))
+    segments = F.transform(F.sequence(F.lit(0), F.floor((F.size("_w") - 1) / SEGMENT).cast("int")), lambda i: F.slice("_w", i * SEGMENT + 1, SEGMENT + PART))
+    there = tried.join(normal.select(*on, F.posexplode(segments).alias("seg", "s")), [*on, "seg"])
+    there = there.withColumn("s", F.slice("s", F.col("p") % SEGMENT + 1, F.size("w")))
+    first, end = F.get("w", F.lit(0)), F.element_at("w", -1)
+    opens = F.when(F.col("j") == 0, F.get("s", F.lit(0)).endswith(first)).otherwise(F.get("s", F.lit(0)) == first)
+    ends = F.when(F.col("j") == F.col("of") - 1, F.element_at("s", -1).startswith(end)).otherwise(F.element_at("s", -1) == end)
+    between = lambda c: F.slice(c, F.lit(2), F.greatest(F.size(c) - 2, F.lit(0)))
+    same = (F.size("s") == F.size("w")) & ends & ((F.size("w") == 1) | (opens & (between("s") == between("w"))))
+    right = there.where(same).groupBy(*on, "_quote", "start").agg(F.count("*").alias("n"), F.first("of").alias("of")).where("n = of").select(*on, "_quote").distinct()
+    crowded = met.where(F.col("n") > PLACES).select(*on, "_quote").join(right, [*on, "_quote"], "left_anti")
+    rest = known.where(n <= 2).unionByName(crowded)
+    searched = rest.join(whole, on).where(F.col("_n").contains(F.col("_quote"))).select(*on, "_quote")
+    return right.unionByName(searched)
+
+
+def candidates(passages: DataFrame, sources: DataFrame, on: list[str], size: int = RUN) -> DataFrame:
+    """passages x sources (on..., text, or what normalised() made of them) that can contain them at any position; none that does is left out. passages: (quote, ...).
 
     A passage's first and last word may be parts of the source's words, those between are whole ones:
-    its rarest run of size words (or one, if it hasn't so many between) is looked up among those of the whole texts. Passages of
-    one or two words are compared with every source. Blank passages and null texts have no candidates.
+    its rarest run of size words (or one, if it hasn't so many between) is looked up among those of the whole texts. A passage
+    of one or two words is looked up by its first characters, three at most, among the texts' runs of so many. Single
+    words and characters of the texts are only looked at if some passage needs them. Blank passages and null texts have no candidates.
     """
-    words = F.split(normal_space(F.col("quote")), " ")
     known = passages.where(~is_blank(F.col("quote"))).distinct()
-    known = known.withColumn("_p", F.xxhash64(*known.columns)).withColumn("_w", words)
+    known = known.withColumn("_p", F.xxhash64(*known.columns)).withColumn("_n", normal_space(F.col("quote"))).withColumn("_w", F.split("_n", " "))
+    texts = sources if "_n" in sources.columns else sources.select(*on, normal_space(F.col("text")).alias("_n")).where("_n is not null")
 
-    def runs(w: Column, k: int, first: int, last: int) -> Column:
-        """Hashes of each run of k words, without the first and last words."""
-        n = F.size(w) - first - last - k + 1
+    def runs(x: Column, k: int, first: int, last: int) -> Column:
+        """Hashes of each run of k words or characters, without the first and last ones."""
+        n = F.size(x) - first - last - k + 1
         at = F.when(n > 0, F.sequence(F.lit(first), n + first - 1)).otherwise(F.array().cast("array<int>"))
-        return F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.lit(k), F.array_join(F.slice(w, i + 1, k), " "))))
-
-    inner = F.when(F.size("_w") >= size + 2, runs(F.col("_w"), size, 1, 1)).otherwise(runs(F.col("_w"), 1, 1, 1))
-    wanted = known.where(F.size("_w") > 2).select("_p", F.explode(inner).alias("_g"))
-    w = F.split(normal_space(F.col("text")), " ")
-    bound = F.get(F.transform(F.array(w), lambda x: F.array_union(runs(x, size, 0, 0), runs(x, 1, 0, 0))), F.lit(0))
-    have = sources.select(*on, F.explode(bound).alias("_g")).join(wanted.select("_g").distinct(), "_g", "left_semi")
-    often = have.groupBy("_g").agg(F.count("*").alias("_n"))
-    rarest = wanted.join(often, "_g", "left").groupBy("_p").agg(F.min_by("_g", F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("_g"))
-    met = have.join(rarest, "_g").select(*on, "_p").distinct().join(known, "_p")
-    short = known.where(F.size("_w") <= 2).crossJoin(sources.where("text is not null").select(*on))
-    return met.unionByName(short).select(*on, *passages.columns)
+        return F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.lit(k), *(F.get(x, i + j) for j in range(k)))))
+
+    def of_text(own: Column, k: int) -> Column:
+        return F.get(F.transform(F.array(own), lambda x: runs(x, k, 0, 0)), F.lit(0))  # the text is split once
+
+    several = F.size("_w") >= size + 2
+    kinds = {("word", size): several, ("word", 1): (F.size("_w") > 2) & ~several}
+    kinds |= {("character", k): (F.size("_w") <= 2) & (F.length("_n") >= 3 if k == 3 else F.length("_n") == k) for k in (1, 2, 3)}
+    needed = known.agg(*(F.count_if(c).alias(f"{unit}{k}") for (unit, k), c in kinds.items())).first()  # one row of counts
+    wanted, have = [], []
+    for (unit, k), which in kinds.items():
+        if not needed[f"{unit}{k}"]:
+            continue
+        mine, edge = known.where(which), int(unit == "word")
+        own = F.split("_n", " " if edge else "")
+        wanted.append(mine.select("_p", F.explode(runs(own, k, edge, edge)).alias("_g")))
+        have.append(texts.select(*on, F.explode(of_text(own, k)).alias("_g")).join(wanted[-1].select("_g").distinct(), "_g", "left_semi"))
+    if not wanted:
+        return sources.where("false").select(*on).join(passages.where("false"), F.lit(False)).select(*on, *passages.columns)
+    asked, met = reduce(DataFrame.unionByName, wanted), kept(reduce(DataFrame.unionByName, have), "runs")
+    often = met.groupBy("_g").agg(F.count("*").alias("_n"))
+    rarest = asked.join(often, "_g", "left").groupBy("_p").agg(F.min_by("_g", F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("_g"))
+    return met.join(rarest, "_g").select(*on, "_p").distinct().join(known, "_p").select(*on, *passages.columns)
 
 
 def all_passed(cases: DataFrame, checks: DataFrame, on: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docket.functions.archive import is_pending
 from docket.functions.text import inline_script
+from docket.sources.state import kept
 
 PLACEHOLDER = "/*__CASES__*/"
 
@@ -35,8 +36,56 @@ def database_json(cases: DataFrame) -> DataFrame:
     return rows.agg(F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]")).alias("json"), F.count("*").alias("n"))
 
 
-def difference(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """(pos, id, is_new, new_step_ids) of cases that are new or have new steps; removals and edits don't count."""
+#: Positions of a range, which is a leaf of the tree of hashes, and nodes below another one.
+RANGE, FAN = 1024, 64
+
+
+def hash_tree(cases: DataFrame, size: int = RANGE, fan: int = FAN) -> DataFrame:
+    """(level, node, hash, n): hashes of ranges of positions from those of their cases, and of nodes from those below, up to one root.
+
+    No step holds more than a range's or a node's hashes. Where nothing was published there is no row. Levels are made one by one
+    from tables, as many as the number of cases has powers of fan.
+    """
+    each = cases.select(F.floor(F.col("pos") / size).alias("node"), "pos", F.sha2(canonical(case_json(cases)), 256).alias("h"))
+
+    def above(df: DataFrame, at: str, level: int, n: Column) -> DataFrame:
+        ordered = F.transform(F.array_sort(F.collect_list(F.struct(at, "h"))), lambda r: r["h"])
+        return df.groupBy("node").agg(F.sha2(F.concat_ws("", ordered), 256).alias("hash"), n.alias("n")).select(F.lit(level).alias("level"), "node", "hash", "n")
+
+    level = kept(above(each, "pos", 0, F.count("*")), "hashes")
+    tree, top = level, level.agg(F.max("node")).first()[0]
+    while top:
+        below = level.select(F.floor(F.col("node") / fan).alias("node"), F.col("node").alias("at"), F.col("hash").alias("h"), "n")
+        level = kept(above(below, "at", level.first().level + 1, F.sum("n")), "hashes")
+        tree, top = tree.unionByName(level), top // fan
+    return tree
+
+
+def changed_ranges(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(node): the ranges of after's tree that before's doesn't have alike; walked from the root, so that equal branches aren't looked into."""
+    spark = after.sparkSession
+    top, was = (df.select(F.max("level")).first()[0] for df in (after, before))
+    if top is None:
+        return spark.createDataFrame([], "node long")
+    unlike = after.join(before.select("level", "node", "hash"), ["level", "node", "hash"], "left_anti")
+    start = min(top, -1 if was is None else was)  # above that the trees have no nodes in common
+    if start < 0:
+        return after.where("level = 0").select("node")
+    found = unlike.where(F.col("level") == start).select("node")
+    for level in range(start - 1, -1, -1):
+        parents = found.select(F.col("node").alias("up"))
+        found = unlike.where(F.col("level") == level).withColumn("up", F.floor(F.col("node") / FAN)).join(parents, "up", "left_semi").select("node")
+    return found
+
+
+def difference(previous: DataFrame, current: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
+    """(pos, id, is_new, new_step_ids) of cases that are new or have new steps; removals and edits don't count.
+
+    ranges: those of current that can have changed (changed_ranges); cases keep their positions, so that the others need no look.
+    """
+    if ranges is not None:
+        changed = ranges.select(F.col("node").alias("_node"))
+        current, previous = (df.join(changed, F.floor(F.col("pos") / RANGE) == F.col("_node"), "left_semi") for df in (current, previous))
     before = previous.select("id", F.transform("steps", lambda s: s["step_id"]).alias("_known"), F.lit(True).alias("_was"))
     joined = current.join(before, "id", "left")
     ids = F.transform("steps", lambda s: s["step_id"])
@@ -45,15 +94,15 @@ def difference(previous: DataFrame, current: DataFrame) -> DataFrame:
     return out.where(F.col("is_new") | (F.size("new_step_ids") > 0))
 
 
-def changelog(previous: DataFrame, current: DataFrame, run_id: str, timestamp: str) -> DataFrame:
-    """The run's changelog row."""
-    diff = difference(previous, current)
+def changelog(previous: DataFrame, current: DataFrame, run_id: str, timestamp: str, ranges: DataFrame | None = None, whole: DataFrame | None = None) -> DataFrame:
+    """The run's changelog row. ranges: as difference takes them; whole: what database_json gave for current, if that is there."""
+    diff = difference(previous, current, ranges)
     lists = diff.agg(
         F.transform(F.array_sort(F.collect_list(F.when(F.col("is_new"), F.struct("pos", "id")))), lambda r: r["id"]).alias("new_arenden"),
         F.transform(F.array_sort(F.collect_list(F.when(~F.col("is_new"), F.struct("pos", "id", "new_step_ids")))), lambda r: F.struct(r["id"].alias("id"), r["new_step_ids"].alias("new_step_ids"))).alias("updated_arenden"),
     )
-    whole = database_json(current).select(F.sha2("json", 256).alias("data_hash"), F.col("n").alias("arende_count"))
-    return whole.crossJoin(lists).select(F.lit(run_id).alias("run_id"), F.lit(timestamp).alias("timestamp"), "data_hash", "arende_count", "new_arenden", "updated_arenden")
+    row = (database_json(current) if whole is None else whole).select(F.sha2("json", 256).alias("data_hash"), F.col("n").alias("arende_count"))
+    return row.crossJoin(lists).select(F.lit(run_id).alias("run_id"), F.lit(timestamp).alias("timestamp"), "data_hash", "arende_count", "new_arenden", "updated_arenden")
 
 
 def render(template: str, cases: DataFrame) -> str:

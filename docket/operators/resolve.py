@@ -3,7 +3,7 @@
 References decide first: a candidate whose own section refers to a paragraph that a
 known step has joins that step's case. Without any reference, a similar title only
 flags the new case. Candidates see what earlier ones of the same run became; that
-ordered fold is computed as a fixpoint of joins and minima.
+ordered fold is computed by jumping pointers and running minima.
 """
 
 from __future__ import annotations
@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from docket.functions.refs import own_section, paragraph_key, ref_keys
 from docket.functions.text import jaccard, normal_title, title_tokens
-from docket.sources.state import cut
+from docket.sources.state import kept, scratch
 
 from .incremental import first_per_group
+from .scan import latest, running
 
 THRESHOLD = 0.6
 
@@ -33,8 +34,11 @@ def candidate_refs(candidates: DataFrame, pos: str) -> DataFrame:
 
 
 def keyed(refs: DataFrame, keys: DataFrame, candidate: str, case: str) -> DataFrame:
-    """(candidate, case, step_pos, ref_pos, key): the first match by case, step and reference order."""
-    met = refs.join(keys, "key")
+    """(candidate, case, step_pos, ref_pos, key): the first match by case, step and reference order.
+
+    Of a key only its first step by case and position can win, so that the others don't meet any reference.
+    """
+    met = refs.join(first_per_group(keys.select("key", case, "step_pos"), ["key"], F.struct(F.col(case), F.col("step_pos"))), "key")
     return first_per_group(met, [candidate], F.struct(F.col(case), F.col("step_pos"), F.col("ref_pos")))
 
 
@@ -66,44 +70,62 @@ def similar(titles: DataFrame, known: DataFrame, candidate: str, case: str, thre
 
 
 def placed(candidates: DataFrame, existing: DataFrame) -> DataFrame:
-    """(cand, has_refs, place): where each candidate ends in the fold.
+    """(cand, offset, has_refs, place): where each candidate ends in the fold.
 
     A place is an existing case's position or, for a new case, the number of existing
     ones plus the candidate's own. It is the least of the matching existing positions
     and of the places of earlier candidates whose steps match.
+
+    Every candidate with a match among earlier ones points to the earliest of them. These pointers are jumped: each round
+    doubles how far a candidate looks along its chain, so that a chain takes as many rounds as its length's logarithm. What a candidate
+    reaches by its other matches comes from a running minimum along each key; where that lowers a place, pointers are jumped again.
     """
-    offset = existing.agg(F.coalesce(F.max("pos") + 1, F.lit(0)).alias("offset"))
-    refs = cut(candidate_refs(candidates, "cand").select("cand", "key").distinct())
-    direct = refs.join(step_keys(existing, "pos").select("pos", "key").distinct(), "key").groupBy("cand").agg(F.min("pos").alias("direct"))
-    before = step_keys(candidates, "cand").select(F.col("cand").alias("src"), "key").distinct()
-    edges = cut(refs.join(before, "key").where("src < cand").select("cand", "src").distinct())
-    base = candidates.select("cand").crossJoin(F.broadcast(offset)).join(direct, "cand", "left")
-    base = base.join(edges.select("cand").distinct().withColumn("linked", F.lit(True)), "cand", "left").join(refs.select("cand").distinct().withColumn("has_refs", F.lit(True)), "cand", "left")
-    lone = F.when(F.col("direct").isNull() & F.col("linked").isNull(), F.col("offset") + F.col("cand"))
-    state = cut(base.select("cand", "offset", F.coalesce("has_refs", F.lit(False)).alias("has_refs"), F.coalesce("direct", lone).alias("place")))
-    mark = lambda s: s.agg(F.count("place"), F.sum("place")).first()
-    seen = mark(state)
-    while True:  # as often as the longest chain of candidates that refer to each other
-        via = edges.join(state.select(F.col("cand").alias("src"), F.col("place").alias("p")), "src").groupBy("cand").agg(F.min("p").alias("p"))
-        state = cut(state.join(via, "cand", "left").withColumn("place", F.least("place", "p")).drop("p"))
-        now = mark(state)
-        if now == seen:
-            return state
-        seen = now
+    spark = candidates.sparkSession
+    with scratch(spark):
+        offset = existing.agg(F.coalesce(F.max("pos") + 1, F.lit(0)).alias("offset"))
+        refs = kept(candidate_refs(candidates, "cand").select("cand", "key").distinct(), "refs")
+        first_known = step_keys(existing, "pos").groupBy("key").agg(F.min("pos").alias("pos"))
+        direct = refs.join(first_known, "key").groupBy("cand").agg(F.min("pos").alias("direct"))
+        own = kept(step_keys(candidates, "cand").select("key", "cand").distinct(), "keys")
+        earliest = own.groupBy("key").agg(F.min("cand").alias("to"))
+        points = refs.join(earliest, "key").where("to < cand").groupBy("cand").agg(F.min("to").alias("to"))
+        base = candidates.select("cand").crossJoin(F.broadcast(offset)).join(direct, "cand", "left").join(points, "cand", "left")
+        base = base.join(refs.select("cand").distinct().withColumn("has_refs", F.lit(True)), "cand", "left")
+        lone = F.when(F.col("direct").isNull() & F.col("to").isNull(), F.col("offset") + F.col("cand"))
+        now = kept(base.select("cand", "offset", F.coalesce("has_refs", F.lit(False)).alias("has_refs"), "to", F.coalesce("direct", lone).cast("long").alias("place")), "places")
+        while True:
+            now = kept(_jumped(now), "places")
+            reached = latest(own.join(now.select("cand", "place"), "cand"), refs, ["key"], "cand", "place", "by_key", "min")
+            reached = reached.groupBy("cand").agg(F.min("by_key").alias("by_key"))
+            then = kept(now.join(reached, "cand", "left").withColumn("lower", F.coalesce(F.col("by_key") < F.col("place"), F.lit(False))).withColumn("place", F.least("place", "by_key")).drop("by_key"), "places")
+            if then.where("lower").isEmpty():
+                return kept(then.select("cand", "offset", "has_refs", "place"), "placed", outlive=True)
+            now = then.drop("lower")
+
+
+def _jumped(places: DataFrame) -> DataFrame:
+    """places (cand, to, place, ...) with the least place along each candidate's pointers; to stays."""
+    at = places.select("cand", F.col("to").alias("next"), "place")
+    while not at.where("next is not null").isEmpty():
+        ahead = at.select(F.col("cand").alias("next"), F.col("next").alias("then"), F.col("place").alias("there"))
+        at = kept(at.join(ahead, "next", "left").select("cand", F.col("then").alias("next"), F.least("place", "there").alias("place")), "jump")
+    return places.drop("place").join(at.select("cand", "place"), "cand")
 
 
 def new_ids(new: DataFrame, taken: DataFrame, order: str = "cand") -> DataFrame:
     """(order, id): the lowest free a-{year}-{nnnn}, in order within each year.
 
-    new: (order, year); taken: (id). Four digits at least.
+    new: (order, year); taken: (id). Four digits at least. Below the i-th taken number k lie k - i free ones; the n-th free number is n
+    and as many more as there are taken ones with fewer than n free ones below. Both counts are running sums, so that neither
+    a year's numbers are listed nor a year sorted in one task.
     """
-    numbers = taken.select(F.regexp_extract("id", r"^a-(\d{4})-0*(\d+)$", 1).alias("year"), F.regexp_extract("id", r"^a-(\d{4})-0*(\d+)$", 2).try_cast("long").alias("k")).where("k is not null").distinct()
-    wanted = new.groupBy("year").agg(F.count("*").alias("n"))
-    used = numbers.groupBy("year").agg(F.count("*").alias("m"))
-    span = wanted.join(used, "year", "left").select("year", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n") + F.coalesce("m", F.lit(0)))).alias("k"))
-    free = span.join(numbers, ["year", "k"], "left_anti").withColumn("nth", F.row_number().over(Window.partitionBy("year").orderBy("k")))
-    asked = new.withColumn("nth", F.row_number().over(Window.partitionBy("year").orderBy(order)))
-    return asked.join(free, ["year", "nth"]).select(order, F.format_string("a-%s-%04d", "year", "k").alias("id"))
+    numbers = taken.select(F.regexp_extract("id", r"^a-(\d{4})-0*(\d+)$", 1).alias("year"), F.regexp_extract("id", r"^a-(\d{4})-0*(\d+)$", 2).try_cast("long").alias("k")).where("k > 0").distinct()
+    one = F.lit(1).cast("long").alias("one")
+    asked = new.where("year is not null").select("year", F.col(order).cast("long").alias("k"), F.lit(True).alias("asks"), one)
+    counted = running(numbers.select("year", "k", F.lit(False).alias("asks"), one).unionByName(asked), ["year", "asks"], ["k"], "one", "i")
+    gaps = counted.where("not asks").select("year", (F.col("k") - F.col("i")).alias("nth"), "one")
+    placed = latest(gaps, counted.where("asks").select("year", F.col("i").alias("nth"), F.col("k").alias(order)), ["year"], "nth", "one", "below")
+    return placed.select(order, F.format_string("a-%s-%04d", "year", F.col("nth") + F.coalesce("below", F.lit(0))).alias("id"))
 
 
 def merged(existing: DataFrame, candidates: DataFrame, repeat_steps: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -121,11 +143,12 @@ def merged(existing: DataFrame, candidates: DataFrame, repeat_steps: bool = Fals
     year = F.substring(F.get("steps", F.lit(0))["date"], 1, 4)
     dated = fresh.where(F.coalesce(F.size("steps"), F.lit(0)) > 0)
     errors = fresh.where(F.coalesce(F.size("steps"), F.lit(0)) <= 0).select("cand", "title", F.lit("a new case without steps").alias("error"))
-    ids = new_ids(dated.select("cand", year.alias("year")), existing.select("id"))
+    ids = kept(new_ids(dated.select("cand", year.alias("year")), existing.select("id")), "ids")
 
     tokens = title_tokens(normal_title(F.col("title")))
     known = existing.select(F.col("pos").alias("case"), tokens.alias("tokens"), F.lit(-1).cast("long").alias("since")).unionByName(dated.select(F.col("place").alias("case"), tokens.alias("tokens"), F.col("cand").cast("long").alias("since")))
-    asking = dated.where(~F.col("has_refs")).select("cand", tokens.alias("tokens"))
+    known = kept(known, "titles")
+    asking = kept(dated.where(~F.col("has_refs")).select("cand", tokens.alias("tokens")), "titles")
     like = similar(asking, known, "cand", "case", earlier="since")
     named = existing.select(F.col("pos").alias("case"), F.col("id").alias("like_id")).unionByName(dated.join(ids, "cand").select(F.col("place").alias("case"), ids["id"].alias("like_id")))
     flags = like.join(named, "case").select("cand", F.format_string("similar title: %s (%.2f)", "like_id", "score").alias("flag"))

@@ -29,17 +29,18 @@ def page_title() -> F.Column:
 
 
 def verbatim_checks(spark: SparkSession, d: str) -> DataFrame:
-    """All of each document's text in pieces, and every benchmark passage that stands anywhere in a document."""
-    docs, bench = read(spark, d, "documents").withColumn("text", F.coalesce("text", F.lit(""))), read(spark, d, "benchmark")
-    pieces = F.transform(F.expr("sequence(0, cast(greatest(length(text) - 1, 0) div 120 as int))"), lambda k: F.struct(k.alias("k"), F.substring(F.col("text"), k * 120 + 1, F.lit(120)).alias("quote")))
-    own = docs.select("doc_id", text.normal_space(F.col("text")).alias("n"), F.explode(pieces).alias("p"))
-    reason = gates.verdict(F.col("p.quote"), text.normal_space(F.col("p.quote")), F.col("n"), F.lit(gates.DEFAULT_LIMIT))
-    own = own.select("doc_id", F.concat(F.lit("own "), F.col("p.k").cast("string")).alias("field"), reason.alias("reason"))
-    own = own.select("doc_id", "field", (F.col("reason") == gates.FOUND).alias("passed"), "reason")
+    """All of each document's text in pieces, some altered in the middle, some too long, some blank, and every benchmark passage that stands anywhere in a document."""
+    docs, bench = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), read(spark, d, "benchmark")
+    each = docs.select("doc_id", "text", F.explode(F.expr("sequence(0, cast(greatest(length(text) - 1, 0) div 120 as int))")).alias("k"))
+    piece, kind = F.substring(F.col("text"), F.col("k") * 120 + 1, F.lit(120)), (F.col("doc_id") + F.col("k")) % 6
+    middle = F.concat(F.substring(piece, F.lit(1), F.lit(60)), F.when(kind == 0, " not ").otherwise("¤"), F.substring(piece, F.lit(61), F.lit(60)))
+    quote = F.when(kind < 2, middle).when(kind == 2, F.substring(F.col("text"), F.col("k") * 120 + 1, F.lit(480))).when(kind == 3, " \t ").otherwise(piece)
+    own = each.select("doc_id", F.concat(F.lit("own "), F.col("k").cast("string")).alias("field"), quote.alias("quote"))
     passages = bench.select(F.concat(F.lit("passage "), F.col("item_id").cast("string")).alias("field"), F.col("text").alias("quote"))
-    met = gates.candidates(passages, docs.select("doc_id", "text"), ["doc_id"]).withColumn("word_limit", F.lit(None).cast("int"))
-    found = gates.check(met, docs.select("doc_id", "text"), ["doc_id"]).where("passed")
-    return own.unionByName(found.select("doc_id", "field", "passed", "reason"))
+    normal = gates.normalised(docs, ["doc_id"])
+    met = gates.candidates(passages, normal, ["doc_id"]).withColumn("word_limit", F.lit(None).cast("int"))
+    checked = gates.check(own.withColumn("word_limit", F.lit(gates.DEFAULT_LIMIT)).unionByName(met), normal, ["doc_id"])
+    return checked.where(F.col("passed") | F.col("field").startswith("own ")).select("doc_id", "field", "passed", "reason")
 
 
 def whitespace_norm(spark: SparkSession, d: str) -> DataFrame:
@@ -83,7 +84,7 @@ def meeting_links(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders")
     body = F.when(F.col("o_orderkey") % 3 == 0, "other").otherwise("council")
     host = F.when(F.col("o_orderkey") % 2 == 0, BASE).otherwise("")
-    link = F.concat(F.lit('<a href="'), host, F.lit("/committees/"), body, F.lit("/mote-"), F.date_format("o_orderdate", DAY), F.when(F.col("o_orderkey") % 5 == 0, "/agenda").otherwise(""), F.lit('">'))
+    link = F.concat(F.lit('<a href="'), host, F.lit("/committees/"), body, F.lit("/mote-"), F.date_format("o_orderdate", DAY), F.when(F.col("o_orderkey") % 5 == 0, "/agenda").when(F.col("o_orderkey") % 7 == 0, "?a=1&amp;b=2").when(F.col("o_orderkey") % 7 == 1, "#top").otherwise(""), F.lit('">'))
     page = o.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", link.alias("a")))), lambda r: r["a"]), "\n").alias("html"))
     dates = links.meeting_dates(F.lit("council"), BASE, F.col("html"))
     found = links.first_occurrences(page, ["o_custkey"], dates, "date")
@@ -91,11 +92,14 @@ def meeting_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def first_match_or_null(spark: SparkSession, d: str) -> DataFrame:
-    """The first link to minutes on a page that has none, one or two."""
+    """The first link to minutes on a page that has none, one or two; with fragments, further parameters, after a name, or not to be downloaded."""
     p = read(spark, d, "pages")
     path = F.concat(F.lit("/committees/council/mote-2024-01-31/protocol/p-"), F.col("page_id").cast("string"))
-    html = F.concat(F.lit("<body>"), F.when(F.col("page_id") % 3 > 0, F.concat(F.lit("<a href='"), path, F.lit("pdf-17?downloadMode=open'>"))).otherwise(""), F.when(F.col("page_id") % 3 == 2, F.concat(F.lit("<a href='"), F.lit(BASE), path, F.lit("pdf'>"))).otherwise(""))
-    return p.select("page_id", links.protocol_url(BASE, F.lit("council"), F.lit("2024-01-31"), html).alias("link"))
+    form = F.get(F.array(*map(F.lit, ["?downloadMode=open", "?downloadMode=open#page=2", "?downloadMode=open&amp;x=1", "?x=1&amp;downloadMode=open", "?x=1#downloadMode=open"])), (F.col("page_id") % 5).cast("int"))
+    before = F.when(F.col("page_id") % 7 == 0, "<meta content='0;url=").otherwise("<a href='")
+    first = F.when(F.col("page_id") % 3 > 0, F.concat(before, path, F.lit("pdf-17"), form, F.lit("'>"))).otherwise("")
+    second = F.when(F.col("page_id") % 3 == 2, F.concat(F.lit("<a href="), F.lit(BASE), path, F.lit("pdf>"))).otherwise("")
+    return p.select("page_id", links.protocol_url(BASE, F.lit("council"), F.lit("2024-01-31"), F.concat(F.lit("<body>"), first, second)).alias("link"))
 
 
 def filename_sanitize(spark: SparkSession, d: str) -> DataFrame:
@@ -107,7 +111,7 @@ def filename_sanitize(spark: SparkSession, d: str) -> DataFrame:
 def attachment_links(spark: SparkSession, d: str) -> DataFrame:
     """Attachments on pages made of an order's lines, some twice."""
     li = read(spark, d, "lineitem")
-    path = F.concat(F.lit("/welcome-sv/namnder-styrelser/council/agenda/doc-"), (F.col("l_partkey") % 7).cast("string"), F.lit("pdf"), F.when(F.col("l_partkey") % 2 == 0, "-12").otherwise(""), F.when(F.col("l_linenumber") % 2 == 0, "?downloadMode=open").otherwise(""))
+    path = F.concat(F.lit("/welcome-sv/namnder-styrelser/council/agenda/doc-"), (F.col("l_partkey") % 7).cast("string"), F.lit("pdf"), F.when(F.col("l_partkey") % 2 == 0, "-12").otherwise(""), F.when(F.col("l_linenumber") % 4 == 0, "?x=1&amp;downloadMode=open#page=2").when(F.col("l_linenumber") % 2 == 0, "?downloadMode=open").when(F.col("l_linenumber") == 3, "#top").otherwise(""))
     page = li.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", F.concat(F.lit('"'), path, F.lit('"')).alias("a")))), lambda r: r["a"]), " ").alias("html"))
     return links.attachments(page, BASE, ["l_orderkey"]).select("l_orderkey", "url", "filename")
 
@@ -345,16 +349,18 @@ def title_norm_nfkd(spark: SparkSession, d: str) -> DataFrame:
 
 
 def merge_append(spark: SparkSession, d: str) -> DataFrame:
-    """The fold of candidates into existing cases: finished orders exist, open ones come in order and refer to customers' earlier ones."""
+    """The fold of candidates into existing cases: finished orders exist; open ones come in order and refer to their customer's or the next customer's orders, or to none."""
     o = read(spark, d, "orders")
-    ref = F.concat(F.lit("§"), F.col("o_custkey").cast("string"), F.lit(" KF"))
+    ref = lambda c: F.concat(F.lit("§"), c.cast("string"), F.lit(" KF"))
     none = F.lit(None).cast("string")
-    source = F.struct(ref.alias("protocol_ref"), none.alias("pdf_url"), none.alias("archive_url"), none.alias("wayback_url"))
+    source = F.struct(ref(F.col("o_custkey")).alias("protocol_ref"), none.alias("pdf_url"), none.alias("archive_url"), none.alias("wayback_url"))
     step = F.struct(F.concat(F.lit("s-"), F.col("o_orderkey").cast("string")).alias("step_id"), F.date_format("o_orderdate", DAY).alias("date"), source.alias("source"))
-    case = [F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"), F.col("o_orderpriority").alias("status"), F.array(step).alias("steps"), none.alias("_link_flag")]
+    case = [F.concat(F.lit("order "), (F.col("o_orderkey") % 2000).cast("string")).alias("title"), F.col("o_orderpriority").alias("status"), F.array(step).alias("steps"), none.alias("_link_flag")]
     taken = F.format_string("a-%s-%04d", F.date_format("o_orderdate", "yyyy"), F.col("o_orderkey"))
     existing = o.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("pos"), taken.alias("id"), *case)
-    candidates = o.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("cand"), none.alias("id"), *case, F.when(F.col("o_orderkey") % 4 > 0, ref).otherwise("").alias("text"))
+    named = F.col("o_custkey") + F.when(F.col("o_orderkey") % 20 == 3, 1).otherwise(0)
+    text = F.when(F.col("o_orderkey") % 4 > 0, F.concat(F.lit("se "), ref(named))).otherwise("")
+    candidates = o.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("cand"), none.alias("id"), *case, text.alias("text"))
     cases, _ = resolve.merged(existing, candidates)
     return cases.select("id", "title", "status", F.array_join(F.transform("steps", lambda s: s["step_id"]), ",").alias("steps"), "_link_flag")
 

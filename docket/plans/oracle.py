@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from docket.functions.unicode import decompositions
+
 _NORM = r"trim(regexp_replace(text, '[\t\n\x0B\f\r ]+', ' ', 'g'))"
 _DAY = "strftime({}, '%Y-%m-%d')"
 _ORDER_DAY = _DAY.format("o_orderdate")
@@ -31,15 +33,22 @@ from lineitem group by 1) on l_orderkey = o_orderkey""".replace("{{", "{").repla
 
 _BEFORE = "where {} <= timestamp '1996-06-30'"
 
+_DECOMPOSED = chr(30).join(f"{c}{chr(31)}{d}" for c, d in decompositions().items() if "'" not in d)
+_TITLE = r"trim(regexp_replace(regexp_replace({}, '[^\p{{L}}\p{{N}}\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+_BARE = r"regexp_replace(t, '\p{Mn}+', '', 'g')"
+
 ORACLE = {
     "verbatim_checks": rf"""
 with d as (select doc_id, coalesce(text, '') text, {_NORM.replace('text', "coalesce(text, '')")} n from documents),
 o as (select doc_id, n, text, unnest(range(0, greatest(length(text) - 1, 0) // 120 + 1)) k from d),
-q as (select doc_id, n, 'own ' || k field, substr(text, k * 120 + 1, 120) quote, {_NORM.replace('text', "substr(text, k * 120 + 1, 120)")} m from o),
+r as (select doc_id, n, 'own ' || k field, substr(text, k * 120 + 1, 120) piece, (doc_id + k) % 6 kind, substr(text, k * 120 + 1, 480) long from o),
+a as (select doc_id, n, field, case when kind < 2 then substr(piece, 1, 60) || case kind when 0 then ' not ' else '¤' end || substr(piece, 61, 60)
+    when kind = 2 then long when kind = 3 then ' ' || chr(9) || ' ' else piece end text from r),
+q as (select doc_id, n, field, {_NORM} m from a),
 c as (select doc_id, field, case when m = '' then 'empty' when len(string_split(m, ' ')) > 40 then 'too long' when contains(n, m) then 'verified' else 'not found' end reason from q),
 p as (select 'passage ' || item_id field, {_NORM} m from benchmark)
 select doc_id, field, reason = 'verified' passed, reason from c
-union all select doc_id, field, true, 'verified' from d join p on m <> '' and contains(n, m)""",
+union all select doc_id, field, true, 'verified' from d join p on m <> '' and contains(n, m)""".replace("\\u00a4", "¤"),
     "whitespace_norm": f"select doc_id, length({_NORM}) n_chars, len(string_split({_NORM}, ' ')) n_words, md5({_NORM}) digest from documents",
     "word_limit_by_type": f"""select conv_id, turn, case role when 'assistant' then 60 else 40 end::bigint word_limit,
 len(string_split({_NORM}, ' ')) > case role when 'assistant' then 60 else 40 end too_long from conversations""",
@@ -51,7 +60,7 @@ from (select page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) l from pages
 from (select page_id, unnest(l) link, generate_subscripts(l, 1) - 1 pos from (select page_id, list_append(regexp_extract_all(html, 'href="([^"]*)"', 1), url) l from pages)) group by 1, 2""",
     "meeting_links": f"""select distinct o_custkey, {_ORDER_DAY} date, 'https://portal.example/committees/council/mote-' || {_ORDER_DAY} meeting_url
 from orders where o_orderkey % 3 > 0 and o_orderkey % 5 > 0""",
-    "first_match_or_null": """select page_id, case when page_id % 3 > 0 then 'https://portal.example/committees/council/mote-2024-01-31/protocol/p-' || page_id || 'pdf-17?downloadMode=open' end link from pages""",
+    "first_match_or_null": """select page_id, case when page_id % 3 > 0 then 'https://portal.example/committees/council/mote-2024-01-31/protocol/p-' || page_id || 'pdf-17' || case when page_id % 5 < 4 then '?downloadMode=open' else '' end end link from pages""",
     "filename_sanitize": r"""select page_id, substr(regexp_replace(regexp_replace(regexp_extract(url, '[^/]*$') || 'pdf' || case when page_id % 2 = 0 then '-' || page_id else '' end, 'pdf(-\d+)?$', '\1'), '[?#](.|\n)*$', ''), 1, 150) filename from pages""",
     "attachment_links": """select distinct l_orderkey, 'https://portal.example/welcome-sv/namnder-styrelser/council/agenda/doc-' || (l_partkey % 7) || 'pdf' || case when l_partkey % 2 = 0 then '-12' else '' end || case when l_linenumber % 2 = 0 then '?downloadMode=open' else '' end url,
 'doc-' || (l_partkey % 7) || case when l_partkey % 2 = 0 then '-12' else '' end || '.pdf' filename from lineitem""",
@@ -117,4 +126,28 @@ select 'run-1' run_id, count(*) arende_count, count(*) filter (fresh) n_new, cou
     "view_by_body": "select 'a-' || l_orderkey id, count(*) n_steps from lineitem group by l_orderkey having bool_or(lower(l_returnflag) = 'r')",
     "view_search": """select 'a-' || o_orderkey id, o_orderpriority title from orders where o_orderstatus = 'O'
 and exists (select 1 from lineitem where l_orderkey = o_orderkey and lower(l_returnflag) = 'n') and exists (select 1 from lineitem where l_orderkey = o_orderkey and starts_with('part ' || l_partkey, 'part 1'))""",
+    # what a candidate reaches is followed match by match; the places, numbers and flags follow from it
+    "merge_append": """with recursive o as (select o_orderkey k, o_custkey c, o_orderstatus = 'F' old, o_orderpriority status, strftime(o_orderdate, '%Y') y, 'order ' || (o_orderkey % 2000) title from orders),
+r as (select k, case when k % 20 = 3 then c + 1 else c end c from o where not old and k % 4 > 0),
+e as (select r.k a, s.k b from r join o s on not s.old and s.c = r.c and s.k < r.k),
+v as (select o.k, coalesce(d.v, case when not exists (select 1 from e where a = o.k) then n.n + o.k end) v
+    from o left join (select r.k, min(s.k) v from r join o s on s.old and s.c = r.c group by 1) d on d.k = o.k, (select coalesce(max(k) filter (old), -1) + 1 n from o) n where not old),
+reach(a, b) as (select k, k from v union select reach.a, e.b from reach join e on reach.b = e.a),
+f as (select a k, min(v) place from reach join v on v.k = b group by 1),
+n as (select coalesce(max(k) filter (old), -1) + 1 n from o),
+fresh as (select o.*, place, row_number() over (partition by y order by k) nth from f join o using (k), n where place = n + k),
+used as (select distinct y, k from o where old),
+span as (select y, unnest(range(1, n + coalesce(m, 0) + 1)) k from (select y, count(*) n from fresh group by y) left join (select y, count(*) m from used group by y) using (y)),
+free as (select y, k num, row_number() over (partition by y order by k) nth from span s where not exists (select 1 from used u where u.y = s.y and u.k = s.k)),
+numbered as (select k pos, printf('a-%s-%04d', y, k) id, k, title, status, -1 since from o where old union all select place, printf('a-%s-%04d', y, num), k, title, status, k from fresh join free using (y, nth)),
+flags as (select x.k, 'similar title: ' || z.id || ' (1.00)' flag from fresh x join numbered z on z.title = x.title and z.since < x.k where x.k % 4 = 0 qualify row_number() over (partition by x.k order by z.pos) = 1),
+added as (select place pos, string_agg('s-' || k, ',' order by k) steps, arg_max(status, k) status from f join o using (k), n where place <> n + k group by 1)
+select z.id, z.title, coalesce(a.status, z.status) status, 's-' || z.k || coalesce(',' || a.steps, '') steps, flag _link_flag from numbered z left join added a using (pos) left join flags on since >= 0 and flags.k = z.k""",
+    # the same table of decompositions as the column expressions use; Hangul syllables and the order of marks don't show in titles
+    "title_norm_nfkd": rf"""with m as (select string_split(e, chr(31))[1] c, string_split(e, chr(31))[2] d from (select unnest(string_split('{_DECOMPOSED}', chr(30))) e)),
+l as (select doc_id, text, regexp_extract_all(lower(text), '(?s).') l from documents),
+c as (select doc_id, unnest(l) c, generate_subscripts(l, 1) i from l),
+n as (select doc_id, string_agg(coalesce(d, c), '' order by i) t from c left join m using (c) group by doc_id),
+w as (select doc_id, case when text is not null then coalesce(t, '') end t from documents left join n using (doc_id))
+select doc_id, {_TITLE.format('t')} title, {_TITLE.format(_BARE)} title_without_marks from w""",
 }

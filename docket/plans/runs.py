@@ -13,20 +13,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docket.functions.links import protocol_url, refs
-from docket.operators import archive, gates, incremental, publish, resolve, validate
+from docket.operators import archive, gates, incremental, resolve, validate
+from docket.sources import state
 from docket.sources.state import cut
 
 KEY = incremental.KEY
 
 
-def discover(bodies: DataFrame, list_pages: DataFrame, seed_pages: DataFrame, seen: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
-    """(new meetings, diagnostics per body); a body whose list has no links is read from its seed page instead."""
+def discover(bodies: DataFrame, list_pages: DataFrame, seed_pages: DataFrame, seen: DataFrame, base: str, wrong: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(new meetings, diagnostics per body); a body whose list has no links is read from its seed page instead.
+
+    wrong: (committee_slug, error) of bodies whose list could not be fetched; the others are not held up by them.
+    """
     known = incremental.confirmed(bodies).select(F.col("slug").alias("committee_slug"))
     listed = refs(list_pages.join(known, "committee_slug", "left_semi"), base)
     silent = known.join(listed, "committee_slug", "left_anti")
     every = listed.unionByName(refs(seed_pages.join(silent, "committee_slug", "left_semi"), base))
     new = incremental.unseen(every, seen)
-    return new, incremental.diagnostics(known, new, "committee_slug")
+    return new, incremental.diagnostics(known, new, "committee_slug", wrong)
 
 
 def with_protocols(meetings: DataFrame, pages: DataFrame, base: str) -> DataFrame:
@@ -57,14 +61,12 @@ class Run:
     needs_review: DataFrame
     errors: DataFrame
     seen: DataFrame
-    changelog: DataFrame
-    published: DataFrame
 
 
 def process(
-    meetings: DataFrame, texts: DataFrame, answers: DataFrame, verdicts: DataFrame | None, raw_files: DataFrame, existing: DataFrame, seen: DataFrame, run_id: str, timestamp: str
+    meetings: DataFrame, texts: DataFrame, answers: DataFrame, verdicts: DataFrame | None, raw_files: DataFrame, existing: DataFrame, seen: DataFrame, run_id: str
 ) -> Run:
-    """Validate, gate, verify, archive, link and publish a batch of meetings.
+    """Validate, gate, verify, archive and link a batch of meetings.
 
     meetings: (committee_slug, date, protocol_pdf_url); texts: (pdf_url, text); answers:
     (pdf_url, raw); verdicts: (pdf_url, case_pos, raw), or None to leave verification
@@ -79,8 +81,8 @@ def process(
     stage = wrong.select(F.lit(run_id).alias("run_id"), F.lit("extract").alias("stage"), *KEY, F.concat_ws(": ", F.concat_ws("/", "case_pos", "step_pos"), "error").alias("error"))
 
     parsed = parsed.withColumn("key", F.concat_ws("#", "pdf_url", "case_pos"))
-    sources = parsed.select("key", "pdf_url").join(texts, "pdf_url", "left").select("key", F.coalesce("text", F.lit("")).alias("text"))
-    checks = gates.check(gates.quotes(parsed, "key"), sources, ["key"])
+    quotes = gates.quotes(parsed, "key").join(parsed.select("key", "pdf_url"), "key")
+    checks = state.kept(gates.check(quotes, texts.join(meetings.select(url.alias("pdf_url")).distinct(), "pdf_url", "left_semi"), ["pdf_url"]), "checks")
     gated = gates.all_passed(parsed, checks, ["key"])
     if verdicts is not None:
         said = verdicts.select("pdf_url", "case_pos", validate.parsed_verdict(F.col("raw")).alias("verdict"))
@@ -102,4 +104,4 @@ def process(
     cases = cut(cases)
     lost = lost.join(ready.select("cand", *KEY), "cand").select(F.lit(run_id).alias("run_id"), F.lit("link").alias("stage"), *KEY, "error")
     done = meetings.select(*KEY).join(unread, KEY, "left_anti")
-    return Run(cases, review, stage.unionByName(lost), incremental.mark_seen(seen, done), publish.changelog(existing, cases, run_id, timestamp), publish.database_json(cases))
+    return Run(cases, review, stage.unionByName(lost), incremental.mark_seen(seen, done))

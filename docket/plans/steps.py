@@ -1,12 +1,13 @@
 """The steps with their sinks: each reads what the one before has left in a folder and leaves its own.
 
-Tables are folders of JSON lines; what is published is one JSON document, as before a run
-so after it. A step that is run again replaces what it has left, but for the logs, which grow.
+Tables are folders of JSON lines. What lasts (the database, what is published, the seen-set, the logs) is a store: a run
+writes into a stage of its own and becomes visible by one rename, all of it or nothing; the same run again changes nothing.
 """
 
 from __future__ import annotations
 
 import traceback
+import uuid
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,15 @@ from docket import schemas
 from docket.operators import archive, gates, incremental, publish, resolve, validate
 from docket.plans import runs
 from docket.sources import landed, state
+from docket.sources.store import Run, Store
 
 CASE_ROW = f"pos long, {schemas.CASE}"
 ANSWER = "pdf_url string, raw string"
 VERDICT_ROW = "pdf_url string, case_pos int, raw string"
+REVIEW_ROW = f"run_id string, stage string, failed_checks array<struct<step_id:string,field:string,reason:string>>, {schemas.CASE}"
+RUN_ROW = "run_id string, kind string, found long, in_range long, already_seen long, remaining long, capped boolean, batch long, published long, review long, errors long, failure string"
+HASH_ROW = "level int, node long, hash string, n long"
+FOUND_ROW = "run_id string, committee_slug string, found long, error string"
 
 
 def rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -38,20 +44,22 @@ def left_document(df: DataFrame, path: str) -> None:
 
 
 def cases_at(spark: SparkSession, path: str) -> DataFrame:
-    """Cases (pos, ...) of a table that a step has left, or of a JSON document."""
+    """Cases (pos, ...) of a store, of a table that a step has left, or of a JSON document."""
+    if state._exists(spark, f"{path}/commits"):
+        return Store(spark, path).rows("cases", CASE_ROW)
     first = spark.read.text(path).select(F.trim("value").alias("t")).where("t <> ''").limit(1).first() if state._exists(spark, path) else None
     return state.load_cases(spark, path) if first is None or first.t.startswith("[") else rows(spark, path, CASE_ROW)
 
 
-def _one_source(spark: SparkSession, cases: DataFrame, path: str) -> DataFrame:
-    text = spark.read.text(path, wholetext=True).agg(F.concat_ws("\n", F.collect_list("value")).alias("text"))
-    return cases.select("pos").crossJoin(F.broadcast(text))  # one document for all
+def _one_source(spark: SparkSession, path: str) -> DataFrame:
+    """(doc, text): one document for all cases."""
+    return spark.read.text(path, wholetext=True).agg(F.concat_ws("\n", F.collect_list("value")).alias("text")).select(F.lit(0).alias("doc"), "text")
 
 
 def gates_step(spark: SparkSession, cases: str, source: str, out: str) -> None:
     """out/ready and out/needs_review: the cases by the gate, those with their failed checks."""
     known = cases_at(spark, cases)
-    checks = gates.check(gates.quotes(known, "pos"), _one_source(spark, known, source), ["pos"])
+    checks = gates.check(gates.quotes(known, "pos").withColumn("doc", F.lit(0)), _one_source(spark, source), ["doc"])
     ready, review = gates.split(state.cut(gates.all_passed(known, checks, ["pos"])))
     failed = checks.where("not passed").groupBy("pos").agg(F.array_sort(F.collect_list(F.struct("step_id", "field", "reason"))).alias("failed_checks"))
     left(ready.select(*known.columns), f"{out}/ready")
@@ -78,93 +86,114 @@ def archive_step(spark: SparkSession, verified: str, folder: str, listed: str, o
 
 
 def link_step(spark: SparkSession, archived: str, source: str, database: str, errors: str) -> None:
-    """The database with the cases folded in; new cases that can't have an id go to errors."""
-    existing = state.cut(state.load_cases(spark, database))
+    """The database (a store) with the cases folded in; new cases that can't have an id go to errors."""
+    run = Store(spark, database).begin(f"link-{uuid.uuid4().hex}")
+    existing = state.cut(cases_at(spark, database))
     new = cases_at(spark, archived)
-    asked = new.join(_one_source(spark, new, source), "pos").withColumnRenamed("pos", "cand")
+    asked = new.crossJoin(F.broadcast(_one_source(spark, source).select("text"))).withColumnRenamed("pos", "cand")
     merged, lost = resolve.merged(existing, state.cut(asked))
-    merged = state.cut(merged)
+    run.write(merged, "cases")
     left(lost, errors)
-    left_document(publish.database_json(merged), database)
+    run.commit()
+
+
+def published(run: Run, current: DataFrame, previous: DataFrame, timestamp: str) -> None:
+    """What a run publishes, into its stage: the document with its hash, the tree of hashes, and the changelog's row.
+
+    Only the ranges of cases in which this tree isn't like the last committed run's are compared for the changelog.
+    """
+    spark = current.sparkSession
+    whole = state.cut(publish.database_json(current))
+    run.text(whole, "published")
+    run.text(whole.select(F.sha2("json", 256).alias("json")), "hash")
+    run.write(publish.hash_tree(current), "hashes")
+    now = spark.read.schema(schemas.struct(HASH_ROW)).json(run.at("hashes"))
+    ranges = publish.changed_ranges(run.store.rows("hashes", HASH_ROW), now)
+    run.write(publish.changelog(previous, current, run.run_id, timestamp, ranges, whole), "changelog")
 
 
 def publish_step(spark: SparkSession, database: str, out: str, run_id: str, timestamp: str) -> bool:
-    """out/published, out/last-published, out/hash and a row more in out/changelog, all in one step; False if there is no case."""
-    current = state.cut(state.load_cases(spark, database))
+    """The store out: cases, published, hash, hashes and changelog of the run, all at once; False if there is no case."""
+    current = state.cut(cases_at(spark, database))
     if current.isEmpty():
         return False
-    previous = state.cut(state.load_cases(spark, f"{out}/last-published"))
-    entry = state.cut(publish.changelog(previous, current, run_id, timestamp))
-    whole = state.cut(publish.database_json(current))
-    left_document(whole, f"{out}/published")
-    left_document(entry.select(F.col("data_hash").alias("json")), f"{out}/hash")
-    left(entry, f"{out}/changelog", append=True)
-    left_document(whole, f"{out}/last-published")  # last: a run that broke off before is compared again
+    store = Store(spark, out)
+    if run := store.begin(run_id):
+        previous = state.cut(store.rows("cases", CASE_ROW))
+        run.write(current, "cases")
+        published(run, current, previous, timestamp)
+        run.commit()
     return True
 
 
 def build_step(spark: SparkSession, template: str, cases: str, out: str) -> None:
     """out/index.html and out/api: the page, and the cases as they are served."""
-    known = state.load_cases(spark, cases)
+    known = cases_at(spark, cases)
     with open(template, encoding="utf-8") as f:
         page = publish.render(f.read(), known)
     left_document(spark.createDataFrame([(page,)], "json string"), str(PurePosixPath(out) / "index.html"))
     left_document(publish.database_json(known), f"{out}/api")
 
 
-def _logged(spark: SparkSession, folder: str, row: dict) -> None:
-    left(spark.createDataFrame([row], "run_id string, kind string, found long, in_range long, already_seen long, remaining long, batch long, published long, review long, errors long, failure string"), f"{folder}/runs", append=True)
-
+def _whole_run(spark: SparkSession, kind: str, world: str, folder: str, run_id: str, timestamp: str, cap: int, batch_of) -> None:  # noqa: ANN001
+    """Batch, process, publish and advance the seen-set, all in one commit of the store folder.
 
-def _whole_run(spark: SparkSession, kind: str, world: str, folder: str, run_id: str, timestamp: str, batch_of) -> None:  # noqa: ANN001
-    """Batch, process, publish, and only then advance the seen-set; the run's row is written even if it fails."""
-    row = {"run_id": run_id, "kind": kind, **dict.fromkeys(("found", "in_range", "already_seen", "remaining", "batch", "published", "review", "errors", "failure"))}
+    A run that fails leaves nothing but its row in folder/failures, and can be run again; one that has committed does nothing again.
+    """
+    store = Store(spark, folder)
+    run = store.begin(run_id)
+    if run is None:
+        return
+    row = {"run_id": run_id, "kind": kind, **dict.fromkeys(("found", "in_range", "already_seen", "remaining", "capped", "batch", "published", "review", "errors", "failure"))}
     try:
-        seen = state.cut(rows(spark, f"{folder}/seen", schemas.SEEN))
-        pages = landed.pages(spark, f"{world}/pages")
-        batch, counts = batch_of(seen, pages)
+        seen = state.cut(store.rows("seen", schemas.SEEN))
+        batch, counts = batch_of(seen, landed.pages(spark, f"{world}/pages"), run)
         batch = state.cut(batch)
-        row |= counts | {"batch": batch.count()}
+        n = batch.count()  # the cap at most
+        row |= counts | {"batch": n, "capped": n >= cap}
         verdicts = rows(spark, f"{world}/verdicts", VERDICT_ROW) if state._exists(spark, f"{world}/verdicts") else None
         files, _ = landed.raw_files(spark, f"{world}/raw", landed.manifest(spark, f"{world}/manifest")) if state._exists(spark, f"{world}/manifest") else (spark.createDataFrame([], schemas.struct(schemas.RAW_FILE)), None)
-        existing = state.cut(state.load_cases(spark, f"{folder}/database"))
-        run = runs.process(batch, rows(spark, f"{world}/texts", "pdf_url string, text string"), rows(spark, f"{world}/answers", ANSWER), verdicts, files, existing, seen, run_id, timestamp)
-        review, errors, marked = state.cut(run.needs_review), state.cut(run.errors), state.cut(run.seen)
-        left(review.withColumn("run_id", F.lit(run_id)), f"{folder}/needs_review", append=True)
-        left(errors, f"{folder}/errors", append=True)
-        row |= {"published": run.cases.count(), "review": review.count(), "errors": errors.count()}
-        left_document(run.published, f"{folder}/database")
-        publish_step(spark, f"{folder}/database", folder, run_id, timestamp)
-        left(marked.select("committee_slug", F.explode("dates").alias("date")), f"{folder}/seen")
+        existing = state.cut(store.rows("cases", CASE_ROW))
+        done = runs.process(batch, rows(spark, f"{world}/texts", "pdf_url string, text string"), rows(spark, f"{world}/answers", ANSWER), verdicts, files, existing, seen, run_id)
+        row |= {"published": run.write(done.cases, "cases"), "review": run.write(done.needs_review.withColumn("run_id", F.lit(run_id)), "needs_review"), "errors": run.write(done.errors, "errors")}
+        published(run, done.cases, existing, timestamp)
+        run.write(done.seen.select("committee_slug", F.explode("dates").alias("date")), "seen")
+        run.write(spark.createDataFrame([row], RUN_ROW), "runs")
+        run.commit()
     except Exception as e:
         row["failure"] = "".join(traceback.format_exception_only(e)).strip()[:2000]
+        left(spark.createDataFrame([row], RUN_ROW), f"{folder}/failures", append=True)
         raise
-    finally:
-        _logged(spark, folder, row)
+
+
+def run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of all runs: of committed ones, and of attempts that failed."""
+    return Store(spark, folder).log("runs", RUN_ROW).unionByName(rows(spark, f"{folder}/failures", RUN_ROW))
 
 
 def weekly(spark: SparkSession, world: str, folder: str, base: str, run_id: str, timestamp: str, cap: int = 15) -> None:
-    """A weekly run over what has landed in world (bodies, lists, seeds, pages, texts, answers, verdicts, raw, manifest), state in folder."""
+    """A weekly run over what has landed in world (bodies, lists, list_errors, seeds, pages, texts, answers, verdicts, raw, manifest), state in the store folder."""
 
-    def batch_of(seen: DataFrame, pages: DataFrame) -> tuple[DataFrame, dict]:
+    def batch_of(seen: DataFrame, pages: DataFrame, run: Run) -> tuple[DataFrame, dict]:
         html = "committee_slug string, html string"
-        new, found = runs.discover(rows(spark, f"{world}/bodies", schemas.BODY), rows(spark, f"{world}/lists", html), rows(spark, f"{world}/seeds", html), seen, base)
-        found = state.cut(found)
-        left(found.withColumn("run_id", F.lit(run_id)), f"{folder}/diagnostics", append=True)
-        return runs.weekly_batch(new, pages, base, cap), {"found": found.agg(F.sum("found")).first()[0] or 0}
+        wrong = rows(spark, f"{world}/list_errors", "committee_slug string, error string")
+        new, found = runs.discover(rows(spark, f"{world}/bodies", schemas.BODY), rows(spark, f"{world}/lists", html), rows(spark, f"{world}/seeds", html), seen, base, wrong)
+        run.write(found.withColumn("run_id", F.lit(run_id)), "diagnostics")
+        total = spark.read.schema(schemas.struct(FOUND_ROW)).json(run.at("diagnostics")).agg(F.coalesce(F.sum("found"), F.lit(0))).first()[0]
+        return runs.weekly_batch(new, pages, base, cap), {"found": total, "remaining": total}
 
-    _whole_run(spark, "weekly", world, folder, run_id, timestamp, batch_of)
+    _whole_run(spark, "weekly", world, folder, run_id, timestamp, cap, batch_of)
 
 
 def backfill(spark: SparkSession, world: str, folder: str, base: str, run_id: str, timestamp: str, slug: str, first: str, last: str, cap: int = 10) -> None:
     """A backfill of one confirmed body between two dates, over the same folders."""
 
-    def batch_of(seen: DataFrame, pages: DataFrame) -> tuple[DataFrame, dict]:
+    def batch_of(seen: DataFrame, pages: DataFrame, run: Run) -> tuple[DataFrame, dict]:  # noqa: ARG001
         batch, funnel = runs.backfill_batch(rows(spark, f"{world}/bodies", schemas.BODY), slug, rows(spark, f"{world}/lists", "committee_slug string, html string"), seen, pages, base, first, last, cap)
         r = funnel.first()
         return batch, {"found": r.total, "in_range": r.in_range, "already_seen": r.already_seen, "remaining": r.remaining}
 
-    _whole_run(spark, "backfill", world, folder, run_id, timestamp, batch_of)
+    _whole_run(spark, "backfill", world, folder, run_id, timestamp, cap, batch_of)
 
 
 def fetch_step(spark: SparkSession, lists: DataFrame, pages: DataFrame, seen: DataFrame, base: str, out: str) -> None:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import threading
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +15,9 @@ from pyspark.sql import functions as F
 from docket import schemas
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in spark.checkpoint.dir; a local folder of our own in local mode only, where that is unset."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a local folder of our own in local mode only, where that is unset."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         found = context.getConf().get("spark.checkpoint.dir")
         if not found:
@@ -20,9 +25,56 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             found = tempfile.mkdtemp(prefix="docket-")
         context.setCheckpointDir(found)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+_SCOPES = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are kept inside go at the end, but for those that are kept to outlive it."""
+    scopes = _SCOPES.__dict__.setdefault("open", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            removed(spark, path)
+
+
+def kept(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
+    """df as a table in the shared folder, for what is read more than once; survives lost executors.
+
+    It goes with the scratch() around it (with the one around that if it is to outlive), else when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    scopes = _SCOPES.__dict__.get("open", [])
+    scopes = scopes[:-1] if outlive else scopes
+    if scopes:
+        scopes[-1].append(path)
+    else:
+        atexit.register(removed, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there; nothing happens once the session is gone."""
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)

@@ -68,6 +68,35 @@ def test_protocol_url(spark, path, found):
         assert got == (f"{BASE}/committees/council/mote-2024-01-31/{path}" if found else None)
 
 
+@pytest.mark.parametrize(
+    "page,link",
+    [
+        ('<a href="{}pdf?downloadMode=open#page=2">', "{}pdf?downloadMode=open"),
+        ('<a href="{}pdf?downloadMode=open&amp;x=1">', "{}pdf?downloadMode=open"),
+        ('<a href="{}pdf-9?x=1&amp;downloadMode=open">', "{}pdf-9?downloadMode=open"),
+        ('<a href="{}pdf#downloadMode=open">', "{}pdf"),
+        ('<a href="{}pdf?lang=sv">', "{}pdf"),
+        ("<meta content='0;url={}pdf?downloadMode=open'>", "{}pdf?downloadMode=open"),
+        ("<a href={}pdf>", "{}pdf"),
+        ("[minutes]({}pdf?downloadMode=open)", "{}pdf?downloadMode=open"),
+        ("<a href='javascript:void(0);'>", None),
+        ('<a href="{}docx">', None),
+        ('<a href="https://other.example{}pdf">', None),
+    ],
+)
+def test_forms_of_links_to_minutes(spark, page, link):
+    path = "/committees/council/mote-2024-01-31/protocol/p-1"
+    got = one(spark, links.protocol_url(BASE, F.lit("council"), F.lit("2024-01-31"), F.col("t")), t=page.format(path))
+    assert got == (link and BASE + link.format(path))
+
+
+def test_forms_of_links_to_meetings(spark):
+    at = "/committees/council/mote-2024-0"
+    html = f"""<a href="{at}1-01?x=1&amp;y=2"><a href="{at}2-01#top"> url={BASE}{at}3-01 "{at}4-01-x" "{at}5-01/agenda" "{at}6-010" "{at}7-01." """
+    got = links.meeting_refs(spark.createDataFrame([(html,)], "html string"), "council", BASE).orderBy("pos").collect()
+    assert [r.date for r in got] == ["2024-01-01", "2024-02-01", "2024-03-01", "2024-07-01"]
+
+
 def test_attachments(spark):
     a = "/welcome-sv/namnder-styrelser/x/agenda/plan-apdf-7?downloadMode=open"
     html = f"""'{a}' "{BASE}{a}" "{a.replace('plan-apdf-7', 'bpdf')}" """

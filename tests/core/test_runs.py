@@ -45,7 +45,7 @@ def test_weekly(spark, world):
     existing = spark.createDataFrame([old], schemas.struct(f"pos long, {schemas.CASE}"))
     verdicts = [(urls["council"], 0, '{"decision": "publish"}'), (urls["council"], 2, '{"decision": "publish"}')]
     files = spark.createDataFrame([(urls["council"], "council/p.pdf", "o/cold", 0, b"x")], schemas.struct(schemas.RAW_FILE))
-    run = runs.process(batch, spark.createDataFrame(texts, "pdf_url string, text string"), spark.createDataFrame(answers, "pdf_url string, raw string"), spark.createDataFrame(verdicts, "pdf_url string, case_pos int, raw string"), files, existing, seen, "run-1", "now")
+    run = runs.process(batch, spark.createDataFrame(texts, "pdf_url string, text string"), spark.createDataFrame(answers, "pdf_url string, raw string"), spark.createDataFrame(verdicts, "pdf_url string, case_pos int, raw string"), files, existing, seen, "run-1")
     cases = {r.id: r for r in run.cases.collect()}
     assert {k: [s.step_id for s in r.steps] for k, r in cases.items()} == {"a-2023-0001": ["s0", "s-park"], "a-2024-0001": ["s-bike"]}
     bike = cases["a-2024-0001"].steps[0]
@@ -54,9 +54,9 @@ def test_weekly(spark, world):
     assert [(r.stage, r.committee_slug) for r in run.errors.collect()] == [("extract", "board")]
     # the body whose answer couldn't be read comes again
     assert {r.committee_slug: r.dates for r in run.seen.collect()} == {"council": ["2024-01-31", "2024-02-28"]}
-    log = run.changelog.first()
+    log = publish.changelog(existing, run.cases, "run-1", "now").first()
     assert (log.new_arenden, [u.id for u in log.updated_arenden], log.arende_count) == (["a-2024-0001"], ["a-2023-0001"], 2)
-    assert len(json.loads(run.published.first().json)) == 2
+    assert len(json.loads(publish.database_json(run.cases).first().json)) == 2
 
 
 def test_backfill(spark, world):

@@ -5,9 +5,11 @@ import zlib
 
 import pytest
 
+from docket import schemas
 from docket.__main__ import main
 from docket.plans import steps
-from docket.sources import fetch, state
+from docket.sources import fetch
+from docket.sources.store import Run, Store, Taken
 from tests.core.test_runs import BASE, case, link
 
 
@@ -47,14 +49,15 @@ def test_chain(spark, tmp_path):
     assert main(["publish", f"{t}/db", f"{t}/out", "r0", "now"]) == 1
     for _ in range(2):  # folding the same cases in again changes nothing
         assert main(["link", f"{t}/archive/archived", f"{t}/source.txt", f"{t}/db", f"{t}/lost"]) == 0
-        got = state.load_cases(spark, f"{t}/db").collect()
+        got = steps.cases_at(spark, f"{t}/db").orderBy("pos").collect()
     assert [(r.id, r.title) for r in got][:1] == [("a-2024-0001", "bike")]
     assert main(["publish", f"{t}/db", f"{t}/out", "r1", "now"]) == 0 and main(["publish", f"{t}/db", f"{t}/out", "r2", "later"]) == 0
-    log = {r.run_id: r for r in spark.read.json(f"{t}/out/changelog").collect()}
+    out = Store(spark, f"{t}/out")
+    log = {r.run_id: r for r in out.log("changelog", schemas.CHANGELOG).collect()}
     assert "a-2024-0001" in log["r1"].new_arenden and not log["r2"].new_arenden and log["r1"].data_hash == log["r2"].data_hash
-    assert spark.read.text(f"{t}/out/hash").first().value == log["r1"].data_hash
+    assert spark.read.text(out.where("hash")).first().value == log["r1"].data_hash
     (tmp_path / "page.html").write_text("<script>/*__CASES__*/</script>")
-    assert main(["build", f"{t}/page.html", f"{t}/out/published", f"{t}/site"]) == 0
+    assert main(["build", f"{t}/page.html", f"{t}/out", f"{t}/site"]) == 0
     assert json.loads(spark.read.text(f"{t}/site/api").first().value)[0]["title"] == "bike"
     assert '"title":"bike"' in spark.read.text(f"{t}/site/index.html").first().value
 
@@ -62,7 +65,8 @@ def test_chain(spark, tmp_path):
 def test_weekly_and_backfill(spark, tmp_path):
     """State, diagnostics and reviews are written; a meeting is seen only once it is published; a failed run is logged."""
     world, t = tmp_path / "world", str(tmp_path)
-    lines(world / "bodies", [{"slug": "council", "name": "Council", "confirmed": True}, {"slug": "old", "name": "Old", "confirmed": False}])
+    lines(world / "bodies", [{"slug": "council", "name": "Council", "confirmed": True}, {"slug": "board", "name": "Board", "confirmed": True}, {"slug": "old", "name": "Old", "confirmed": False}])
+    lines(world / "list_errors", [{"committee_slug": "board", "error": "503"}])
     lines(world / "lists", [{"committee_slug": "council", "html": link("council", "2024-01-31") + link("council", "2024-02-28") + link("council", "2023-01-15")}])
     lines(world / "seeds", [])
     url = {}
@@ -73,18 +77,117 @@ def test_weekly_and_backfill(spark, tmp_path):
     lines(world / "texts", [{"pdf_url": u, "text": "§1 x\nWe want a new path."} for u in url.values()])
     lines(world / "answers", [{"pdf_url": u, "raw": json.dumps({"arenden": [case(f"bike {d}", "a new path", "§1 KF"), case("no", "never said", "§2 KF")]})} for d, u in url.items()])
     main(["weekly", f"{world}", f"{t}/state", BASE, "w1", "now", "1"])
-    seen = lambda: sorted(r.date for r in spark.read.json(f"{t}/state/seen").collect())
+    kept = Store(spark, f"{t}/state")
+    seen = lambda: sorted(r.date for r in kept.rows("seen", schemas.SEEN).collect())
     assert seen() == ["2024-01-31"]
-    assert [r.title for r in state.load_cases(spark, f"{t}/state/database").collect()] == ["bike 2024-01-31"]
+    assert [r.title for r in kept.rows("cases", steps.CASE_ROW).collect()] == ["bike 2024-01-31"]
     main(["backfill", f"{world}", f"{t}/state", BASE, "b1", "now", "council", "2023-01-01", "2023-12-31"])
     assert seen() == ["2023-01-15", "2024-01-31"]
     with pytest.raises(ValueError, match="confirmed"):
         main(["backfill", f"{world}", f"{t}/state", BASE, "b2", "now", "old", "2023-01-01", "2023-12-31"])
-    log = {r.run_id: r for r in spark.read.json(f"{t}/state/runs").collect()}
+    log = {r.run_id: r for r in steps.run_log(spark, f"{t}/state").collect()}
     assert (log["w1"].found, log["w1"].batch, log["w1"].review, log["w1"].failure) == (3, 1, 1, None)
     assert (log["b1"].found, log["b1"].in_range, log["b1"].remaining) == (3, 1, 1) and "confirmed" in log["b2"].failure
-    assert {r.run_id for r in spark.read.json(f"{t}/state/needs_review").collect()} == {"w1", "b1"}
-    assert spark.read.json(f"{t}/state/diagnostics").first().found == 3
+    assert (log["w1"].capped, log["b1"].capped) == (True, False)
+    assert {r.run_id for r in kept.log("needs_review", steps.REVIEW_ROW).collect()} == {"w1", "b1"}
+    assert sorted((r.committee_slug, r.found, r.error) for r in kept.log("diagnostics", steps.FOUND_ROW).collect()) == [("board", 0, "503"), ("council", 3, None)]
+
+
+def small_world(tmp_path, titles=("bike",)):
+    world = tmp_path / "world"
+    lines(world / "bodies", [{"slug": "council", "name": "Council", "confirmed": True}])
+    lines(world / "lists", [{"committee_slug": "council", "html": link("council", "2024-01-31")}])
+    lines(world / "seeds", [])
+    (world / "pages" / "council" / "2024-01-31").mkdir(parents=True)
+    (world / "pages" / "council" / "2024-01-31" / "page.html").write_text(link("council", "2024-01-31", "/protocol/p-1pdf"))
+    url = f"{BASE}/committees/council/mote-2024-01-31/protocol/p-1pdf"
+    lines(world / "texts", [{"pdf_url": url, "text": "§1 x\nWe want a new path."}])
+    lines(world / "answers", [{"pdf_url": url, "raw": json.dumps({"arenden": [*(case(t, "a new path", "§1 KF") for t in titles), case("no", "never said", "§2 KF")]})}])
+    return world
+
+
+def seen_by_readers(store):
+    """All that a reader of the store can see."""
+    tables = {"cases": steps.CASE_ROW, "seen": schemas.SEEN}
+    logs = {"changelog": schemas.CHANGELOG, "needs_review": steps.REVIEW_ROW, "errors": schemas.ERROR, "diagnostics": steps.FOUND_ROW, "runs": steps.RUN_ROW}
+    found = {n: sorted(map(str, store.rows(n, k).collect())) for n, k in tables.items()} | {n: sorted(map(str, store.log(n, k).collect())) for n, k in logs.items()}
+    return found | {n: (at := store.where(n)) and store.spark.read.text(at).collect() for n in ("published", "hash")}
+
+
+def breaking(monkeypatch, at):
+    """Let the at-th write or commit of a run fail, at odd places after it was done, else before."""
+    count, real = [0], {n: getattr(Run, n) for n in ("write", "text", "commit")}
+
+    def call(name):
+        def run(self, *a):
+            count[0] += 1
+            if count[0] == at and (name == "commit" or at % 2 == 0):
+                raise OSError(name)
+            out = real[name](self, *a)
+            if count[0] == at:
+                raise OSError(name)
+            return out
+
+        return run
+
+    for n in real:
+        monkeypatch.setattr(Run, n, call(n))
+
+
+def test_publishing_that_breaks_off_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    """Killed at each of its writes and at its commit: readers see the state before; the run again gives what an unbroken one gives, once."""
+    lines(tmp_path / "db", [full(0, "bike", "a new path", "§1 KF") | {"id": "a-2024-0001"}])
+    publish = lambda folder, run: steps.publish_step(spark, f"{tmp_path}/db", f"{tmp_path}/{folder}", run, "now")
+    publish("whole", "r1")
+    want, store = seen_by_readers(Store(spark, f"{tmp_path}/whole")), Store(spark, f"{tmp_path}/broken")
+    assert [len(want[k]) for k in ("cases", "changelog", "published", "hash")] == [1] * 4
+    empty, where = seen_by_readers(store), []
+    for at in range(1, 20):
+        with monkeypatch.context() as m:
+            breaking(m, at)
+            try:
+                publish("broken", "r1")
+            except OSError as e:
+                where.append(str(e))
+                continue
+        break
+    assert where.count("commit") == 1 and len(where) == 6 and seen_by_readers(store) == want != empty
+    publish("broken", "r1")  # the same run again
+    assert seen_by_readers(store) == want and store.committed() == ["r1"]
+
+
+def test_a_weekly_run_that_breaks_off_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    """Killed midway and at its commit, then run to its end, then run again."""
+    args = ["weekly", f"{small_world(tmp_path)}", f"{tmp_path}/state", BASE, "w1", "now"]
+    store = Store(spark, f"{tmp_path}/state")
+    for at in (3, 11):
+        with monkeypatch.context() as m:
+            breaking(m, at)
+            with pytest.raises(OSError, match="commit" if at == 11 else "write"):
+                main(args)
+        assert store.committed() == [] and store.rows("cases", steps.CASE_ROW).count() == 0
+    main(args)
+    got = seen_by_readers(store)
+    assert [len(got[k]) for k in ("cases", "seen", "changelog", "needs_review", "runs")] == [1] * 5
+    main(args)
+    assert seen_by_readers(store) == got
+    assert sorted(r.failure for r in spark.read.json(f"{tmp_path}/state/failures").collect()) == ["OSError: commit", "OSError: write"]
+
+
+def test_only_one_of_two_runs_commits(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/s")
+    df = spark.range(3)
+    one, two = store.begin("a/1"), store.begin("b")
+    assert one.write(df, "t") == 3 and two.write(df.limit(1), "t") == 1
+    assert store.rows("t", "id long").count() == 0
+    one.commit()
+    with pytest.raises(Taken):
+        two.commit()
+    assert store.committed() == ["a/1"] and store.rows("t", "id long").count() == 3 and store.begin("a/1") is None
+    again = store.begin("b")
+    again.write(df.limit(2), "t")
+    again.commit()
+    assert store.rows("t", "id long").count() == 2 and store.log("t", "id long").count() == 5
 
 
 def test_downloads(spark, tmp_path):
