@@ -50,8 +50,11 @@ PLACES = 16
 
 
 def normalised(sources: DataFrame, on: list[str]) -> DataFrame:
-    """(on..., _n): the texts of sources (on..., text) with normal space, in a table of their own; without nulls and blank ones."""
-    normal = sources.select(*on, normal_space(F.col("text")).alias("_n"))
+    """(on..., _n): the texts of sources (on..., text) with normal space, in a table of their own; without nulls and blank ones.
+
+    Texts are dealt out by their keys first: files with many or long ones would make one task of all that follows.
+    """
+    normal = sources.select(*on, "text").repartition(*on).select(*on, normal_space(F.col("text")).alias("_n"))
     return kept(normal.where("_n is not null and _n <> ''"), "sources")
 
 
@@ -62,7 +65,7 @@ def check(quotes: DataFrame, sources: DataFrame, on: list[str]) -> DataFrame:
     their words (located), so that the work grows with the texts and not with texts times quotations.
     """
     normal = sources if "_n" in sources.columns else normalised(sources, on)
-    asked = kept(quotes.withColumn("_quote", normal_space(F.col("quote"))), "quotes")
+    asked = kept(quotes.repartition(*on).withColumn("_quote", normal_space(F.col("quote"))), "quotes")
     limit = F.when(F.col("word_limit").isNull(), F.lit(2**31 - 1)).otherwise(F.col("word_limit"))
     blank = F.coalesce(F.col("_quote"), F.lit("")) == ""
     known = asked.where(~blank & (word_count(F.col("_quote")) <= limit)).select(*on, "_quote").distinct()

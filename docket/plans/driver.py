@@ -31,10 +31,13 @@ def page_title() -> F.Column:
 def verbatim_checks(spark: SparkSession, d: str) -> DataFrame:
     """All of each document's text in pieces, some altered in the middle, some too long, some blank, and every benchmark passage that stands anywhere in a document."""
     docs, bench = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), read(spark, d, "benchmark")
-    each = docs.select("doc_id", "text", F.explode(F.expr("sequence(0, cast(greatest(length(text) - 1, 0) div 120 as int))")).alias("k"))
-    piece, kind = F.substring(F.col("text"), F.col("k") * 120 + 1, F.lit(120)), (F.col("doc_id") + F.col("k")) % 6
-    middle = F.concat(F.substring(piece, F.lit(1), F.lit(60)), F.when(kind == 0, " not ").otherwise("¤"), F.substring(piece, F.lit(61), F.lit(60)))
-    quote = F.when(kind < 2, middle).when(kind == 2, F.substring(F.col("text"), F.col("k") * 120 + 1, F.lit(480))).when(kind == 3, " \t ").otherwise(piece)
+    cut = F.regexp_extract_all("text", F.lit("(?s).{1,120}"), F.lit(0))  # one pass over the text
+    long = lambda x: F.transform(x, lambda p, k: F.struct(p.alias("piece"), F.array_join(F.slice(x, k + 1, 4), "").alias("long")))
+    pieces = F.transform(F.array(F.when(F.col("text") == "", F.array(F.lit(""))).otherwise(cut)), long)
+    each = docs.select("doc_id", F.explode(pieces).alias("x")).select("doc_id", F.posexplode("x").alias("k", "x")).select("doc_id", "k", "x.*")
+    piece, kind = F.col("piece"), (F.col("doc_id") + F.col("k")) % 6
+    middle = F.concat(F.left(piece, F.lit(60)), F.when(kind == 0, " not ").otherwise("¤"), F.substring(piece, 61, 60))
+    quote = F.when(kind < 2, middle).when(kind == 2, F.col("long")).when(kind == 3, " \t ").otherwise(piece)
     own = each.select("doc_id", F.concat(F.lit("own "), F.col("k").cast("string")).alias("field"), quote.alias("quote"))
     passages = bench.select(F.concat(F.lit("passage "), F.col("item_id").cast("string")).alias("field"), F.col("text").alias("quote"))
     normal = gates.normalised(docs, ["doc_id"])
@@ -326,6 +329,18 @@ def changelog_entry(spark: SparkSession, d: str) -> DataFrame:
     return row.select("run_id", "arende_count", F.size("new_arenden").cast("long").alias("n_new"), F.size("updated_arenden").cast("long").alias("n_updated"), "data_hash")
 
 
+def hash_tree(spark: SparkSession, d: str) -> DataFrame:
+    """The tree of hashes over ranges of cases."""
+    return publish.hash_tree(_cases(spark, d, None))
+
+
+def range_diff(spark: SparkSession, d: str) -> DataFrame:
+    """snapshot_diff, but of the ranges only in which the trees of hashes differ."""
+    before, after = _cases(spark, d, "1996-06-30"), _cases(spark, d, None)
+    ranges = publish.changed_ranges(publish.hash_tree(before), publish.hash_tree(after))
+    return publish.difference(before, after, ranges).select("id", "is_new", F.array_join("new_step_ids", ",").alias("new_step_ids"))
+
+
 def canonical_hash(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.lit('{"z": null, "b": [2, 1], "a": '), "props", F.lit("}"))
     return read(spark, d, "events").select("event_id", publish.data_hash(raw).alias("hash"))
@@ -384,5 +399,5 @@ QUERIES = {f.__name__: f for f in (
     first_match_or_null, filename_sanitize, attachment_links, unseen_anti, seen_upsert, backfill_batch, newest_batch, run_diagnostics, run_funnel,
     json_validate, case_validation, json_coerce_defaults, verify_reconcile, slug_normalize, stamp_left_join, content_hash, marker_roundtrip,
     permalink_fill, service_messages, paragraph_refs, section_scope, key_link_first, title_similarity_best, link_decision, surrogate_ids,
-    snapshot_diff, changelog_entry, canonical_hash, inline_escape, view_by_body, view_search, title_norm_nfkd, merge_append, stream_batches,
+    snapshot_diff, range_diff, hash_tree, changelog_entry, canonical_hash, inline_escape, view_by_body, view_search, title_norm_nfkd, merge_append, stream_batches,
 )}

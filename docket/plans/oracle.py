@@ -27,16 +27,24 @@ _BEST = f"""select page_id, "case", score from ({_SIMILAR}) where score >= 0.6 q
 
 _CASES = """select o_orderkey, 'a-' || o_orderkey id, o_orderpriority title, o_orderstatus status from orders {orders}"""
 
-_DATABASE = """select sha256('[' || string_agg('{{"id":"a-' || o_orderkey || '","status":"' || o_orderstatus || '","steps":[' || coalesce(steps, '') || '],"title":"' || o_orderpriority || '"}}', ',' order by o_orderkey) || ']') h
+_CASE_JSON = """select o_orderkey pos, '{{"id":"a-' || o_orderkey || '","status":"' || o_orderstatus || '","steps":[' || coalesce(steps, '') || '],"title":"' || o_orderpriority || '"}}' j
 from orders left join (select l_orderkey, string_agg('{{"instance":"' || lower(l_returnflag) || '","l_linenumber":' || l_linenumber || ',"quote":"part ' || l_partkey || '","step_id":"s-' || l_linenumber || '"}}', ',' order by l_linenumber, lower(l_returnflag), 'part ' || l_partkey) steps
 from lineitem group by 1) on l_orderkey = o_orderkey""".replace("{{", "{").replace("}}", "}")
 
+_DATABASE = f"select sha256('[' || string_agg(j, ',' order by pos) || ']') h from ({_CASE_JSON})"
+
 _BEFORE = "where {} <= timestamp '1996-06-30'"
 
 _DECOMPOSED = chr(30).join(f"{c}{chr(31)}{d}" for c, d in decompositions().items() if "'" not in d)
 _TITLE = r"trim(regexp_replace(regexp_replace({}, '[^\p{{L}}\p{{N}}\s]', ' ', 'g'), '\s+', ' ', 'g'))"
 _BARE = r"regexp_replace(t, '\p{Mn}+', '', 'g')"
 
+_DIFF = f"""with p as (select 'a-' || o_orderkey id from orders {_BEFORE.format('o_orderdate')}),
+w as (select 'a-' || o_orderkey id, p.id is null is_new from orders left join p on p.id = 'a-' || o_orderkey),
+s as (select 'a-' || l_orderkey id, string_agg('s-' || l_linenumber, ',' order by l_linenumber) steps from lineitem l
+where not exists (select 1 from lineitem m where m.l_orderkey = l.l_orderkey and m.l_linenumber = l.l_linenumber and m.l_shipdate <= timestamp '1996-06-30') group by 1)
+select w.id, is_new, case when is_new then '' else steps end new_step_ids from w left join s on s.id = w.id where is_new or steps is not null"""
+
 ORACLE = {
     "verbatim_checks": rf"""
 with d as (select doc_id, coalesce(text, '') text, {_NORM.replace('text', "coalesce(text, '')")} n from documents),
@@ -113,11 +121,8 @@ new as (select o_orderkey, y, row_number() over (partition by y order by o_order
 span as (select y, unnest(range(1, n + m + 1)) k from (select y, count(*) n from new group by y) join (select y, count(*) m from used group by y) using (y)),
 free as (select y, k, row_number() over (partition by y order by k) nth from span s where not exists (select 1 from used u where u.y = s.y and u.k = s.k))
 select o_orderkey, printf('a-%s-%04d', y, k) id from new join free using (y, nth)""",
-    "snapshot_diff": f"""with p as (select 'a-' || o_orderkey id from orders {_BEFORE.format('o_orderdate')}),
-w as (select 'a-' || o_orderkey id, p.id is null is_new from orders left join p on p.id = 'a-' || o_orderkey),
-s as (select 'a-' || l_orderkey id, string_agg('s-' || l_linenumber, ',' order by l_linenumber) steps from lineitem l
-where not exists (select 1 from lineitem m where m.l_orderkey = l.l_orderkey and m.l_linenumber = l.l_linenumber and m.l_shipdate <= timestamp '1996-06-30') group by 1)
-select w.id, is_new, case when is_new then '' else steps end new_step_ids from w left join s on s.id = w.id where is_new or steps is not null""",
+    "snapshot_diff": _DIFF,
+    "range_diff": _DIFF,
     "changelog_entry": f"""with s as (select o_orderkey, o_orderdate > timestamp '1996-06-30' fresh,
 exists (select 1 from lineitem l where l.l_orderkey = o_orderkey and not exists (select 1 from lineitem m where m.l_orderkey = l.l_orderkey and m.l_linenumber = l.l_linenumber and m.l_shipdate <= timestamp '1996-06-30')) more from orders)
 select 'run-1' run_id, count(*) arende_count, count(*) filter (fresh) n_new, count(*) filter (not fresh and more) n_updated, any_value(h) data_hash from s, ({_DATABASE})""",
@@ -150,4 +155,9 @@ c as (select doc_id, unnest(l) c, generate_subscripts(l, 1) i from l),
 n as (select doc_id, string_agg(coalesce(d, c), '' order by i) t from c left join m using (c) group by doc_id),
 w as (select doc_id, case when text is not null then coalesce(t, '') end t from documents left join n using (doc_id))
 select doc_id, {_TITLE.format('t')} title, {_TITLE.format(_BARE)} title_without_marks from w""",
+    # three levels: up to 4 million positions
+    "hash_tree": f"""with recursive a as (select pos // 1024 node, sha256(string_agg(sha256(j), '' order by pos)) hash, count(*) n from ({_CASE_JSON}) group by 1),
+b as (select node // 64 node, sha256(string_agg(hash, '' order by node)) hash, sum(n) n from a where (select max(node) from a) > 0 group by 1),
+c as (select node // 64 node, sha256(string_agg(hash, '' order by node)) hash, sum(n) n from b where (select max(node) from b) > 0 group by 1)
+select 0 as level, node, hash, n::bigint n from a union all select 1, node, hash, n::bigint from b union all select 2, node, hash, n::bigint from c""",
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import traceback
 import uuid
+from collections.abc import Callable
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -196,6 +197,39 @@ def backfill(spark: SparkSession, world: str, folder: str, base: str, run_id: st
     _whole_run(spark, "backfill", world, folder, run_id, timestamp, cap, batch_of)
 
 
+ANSWERED = "committee_slug string, date string, protocol_pdf_url string, raw string"
+
+
+def link_batches(spark: SparkSession, world: str, folder: str, timestamp: Callable[[int], str]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch over landed answers (ANSWERED): each batch goes through gate, link and publication into the store folder, in one commit.
+
+    The batch's number is the run's id, so that a batch that is delivered again changes nothing. Texts come from world/texts, files
+    from world/raw by world/manifest, verdicts from world/verdicts. Batches fold in the order in which they come, as one batch of them all does
+    if answers land in the order of their dates.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        store = Store(session, folder)
+        run = store.begin(f"batch-{number}")
+        if run is None:
+            return
+        batch = state.cut(batch)
+        meetings, answers = batch.drop("raw"), batch.select(F.col("protocol_pdf_url").alias("pdf_url"), "raw")
+        verdicts = rows(session, f"{world}/verdicts", VERDICT_ROW) if state._exists(session, f"{world}/verdicts") else None
+        files = landed.raw_files(session, f"{world}/raw", landed.manifest(session, f"{world}/manifest"))[0] if state._exists(session, f"{world}/manifest") else session.createDataFrame([], schemas.struct(schemas.RAW_FILE))
+        existing, seen = state.cut(store.rows("cases", CASE_ROW)), state.cut(store.rows("seen", schemas.SEEN))
+        done = runs.process(meetings, rows(session, f"{world}/texts", "pdf_url string, text string"), answers, verdicts, files, existing, seen, run.run_id)
+        run.write(done.cases, "cases")
+        run.write(done.needs_review.withColumn("run_id", F.lit(run.run_id)), "needs_review")
+        run.write(done.errors, "errors")
+        run.write(done.seen.select("committee_slug", F.explode("dates").alias("date")), "seen")
+        published(run, done.cases, existing, timestamp(number))
+        run.commit()
+
+    return each
+
+
 def fetch_step(spark: SparkSession, lists: DataFrame, pages: DataFrame, seen: DataFrame, base: str, out: str) -> None:
     """out/meetings: unseen meetings of landed list pages (committee_slug, html) whose landed page links to approved minutes."""
     left(runs.with_protocols(incremental.unseen(runs.refs(lists, base), seen), pages, base), f"{out}/meetings")

@@ -10,6 +10,7 @@ from docket.__main__ import main
 from docket.plans import steps
 from docket.sources import fetch
 from docket.sources.store import Run, Store, Taken
+from docket.streaming import incremental as streaming
 from tests.core.test_runs import BASE, case, link
 
 
@@ -190,6 +191,36 @@ def test_only_one_of_two_runs_commits(spark, tmp_path):
     assert store.rows("t", "id long").count() == 2 and store.log("t", "id long").count() == 5
 
 
+def test_batches_of_answers_are_linked_once(spark, tmp_path):
+    """Answers in micro-batches, with a restart and a batch delivered again: the same as one batch of them all."""
+    world = tmp_path / "world"
+    url = lambda i: f"{BASE}/committees/council/mote-2024-01-0{i}/protocol/p-1pdf"
+    texts = {1: "§1 a\nWe want a new path.", 2: "§5 b\nWe want a new path, see §1 KF.", 3: "§6 c\nWe want a new path, see §5 KF."}
+    lines(world / "texts", [{"pdf_url": url(i), "text": t} for i, t in texts.items()])
+    answer = lambda i, ref: {"committee_slug": "council", "date": f"2024-01-0{i}", "protocol_pdf_url": url(i), "raw": json.dumps({"arenden": [case(f"t{i}", "a new path", ref), case("no", "never said", "§9 KF")]})}
+    answers = [answer(1, "§1 KF"), answer(2, "§5 KF"), answer(3, "§6 KF")]
+    (world / "answers").mkdir()
+    run = steps.link_batches(spark, f"{world}", f"{tmp_path}/state", lambda n: f"at {n}")
+
+    def drain(store, each, per_batch):
+        schema = schemas.struct(steps.ANSWERED)
+        streaming.drained(streaming.landed(spark, f"{world}/answers", schema, fmt="json", per_batch=per_batch), f"{tmp_path}/{store}-offsets", each)
+
+    for i, row in enumerate(answers):
+        (world / "answers" / f"{i}.json").write_text(json.dumps(row))
+        drain("state", run, 1)  # a restart for each file: the offsets tell what is new
+    store = Store(spark, f"{tmp_path}/state")
+    assert store.committed() == ["batch-0", "batch-1", "batch-2"]
+    before = seen_by_readers(store)
+    run(spark.createDataFrame([tuple(answers[1].values())], steps.ANSWERED), 1)  # the second batch again
+    assert seen_by_readers(store) == before
+    drain("whole", steps.link_batches(spark, f"{world}", f"{tmp_path}/whole", lambda n: "now"), 10)
+    flat = lambda at: [(r.id, r.title, [s.step_id for s in r.steps]) for r in Store(spark, f"{tmp_path}/{at}").rows("cases", steps.CASE_ROW).orderBy("pos").collect()]
+    assert flat("state") == flat("whole") == [("a-2024-0001", "t1", ["s-t1", "s-t2", "s-t3"])]
+    assert len(before["needs_review"]) == 3 and len(before["seen"]) == 3 and len(before["changelog"]) == 3
+    assert spark.read.text(store.where("hash")).first().value == spark.read.text(Store(spark, f"{tmp_path}/whole").where("hash")).first().value
+
+
 def test_downloads(spark, tmp_path):
     files = spark.createDataFrame([("a", "x/1/p.pdf"), ("b", "x/2/q.pdf"), (None, "n")], "url string, relative_path string")
 
