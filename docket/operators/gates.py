@@ -172,6 +172,11 @@ def all_passed(cases: DataFrame, checks: DataFrame, on: list[str]) -> DataFrame:
     return out.withColumn("passed", F.coalesce(F.col("_all"), F.lit(False))).drop("_all")
 
 
+def failed(checks: DataFrame, on: list[str]) -> DataFrame:
+    """(on..., failed_checks): what failed of each case, by step and field."""
+    return checks.where("not passed").groupBy(*on).agg(F.array_sort(F.collect_list(F.struct("step_id", "field", "reason"))).alias("failed_checks"))
+
+
 def split(gated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ready, needs_review)."""
     return gated.where("passed"), gated.where("not passed")

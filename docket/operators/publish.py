@@ -123,15 +123,56 @@ def by_party(cases: DataFrame, party: str) -> DataFrame:
     return cases.where(F.coalesce(F.exists("initiators", lambda i: i["party"] == party), F.lit(False)) | F.coalesce(F.exists("steps", lambda s: F.coalesce(in_step(s), F.lit(False))), F.lit(False)))
 
 
+def _searched(title: Column, steps: Column) -> Column:
+    return F.lower(F.concat_ws(" ", title, F.transform(steps, lambda s: s["quote"])))
+
+
 def search(cases: DataFrame, words: str, slug: str | None = None, status: str | None = None) -> DataFrame:
     """Cases whose title or quotations contain the words, in any case; optionally of a body and a status."""
-    text = F.lower(F.concat_ws(" ", "title", F.transform("steps", lambda s: s["quote"])))
-    out = cases.where(text.contains(words.lower()))
+    out = cases.where(_searched(F.col("title"), F.col("steps")).contains(words.lower()))
     if slug is not None:
         out = by_body(out, slug)
     return out if status is None else out.where(F.col("status") == status)
 
 
+#: Characters of the runs that the index has, and folders that it is dealt to.
+GRAM, FOLDERS = 3, 256
+
+
+def _grams(text: Column) -> Column:
+    """The different runs of GRAM characters of a text."""
+
+    def of(c: Column) -> Column:
+        at = F.when(F.size(c) >= GRAM, F.sequence(F.lit(0), F.size(c) - GRAM)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(at, lambda i: F.concat(*(F.get(c, i + k) for k in range(GRAM)))))
+
+    return F.get(F.transform(F.array(F.split(text, "")), of), F.lit(0))
+
+
+def _folder(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(FOLDERS)).cast("int").alias("folder")
+
+
+def write_search_index(cases: DataFrame, path: str) -> None:
+    """Postings (gram, pos) of what search looks at, in folders by a hash of the gram and sorted within, so that a search reads its grams alone."""
+    postings = cases.select("pos", F.explode(_grams(_searched(F.col("title"), F.col("steps")))).alias("gram")).select(_folder(F.col("gram")), "gram", "pos")
+    # a gram that most cases have is dealt to several files
+    dealt = postings.repartition("folder", F.pmod(F.xxhash64("pos"), F.lit(4))).sortWithinPartitions("folder", "gram", "pos")
+    dealt.write.mode("overwrite").partitionBy("folder").parquet(path)
+
+
+def search_indexed(cases: DataFrame, index: str, words: str, slug: str | None = None, status: str | None = None) -> DataFrame:
+    """As search, by the index at a path: cases with all grams of the words, then looked at. Words of fewer than GRAM characters have none: all cases are looked at."""
+    spark = cases.sparkSession
+    asked = spark.range(1).select(F.explode(_grams(F.lower(F.lit(words)))).alias("gram")).select("gram", _folder(F.col("gram"))).collect()  # as long as the words
+    if not asked:
+        return search(cases, words, slug, status)
+    postings = spark.read.schema("gram string, pos long, folder int").parquet(index)
+    mine = postings.where(F.col("folder").isin(*{r.folder for r in asked}) & F.col("gram").isin(*(r.gram for r in asked)))
+    able = mine.groupBy("pos").agg(F.count("*").alias("n")).where(F.col("n") == len(asked)).select("pos")
+    return search(cases.join(able, "pos", "left_semi"), words, slug, status)
+
+
 def shown_link(archive_url: Column) -> Column:
     """An archive link, hidden while it waits for its commit."""
     return F.when(~is_pending(archive_url), archive_url)

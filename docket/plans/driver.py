@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -359,6 +361,14 @@ def view_search(spark: SparkSession, d: str) -> DataFrame:
     return publish.search(_cases(spark, d, None), "PART 1", "n", "O").select("id", "title")
 
 
+def view_search_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """The same search by an index of runs of characters, which is written first."""
+    cases, at = _cases(spark, d, None), streaming.scratch(state.shared_folder(spark))
+    publish.write_search_index(cases, at)
+    atexit.register(state.removed, spark, at)
+    return publish.search_indexed(cases, at, "PART 1", "n", "O").select("id", "title")
+
+
 def title_norm_nfkd(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select("doc_id", text.normal_title(F.col("text")).alias("title"), text.normal_title(F.col("text"), keep_marks_apart=False).alias("title_without_marks"))
 
@@ -380,14 +390,74 @@ def merge_append(spark: SparkSession, d: str) -> DataFrame:
     return cases.select("id", "title", "status", F.array_join(F.transform("steps", lambda s: s["step_id"]), ",").alias("steps"), "_link_flag")
 
 
+def paragraph_keys(spark: SparkSession, d: str) -> DataFrame:
+    """The keys of steps' own references: with and without space, with what follows, with a year, without a number."""
+    k = F.col("o_orderkey").cast("string")
+    form = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("§"), k, F.lit(" KF"))).when(F.col("o_orderkey") % 4 == 1, F.concat(F.lit("se §  "), k, F.lit(" ÖFN 2024"))).when(F.col("o_orderkey") % 4 == 2, F.concat(F.lit("§"), k, F.lit("/2024 KF"))).otherwise(F.concat(k, F.lit(" KF")))
+    return read(spark, d, "orders").select("o_orderkey", refs.paragraph_key(form).alias("key"))
+
+
+def _statement_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as cases: lines as steps with quotations, some empty, and with reservations and notes of parties, some missing."""
+    n, part = F.col("l_linenumber"), F.col("l_partkey").cast("string")
+    statement = lambda kind, parties: F.array(F.struct(F.array(*map(F.lit, parties)).alias("parties"), F.when(n % 4 > 0, F.concat(F.lit(kind), part)).alias("quote")))
+    none = F.lit(None)
+    step = F.struct(
+        n.alias("n"), F.concat(F.lit("part "), part).alias("quote0"), F.concat(F.lit("s-"), n.cast("string")).alias("step_id"), F.when(n % 3 == 0, "").otherwise(F.concat(F.lit("part "), part)).alias("quote"),
+        F.when(n % 5 == 0, "namndyttrande").otherwise("beslut").alias("type"), F.when(n % 2 == 0, statement("r ", ["A", "B"])).alias("reservations"), F.when(n % 3 == 1, statement("n ", ["C"])).alias("protocol_anteckning"),
+        F.struct(none.cast("string").alias("protocol_ref"), F.concat(F.lit("u"), F.col("l_suppkey").cast("string")).alias("pdf_url"), none.cast("string").alias("archive_url"), none.cast("string").alias("wayback_url")).alias("source"),
+    )
+    return read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(step)).alias("steps"))
+
+
+def gate_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """What the gate checks: quotations, reservations and notes, without empty and missing ones."""
+    q = gates.quotes(_statement_cases(spark, d), "l_orderkey")
+    return q.select("l_orderkey", F.col("step_pos").cast("long").alias("step_pos"), F.col("kind").cast("long").alias("kind"), "step_id", "field", "quote", F.col("word_limit").cast("long").alias("word_limit"))
+
+
+def failed_checks(spark: SparkSession, d: str) -> DataFrame:
+    """The failed checks of each order, in order."""
+    n = F.col("l_linenumber")
+    checks = read(spark, d, "lineitem").select("l_orderkey", F.concat(F.lit("s-"), n.cast("string")).alias("step_id"), F.col("l_returnflag").alias("field"), F.when(F.col("l_discount") > 0.05, "not found").otherwise("verified").alias("reason"))
+    failed = gates.failed(checks.withColumn("passed", F.col("reason") == gates.FOUND), ["l_orderkey"])
+    return failed.select("l_orderkey", F.array_join(F.transform("failed_checks", lambda c: F.concat_ws(":", c["step_id"], c["field"], c["reason"])), ",").alias("failed"))
+
+
+def view_by_party(spark: SparkSession, d: str) -> DataFrame:
+    """Cases that party B began, or in which it made a reservation."""
+    party = F.when(F.col("l_orderkey") % 10 == 0, "B").otherwise("X")
+    cases = _statement_cases(spark, d).withColumn("initiators", F.array(F.struct(F.lit("n").alias("name"), party.alias("party"))))
+    return publish.by_party(cases, "B").select("l_orderkey", F.size("steps").cast("long").alias("n_steps"))
+
+
+def shown_links(spark: SparkSession, d: str) -> DataFrame:
+    """Links to the archive, hidden while they wait for their commit."""
+    return _markers(spark, d).select("page_id", publish.shown_link(F.col("marker")).alias("link"))
+
+
+def stamped_sources(spark: SparkSession, d: str) -> DataFrame:
+    """The order's own file on each of its steps, whatever was there before."""
+    cases = validate.stamped(_statement_cases(spark, d), F.concat(F.lit("file "), F.col("l_orderkey").cast("string")))
+    return cases.select("l_orderkey", F.array_join(F.array_distinct(F.transform("steps", lambda s: s["source"]["pdf_url"])), ",").alias("urls"), F.size("steps").cast("long").alias("n_steps"))
+
+
+def snapshot_links(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses in an outside archive, of those files that have one."""
+    taken = read(spark, d, "supplier").where("s_suppkey % 3 > 0").select(F.concat(F.lit("u"), F.col("s_suppkey").cast("string")).alias("pdf_url"), F.concat(F.lit("w"), F.col("s_suppkey").cast("string")).alias("wayback_url"))
+    cases = archive.with_snapshots(_statement_cases(spark, d), taken, "l_orderkey")
+    return cases.select("l_orderkey", F.array_join(F.transform("steps", lambda s: F.coalesce(s["source"]["wayback_url"], F.lit("-"))), ",").alias("links"))
+
+
+def confirmed_bodies(spark: SparkSession, d: str) -> DataFrame:
+    return incremental.confirmed(read(spark, d, "customer").withColumn("confirmed", F.col("c_acctbal") > 0)).select("c_custkey")
+
+
 def stream_batches(spark: SparkSession, d: str) -> DataFrame:
     """Events drained in micro-batches into the seen-set's store."""
     schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        state.cut(spark.range(1))  # sets a folder in local mode
-        folder = spark.sparkContext.getCheckpointDir()
-    at = streaming.scratch(folder)
+    at = streaming.scratch(state.shared_folder(spark))
+    atexit.register(state.removed, spark, at)
     stream = streaming.landed(spark, d, schema, glob="events.parquet").select(F.col("user_id").cast("string").alias("committee_slug"), F.date_format("ts", DAY).alias("date"))
     streaming.drained(stream, f"{at}/checkpoint", streaming.seen_store(f"{at}/seen"))
     kept = streaming.load_seen_store(spark, f"{at}/seen")
@@ -399,5 +469,6 @@ QUERIES = {f.__name__: f for f in (
     first_match_or_null, filename_sanitize, attachment_links, unseen_anti, seen_upsert, backfill_batch, newest_batch, run_diagnostics, run_funnel,
     json_validate, case_validation, json_coerce_defaults, verify_reconcile, slug_normalize, stamp_left_join, content_hash, marker_roundtrip,
     permalink_fill, service_messages, paragraph_refs, section_scope, key_link_first, title_similarity_best, link_decision, surrogate_ids,
-    snapshot_diff, range_diff, hash_tree, changelog_entry, canonical_hash, inline_escape, view_by_body, view_search, title_norm_nfkd, merge_append, stream_batches,
+    snapshot_diff, range_diff, hash_tree, changelog_entry, canonical_hash, inline_escape, view_by_body, view_search, view_search_indexed, title_norm_nfkd, merge_append, stream_batches,
+    paragraph_keys, gate_quotes, failed_checks, view_by_party, shown_links, stamped_sources, snapshot_links, confirmed_bodies,
 )}

@@ -45,6 +45,8 @@ s as (select 'a-' || l_orderkey id, string_agg('s-' || l_linenumber, ',' order b
 where not exists (select 1 from lineitem m where m.l_orderkey = l.l_orderkey and m.l_linenumber = l.l_linenumber and m.l_shipdate <= timestamp '1996-06-30') group by 1)
 select w.id, is_new, case when is_new then '' else steps end new_step_ids from w left join s on s.id = w.id where is_new or steps is not null"""
 
+_STEPS = "select *, 's-' || l_linenumber step_id, row_number() over (partition by l_orderkey order by l_linenumber, 'part ' || l_partkey, 'u' || l_suppkey) - 1 step_pos from lineitem"
+
 ORACLE = {
     "verbatim_checks": rf"""
 with d as (select doc_id, coalesce(text, '') text, {_NORM.replace('text', "coalesce(text, '')")} n from documents),
@@ -160,4 +162,15 @@ select doc_id, {_TITLE.format('t')} title, {_TITLE.format(_BARE)} title_without_
 b as (select node // 64 node, sha256(string_agg(hash, '' order by node)) hash, sum(n) n from a where (select max(node) from a) > 0 group by 1),
 c as (select node // 64 node, sha256(string_agg(hash, '' order by node)) hash, sum(n) n from b where (select max(node) from b) > 0 group by 1)
 select 0 as level, node, hash, n::bigint n from a union all select 1, node, hash, n::bigint from b union all select 2, node, hash, n::bigint from c""",
+    "paragraph_keys": "select o_orderkey, case o_orderkey % 4 when 0 then o_orderkey || '|KF' when 1 then o_orderkey || '|ÖFN' end \"key\" from orders",
+    "gate_quotes": f"""select l_orderkey, step_pos, 0::bigint kind, step_id, 'quote' field, 'part ' || l_partkey quote, case when l_linenumber % 5 = 0 then 60 else 40 end::bigint word_limit from ({_STEPS}) where l_linenumber % 3 > 0
+union all select l_orderkey, step_pos, 1, step_id, 'reservation[A+B]', 'r ' || l_partkey, null from ({_STEPS}) where l_linenumber % 2 = 0 and l_linenumber % 4 > 0
+union all select l_orderkey, step_pos, 2, step_id, 'protocol_anteckning[C]', 'n ' || l_partkey, null from ({_STEPS}) where l_linenumber % 3 = 1 and l_linenumber % 4 > 0""",
+    "failed_checks": "select l_orderkey, string_agg('s-' || l_linenumber || ':' || l_returnflag || ':not found', ',' order by 's-' || l_linenumber, l_returnflag) failed from lineitem where l_discount > 0.05 group by 1",
+    "view_by_party": "select l_orderkey, count(*) n_steps from lineitem group by 1 having l_orderkey % 10 = 0 or bool_or(l_linenumber % 2 = 0)",
+    "shown_links": f"select page_id, case when not pending then marker end link from ({_PARSED})",
+    "stamped_sources": "select l_orderkey, 'file ' || l_orderkey urls, count(*) n_steps from lineitem group by 1",
+    "snapshot_links": f"select l_orderkey, string_agg(case when s_suppkey % 3 > 0 then 'w' || s_suppkey else '-' end, ',' order by step_pos) links from ({_STEPS}) left join supplier on s_suppkey = l_suppkey group by 1",
+    "confirmed_bodies": "select c_custkey from customer where c_acctbal > 0",
 }
+ORACLE["view_search_indexed"] = ORACLE["view_search"]

@@ -90,8 +90,7 @@ def process(
     else:
         gated = gated.withColumn("decision", F.lit("publish"))
     gated = gated.withColumn("final_status", validate.reconciled(F.col("passed"), F.col("decision")))
-    failed = checks.where("not passed").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("step_id", "field", "reason"))).alias("failed_checks"))
-    review = gated.where("final_status = 'needs_review'").join(failed, "key", "left").withColumn("stage", F.when(F.col("passed"), "verify").otherwise("gate"))
+    review = gated.where("final_status = 'needs_review'").join(gates.failed(checks, ["key"]), "key", "left").withColumn("stage", F.when(F.col("passed"), "verify").otherwise("gate"))
 
     accepted = gated.where("final_status = 'publish'")
     order = accepted.select("key", "date", "committee_slug", "pdf_url", "case_pos").orderBy("date", "committee_slug", "pdf_url", "case_pos")

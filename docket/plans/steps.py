@@ -62,7 +62,7 @@ def gates_step(spark: SparkSession, cases: str, source: str, out: str) -> None:
     known = cases_at(spark, cases)
     checks = gates.check(gates.quotes(known, "pos").withColumn("doc", F.lit(0)), _one_source(spark, source), ["doc"])
     ready, review = gates.split(state.cut(gates.all_passed(known, checks, ["pos"])))
-    failed = checks.where("not passed").groupBy("pos").agg(F.array_sort(F.collect_list(F.struct("step_id", "field", "reason"))).alias("failed_checks"))
+    failed = gates.failed(checks, ["pos"])
     left(ready.select(*known.columns), f"{out}/ready")
     left(review.join(failed, "pos", "left").withColumn("stage", F.lit("gate")).select(*known.columns, "stage", "failed_checks"), f"{out}/needs_review")
 
