@@ -257,9 +257,10 @@ class Index:
     n_blocks: int
 
     def dealt(self, asks: DataFrame, slices: np.ndarray) -> DataFrame:
-        """Blocks with the anchors that search them: data first, a copy for each slice of a block's anchors."""
+        """Blocks with the anchors that search them: data first, a copy for each slice of a block's anchors, and a task for each slice."""
         spark = self.rows.sparkSession
         shared, many = self.shared, spark.sparkContext.broadcast(slices)
+        first_task = spark.sparkContext.broadcast((np.cumsum(slices) - slices).astype(np.int32))
 
         def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, first, parts = shared.value
@@ -268,18 +269,19 @@ class Index:
                 n = many.value[block]
                 at = np.repeat(np.arange(len(block)), n)
                 nth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-                yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(at)) for c in ("id", "label", "code")] + [pa.array(block[at]), pa.array(nth.astype(np.int32))], ["id", "label", "code", "block", "slice"])
+                yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(at)) for c in ("id", "label", "code")] + [pa.array(block[at]), pa.array(nth.astype(np.int32)), pa.array(first_task.value[block[at]] + nth.astype(np.int32))], ["id", "label", "code", "block", "slice", "task"])
 
         def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                part = spread(b.column("id").to_numpy(), 7) % many.value[b.column("block").to_numpy()].astype(np.uint64)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(part.astype(np.int32))], [*b.schema.names, "slice"])
+                block = b.column("block").to_numpy()
+                part = (spread(b.column("id").to_numpy(), 7) % many.value[block].astype(np.uint64)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(part), pa.array(first_task.value[block] + part)], [*b.schema.names, "slice", "task"])
 
         none = F.lit(None).cast("array<long>")
-        data = self.data.mapInArrow(placed, "id long, label long, code binary, block int, slice int").select("*", F.lit(False).alias("asks"), none.alias("scores"), none.alias("floors"))
-        asks = asks.select("id", "label", "code", "block", "scores", "floors").mapInArrow(sliced, "id long, label long, code binary, block int, scores array<long>, floors array<long>, slice int")
+        data = self.data.mapInArrow(placed, "id long, label long, code binary, block int, slice int, task int").select("*", F.lit(False).alias("asks"), none.alias("scores"), none.alias("floors"))
+        asks = asks.select("id", "label", "code", "block", "scores", "floors").mapInArrow(sliced, "id long, label long, code binary, block int, scores array<long>, floors array<long>, slice int, task int")
         asks = asks.withColumn("asks", F.lit(True)).select(data.columns)
-        return data.unionByName(asks).repartition(max(1, int(slices.sum())), "block", "slice").sortWithinPartitions("block", "slice", "asks", "id")
+        return data.unionByName(asks).repartitionById(max(1, int(slices.sum())), "task").drop("task").sortWithinPartitions("block", "slice", "asks", "id")
 
     def best(self, asks: DataFrame, k: int, same: bool, name: str) -> DataFrame:
         """(query_id, win, vec_id, score, rank): the k best rows in each anchor's windows. asks: CODED and scores; win is a score, or null."""

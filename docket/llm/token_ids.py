@@ -316,7 +316,8 @@ def write_ids(docs: DataFrame, path: str, out: str, end_id: int, id_col: str = "
         if rows:
             yield close()
 
-    dealt = coded.mapInArrow(ranked, f"shard int, k {kind}, n long, c binary, d binary").repartition(shards, "shard").sortWithinPartitions("shard", F.col("k").asc_nulls_first(), "n", "d")
+    # a task per shard: dealt by a hash of their numbers, several would meet in one
+    dealt = coded.mapInArrow(ranked, f"shard int, k {kind}, n long, c binary, d binary").repartitionById(shards, "shard").sortWithinPartitions("shard", F.col("k").asc_nulls_first(), "n", "d")
     packed = dealt.mapInArrow(blocks, f"shard int, block int, before long, tokens long, keys array<{kind}>, counts array<long>, control binary, data binary")
     packed.write.option("compression", "none").parquet(f"{out}/blocks")
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 import public_tokenizers as P
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from docket.llm import token_ids
@@ -68,3 +69,15 @@ def test_edges(spark):
     twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], schema)
     got = sorted((r.start, r.n_tokens, r.doc_id) for r in token_ids.round_trip(twice, PATH, shared_dir(spark)).collect())
     assert got == [(0, 2, None), (2, 3, 1), (5, 3, 1)]
+
+
+def test_a_task_has_one_shard(spark, tmp_path):
+    """Shards are near each other in size, and each is written by a task of its own."""
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(["word"] * int(n))) for i, n in enumerate(rng.integers(1, 30, 3000))]
+    out = f"{tmp_path}/files"
+    token_ids.write_ids(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), PATH, out, 2, shards=32)
+    files = spark.read.parquet(f"{out}/blocks").groupBy(F.input_file_name().alias("f")).agg(F.collect_set("shard").alias("shards"), F.sum("tokens").alias("n")).collect()
+    assert len(files) == 32 and all(len(r.shards) == 1 for r in files)
+    mean = sum(r.n for r in files) / 32
+    assert max(r.n for r in files) < 1.6 * mean
