@@ -24,7 +24,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id."""
+    """Of each group of linked documents, the one with the smallest id.
+
+    Null and empty texts have no words, link with nothing and stay; texts are compared whole, however long; rows that
+    repeat an id stay or go together; an empty table gives no rows.
+    """
     return jaccard_join.representatives(docs)
 
 
@@ -61,6 +65,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows for the documents of sf_dir, each stage written and read again; an empty table gives no rows.
+
+    Nulls, empty and long texts and repeated rows are what each stage says of them; further columns go along up to the last stage.
+    """
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         with scratch(spark):

@@ -538,7 +538,10 @@ def _groups(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFra
 
 
 def representatives(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:  # noqa: B008
-    """The rows of docs whose id is the smallest of its component; all rows without id. Rows that repeat an id are all kept."""
+    """The rows of docs whose id is the smallest of its component; all rows without id. Rows that repeat an id are all kept.
+
+    Null and empty texts link with nothing and stay; texts are compared whole, however long; an empty table gives no rows.
+    """
     name = unused(docs, "gone")
     gone = groups(docs, s, id_col, text_col).where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(name)).distinct()
     gone = bounded(written(gone, "join-gone"), s.broadcast)
