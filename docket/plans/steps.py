@@ -9,6 +9,7 @@ from __future__ import annotations
 import traceback
 import uuid
 from collections.abc import Callable
+from functools import wraps
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,17 @@ HASH_ROW = "level int, node long, hash string, n long"
 FOUND_ROW = "run_id string, committee_slug string, found long, error string"
 
 
+def _tidy(step: Callable) -> Callable:
+    """A step whose intermediate tables go at its end."""
+
+    @wraps(step)
+    def run(spark: SparkSession, *args, **kw):  # noqa: ANN002, ANN003, ANN202
+        with state.scratch(spark):
+            return step(spark, *args, **kw)
+
+    return run
+
+
 def rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table of JSON lines; no rows if it isn't there."""
     kind = schemas.struct(schema)
@@ -57,6 +69,7 @@ def _one_source(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).agg(F.concat_ws("\n", F.collect_list("value")).alias("text")).select(F.lit(0).alias("doc"), "text")
 
 
+@_tidy
 def gates_step(spark: SparkSession, cases: str, source: str, out: str) -> None:
     """out/ready and out/needs_review: the cases by the gate, those with their failed checks."""
     known = cases_at(spark, cases)
@@ -67,6 +80,7 @@ def gates_step(spark: SparkSession, cases: str, source: str, out: str) -> None:
     left(review.join(failed, "pos", "left").withColumn("stage", F.lit("gate")).select(*known.columns, "stage", "failed_checks"), f"{out}/needs_review")
 
 
+@_tidy
 def verify_step(spark: SparkSession, ready: str, verdicts: str, out: str) -> None:
     """out/verified and out/review: cases that passed the gate, by their verdicts (case_pos, raw); none is a review."""
     known = cases_at(spark, ready)
@@ -77,6 +91,7 @@ def verify_step(spark: SparkSession, ready: str, verdicts: str, out: str) -> Non
     left(both.where("final <> 'publish'").withColumn("stage", F.lit("verify")).select(*known.columns, "stage", "verdict"), f"{out}/review")
 
 
+@_tidy
 def archive_step(spark: SparkSession, verified: str, folder: str, listed: str, out: str) -> None:
     """out/archived, out/hashes and out/missing: steps marked by the raw files, the files' hashes, what the manifest lists in vain."""
     files, missing = landed.raw_files(spark, folder, landed.manifest(spark, listed))
@@ -86,6 +101,7 @@ def archive_step(spark: SparkSession, verified: str, folder: str, listed: str, o
     left(missing, f"{out}/missing")
 
 
+@_tidy
 def link_step(spark: SparkSession, archived: str, source: str, database: str, errors: str) -> None:
     """The database (a store) with the cases folded in; new cases that can't have an id go to errors."""
     run = Store(spark, database).begin(f"link-{uuid.uuid4().hex}")
@@ -113,6 +129,7 @@ def published(run: Run, current: DataFrame, previous: DataFrame, timestamp: str)
     run.write(publish.changelog(previous, current, run.run_id, timestamp, ranges, whole), "changelog")
 
 
+@_tidy
 def publish_step(spark: SparkSession, database: str, out: str, run_id: str, timestamp: str) -> bool:
     """The store out: cases, published, hash, hashes and changelog of the run, all at once; False if there is no case."""
     current = state.cut(cases_at(spark, database))
@@ -136,6 +153,7 @@ def build_step(spark: SparkSession, template: str, cases: str, out: str) -> None
     left_document(publish.database_json(known), f"{out}/api")
 
 
+@_tidy
 def _whole_run(spark: SparkSession, kind: str, world: str, folder: str, run_id: str, timestamp: str, cap: int, batch_of) -> None:  # noqa: ANN001
     """Batch, process, publish and advance the seen-set, all in one commit of the store folder.
 
@@ -200,7 +218,7 @@ def backfill(spark: SparkSession, world: str, folder: str, base: str, run_id: st
 ANSWERED = "committee_slug string, date string, protocol_pdf_url string, raw string"
 
 
-def link_batches(spark: SparkSession, world: str, folder: str, timestamp: Callable[[int], str]) -> Callable[[DataFrame, int], None]:
+def link_batches(world: str, folder: str, timestamp: Callable[[int], str]) -> Callable[[DataFrame, int], None]:
     """For foreachBatch over landed answers (ANSWERED): each batch goes through gate, link and publication into the store folder, in one commit.
 
     The batch's number is the run's id, so that a batch that is delivered again changes nothing. Texts come from world/texts, files
@@ -208,8 +226,8 @@ def link_batches(spark: SparkSession, world: str, folder: str, timestamp: Callab
     if answers land in the order of their dates.
     """
 
-    def each(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
+    @_tidy
+    def linked(session: SparkSession, batch: DataFrame, number: int) -> None:
         store = Store(session, folder)
         run = store.begin(f"batch-{number}")
         if run is None:
@@ -227,7 +245,7 @@ def link_batches(spark: SparkSession, world: str, folder: str, timestamp: Callab
         published(run, done.cases, existing, timestamp(number))
         run.commit()
 
-    return each
+    return lambda batch, number: linked(batch.sparkSession, batch, number)
 
 
 def fetch_step(spark: SparkSession, lists: DataFrame, pages: DataFrame, seen: DataFrame, base: str, out: str) -> None:

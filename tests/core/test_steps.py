@@ -200,7 +200,7 @@ def test_batches_of_answers_are_linked_once(spark, tmp_path):
     answer = lambda i, ref: {"committee_slug": "council", "date": f"2024-01-0{i}", "protocol_pdf_url": url(i), "raw": json.dumps({"arenden": [case(f"t{i}", "a new path", ref), case("no", "never said", "§9 KF")]})}
     answers = [answer(1, "§1 KF"), answer(2, "§5 KF"), answer(3, "§6 KF")]
     (world / "answers").mkdir()
-    run = steps.link_batches(spark, f"{world}", f"{tmp_path}/state", lambda n: f"at {n}")
+    run = steps.link_batches(f"{world}", f"{tmp_path}/state", lambda n: f"at {n}")
 
     def drain(store, each, per_batch):
         schema = schemas.struct(steps.ANSWERED)
@@ -214,7 +214,7 @@ def test_batches_of_answers_are_linked_once(spark, tmp_path):
     before = seen_by_readers(store)
     run(spark.createDataFrame([tuple(answers[1].values())], steps.ANSWERED), 1)  # the second batch again
     assert seen_by_readers(store) == before
-    drain("whole", steps.link_batches(spark, f"{world}", f"{tmp_path}/whole", lambda n: "now"), 10)
+    drain("whole", steps.link_batches(f"{world}", f"{tmp_path}/whole", lambda n: "now"), 10)
     flat = lambda at: [(r.id, r.title, [s.step_id for s in r.steps]) for r in Store(spark, f"{tmp_path}/{at}").rows("cases", steps.CASE_ROW).orderBy("pos").collect()]
     assert flat("state") == flat("whole") == [("a-2024-0001", "t1", ["s-t1", "s-t2", "s-t3"])]
     assert len(before["needs_review"]) == 3 and len(before["seen"]) == 3 and len(before["changelog"]) == 3
