@@ -106,6 +106,8 @@ def _object(raw: str) -> dict:
     return value if isinstance(value, dict) else {"message": "invalid JSON"}
 
 
+#: What this reader can't read: two-byte fonts and their maps, objects and references within streams, encryption.
+_UNREAD = (b"/Identity-H", b"/Identity-V", b"/ToUnicode", b"/Type0", b"/ObjStm", b"/Encrypt")
 _STREAM = re.compile(rb"stream\r?\n(.*?)\r?\nendstream", re.S)
 _SHOWN = re.compile(rb"\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|\bT[dDmJj*]|['\"]|\bET\b|-?\d+(?:\.\d+)?", re.S)
 _ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
@@ -114,11 +116,13 @@ _ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
 def pdf_text(content: bytes) -> str:
     """The text that a PDF file's pages show, a line for each line; page breaks are line feeds like others, so that quotations go over them.
 
-    Plain and deflated content streams in single-byte encodings. Others (embedded encodings, encryption)
-    need an extractor of the caller's; a file that isn't a PDF is an error.
+    Plain and deflated content streams in single-byte encodings. Files that would give wrong text instead (fonts with encodings of their own,
+    objects within streams, encryption) are an error, as is a file that isn't a PDF: these need an extractor of the caller's.
     """
     if not content.startswith(b"%PDF"):
         raise ValueError("not a PDF file")
+    if unread := [m.decode() for m in _UNREAD if m in content]:
+        raise ValueError(f"a PDF file with {', '.join(unread)} needs another extractor")
     out: list[str] = []
     for m in _STREAM.finditer(content):
         data = m.group(1)

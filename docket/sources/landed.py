@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docket import schemas
-
 _PLACE = r"([^/]+)/(\d{4}-\d{2}-\d{2})/[^/]+$"
 
 

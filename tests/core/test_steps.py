@@ -255,6 +255,9 @@ def test_pdf_text():
     assert fetch.pdf_text(plain) == fetch.pdf_text(packed) == "First (line) with ä\nsecond wordHi"
     with pytest.raises(ValueError, match="PDF"):
         fetch.pdf_text(b"<html>")
+    for odd in (b"/Encoding /Identity-H", b"<< /Type /ObjStm >>", b"/Encrypt 3 0 R"):
+        with pytest.raises(ValueError, match="another extractor"):
+            fetch.pdf_text(plain + odd)
 
 
 def test_rows_of_a_missing_table(spark, tmp_path):
