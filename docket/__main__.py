@@ -4,6 +4,7 @@
   fetch BASE LISTS PAGES SEEN OUT     unseen meetings with approved minutes
   attachments BASE PAGES OUT          attachments of landed meeting pages
   download FILES BASE_URI AGENT OUT   files (url, relative_path) fetched into a shared folder
+  extract MINUTES OUT ENDPOINT AGENT  minutes (pdf_url, protocol_ref, date, text) sent to a model (key in DOCKET_MODEL_KEY): answers, cases and errors
   validate ANSWERS OUT                models' answers (pdf_url, raw) to cases and errors
   gates CASES SOURCE OUT              ready and needs_review, by the verbatim gate
   verify READY VERDICTS OUT           verified and review, by the verdicts (case_pos, raw)
@@ -19,9 +20,10 @@
 
 from __future__ import annotations
 
+import os
 import sys
 
-COUNTS = {"refs": (4,), "fetch": (5,), "attachments": (3,), "download": (4,), "validate": (2,), "gates": (3,), "verify": (3,), "archive": (4,), "link": (4,), "publish": (4,), "hash": (1,), "permalinks": (5, 6), "build": (2, 3), "weekly": (5, 6), "backfill": (8, 9)}
+COUNTS = {"refs": (4,), "fetch": (5,), "attachments": (3,), "download": (4,), "extract": (4,), "validate": (2,), "gates": (3,), "verify": (3,), "archive": (4,), "link": (4,), "publish": (4,), "hash": (1,), "permalinks": (5, 6), "build": (2, 3), "weekly": (5, 6), "backfill": (8, 9)}
 
 
 def main(args: list[str]) -> int:
@@ -48,6 +50,8 @@ def main(args: list[str]) -> int:
     elif command == "download":
         files = steps.rows(spark, rest[0], "url string, relative_path string")
         steps.left(fetch.downloaded(files, fetch.http_bytes(rest[2]), rest[1]), rest[3])
+    elif command == "extract":
+        steps.extract_step(spark, rest[0], rest[1], fetch.http_answer(rest[2], rest[3], os.environ.get("DOCKET_MODEL_KEY", "")))
     elif command == "validate":
         cases, errors = validate.parse_cases(spark.read.schema("pdf_url string, raw string").json(rest[0]), ["pdf_url"])
         validate.with_slugs(validate.stamped(cases, F.col("pdf_url"))).write.json(f"{rest[1]}/cases")

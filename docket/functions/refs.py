@@ -19,8 +19,16 @@ def paragraph_refs(text: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda r: F.struct(F.regexp_extract(r, r"(\d+)", 1).alias("paragraf"), F.regexp_extract(r, r"(\p{Lu}+)$", 1).alias("instans"))))
 
 
-def ref_keys(text: Column) -> Column:
-    return F.transform(paragraph_refs(text), lambda r: F.concat_ws("|", r["paragraf"], r["instans"]))
+def ref_keys(text: Column, years: bool = False) -> Column:
+    """Array of number|BODY; with years, number|BODY|year for references that name a year (each once)."""
+    if not years:
+        return F.transform(paragraph_refs(text), lambda r: F.concat_ws("|", r["paragraf"], r["instans"]))
+
+    def key(r: Column) -> Column:
+        year = F.regexp_extract(r, r"/(\d{4})", 1)
+        return F.concat_ws("|", F.regexp_extract(r, r"(\d+)", 1), F.regexp_extract(r, r"(\p{Lu}+)$", 1), F.when(year != "", year))
+
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_REF), F.lit(0)), key))
 
 
 def paragraph_key(protocol_ref: Column) -> Column:

@@ -21,16 +21,19 @@ from .scan import latest, running
 THRESHOLD = 0.6
 
 
-def step_keys(cases: DataFrame, pos: str) -> DataFrame:
-    """(pos, step_pos, key) of the steps that have a paragraph of their own."""
+def step_keys(cases: DataFrame, pos: str, years: bool = False) -> DataFrame:
+    """(pos, step_pos, key) of the steps that have a paragraph of their own; with years, each also by the year of its date."""
     steps = cases.select(pos, F.posexplode("steps").alias("step_pos", "s"))
-    return steps.select(pos, "step_pos", paragraph_key(F.col("s.source.protocol_ref")).alias("key")).where("key is not null")
+    keys = steps.select(pos, "step_pos", paragraph_key(F.col("s.source.protocol_ref")).alias("key"), F.substring("s.date", 1, 4).alias("year")).where("key is not null")
+    if years:
+        keys = keys.withColumn("key", F.explode(F.array_compact(F.array("key", F.when(F.col("year") != "", F.concat_ws("|", "key", "year"))))))
+    return keys.drop("year")
 
 
-def candidate_refs(candidates: DataFrame, pos: str) -> DataFrame:
-    """(pos, ref_pos, key): references in the candidate's own section of its text."""
+def candidate_refs(candidates: DataFrame, pos: str, years: bool = False) -> DataFrame:
+    """(pos, ref_pos, key): references in the candidate's own section of its text; with years, those that name a year match steps of that year only."""
     own = own_section(F.coalesce("text", F.lit("")), F.transform("steps", lambda s: s["source"]["protocol_ref"]))
-    return candidates.select(pos, F.posexplode(ref_keys(own)).alias("ref_pos", "key"))
+    return candidates.select(pos, F.posexplode(ref_keys(own, years)).alias("ref_pos", "key"))
 
 
 def keyed(refs: DataFrame, keys: DataFrame, candidate: str, case: str) -> DataFrame:
@@ -69,7 +72,7 @@ def similar(titles: DataFrame, known: DataFrame, candidate: str, case: str, thre
     return best.select(F.col("_a").alias(candidate), F.col("_b").alias(case), "score")
 
 
-def placed(candidates: DataFrame, existing: DataFrame) -> DataFrame:
+def placed(candidates: DataFrame, existing: DataFrame, years: bool = False) -> DataFrame:
     """(cand, offset, has_refs, place): where each candidate ends in the fold.
 
     A place is an existing case's position or, for a new case, the number of existing
@@ -83,10 +86,10 @@ def placed(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     spark = candidates.sparkSession
     with scratch(spark):
         offset = existing.agg(F.coalesce(F.max("pos") + 1, F.lit(0)).alias("offset"))
-        refs = kept(candidate_refs(candidates, "cand").select("cand", "key").distinct(), "refs")
-        first_known = step_keys(existing, "pos").groupBy("key").agg(F.min("pos").alias("pos"))
+        refs = kept(candidate_refs(candidates, "cand", years).select("cand", "key").distinct(), "refs")
+        first_known = step_keys(existing, "pos", years).groupBy("key").agg(F.min("pos").alias("pos"))
         direct = refs.join(first_known, "key").groupBy("cand").agg(F.min("pos").alias("direct"))
-        own = kept(step_keys(candidates, "cand").select("key", "cand").distinct(), "keys")
+        own = kept(step_keys(candidates, "cand", years).select("key", "cand").distinct(), "keys")
         earliest = own.groupBy("key").agg(F.min("cand").alias("to"))
         points = refs.join(earliest, "key").where("to < cand").groupBy("cand").agg(F.min("to").alias("to"))
         base = candidates.select("cand").crossJoin(F.broadcast(offset)).join(direct, "cand", "left").join(points, "cand", "left")
@@ -128,16 +131,17 @@ def new_ids(new: DataFrame, taken: DataFrame, order: str = "cand") -> DataFrame:
     return placed.select(order, F.format_string("a-%s-%04d", "year", F.col("nth") + F.coalesce("below", F.lit(0))).alias("id"))
 
 
-def merged(existing: DataFrame, candidates: DataFrame, repeat_steps: bool = False) -> tuple[DataFrame, DataFrame]:
+def merged(existing: DataFrame, candidates: DataFrame, repeat_steps: bool = False, years: bool = False) -> tuple[DataFrame, DataFrame]:
     """(cases, errors) after the candidates were folded into the existing cases.
 
     existing: (pos, columns of a case); candidates: (cand, columns of a case, text).
     Matched candidates add their steps and replace the status; others become cases with
     new ids, and a flag if their title is like an earlier one. Steps whose id the case has
-    already aren't added again, unless repeat_steps. A new case without steps has no
+    already aren't added again, unless repeat_steps. With years, a reference that names a year matches
+    only steps of that year; else a paragraph's number matches in any. A new case without steps has no
     year for its id and becomes an error row.
     """
-    where = placed(candidates, existing)
+    where = placed(candidates, existing, years)
     full = candidates.join(where, "cand")
     fresh = full.where(F.col("place") == F.col("offset") + F.col("cand"))
     year = F.substring(F.get("steps", F.lit(0))["date"], 1, 4)

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from docket import schemas
 from docket.operators import archive, gates, incremental, publish, resolve, validate
 from docket.plans import runs
-from docket.sources import landed, state
+from docket.sources import landed, providers, state
 from docket.sources.store import Run, Store
 
 CASE_ROW = f"pos long, {schemas.CASE}"
 ANSWER = "pdf_url string, raw string"
+MINUTES_ROW = "pdf_url string, protocol_ref string, date string, text string"
 VERDICT_ROW = "pdf_url string, case_pos int, raw string"
 REVIEW_ROW = f"run_id string, stage string, failed_checks array<struct<step_id:string,field:string,reason:string>>, {schemas.CASE}"
 RUN_ROW = "run_id string, kind string, found long, in_range long, already_seen long, remaining long, capped boolean, batch long, published long, review long, errors long, failure string"
@@ -69,6 +70,21 @@ def _one_source(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).agg(F.concat_ws("\n", F.collect_list("value")).alias("text")).select(F.lit(0).alias("doc"), "text")
 
 
+@_tidy
+def extract_step(spark: SparkSession, minutes: str, out: str, provider: providers.Provider) -> None:
+    """out/answers, out/cases and out/errors of minutes (pdf_url, protocol_ref, date, text): each text is sent to the model once.
+
+    A request that fails, or an answer that can't be read, is a row of errors with its file.
+    """
+    known = rows(spark, minutes, MINUTES_ROW)
+    asked = known.select("pdf_url", providers.extraction_prompt(F.col("text"), F.coalesce("protocol_ref", F.lit("")), F.coalesce("date", F.lit("")), schemas.INITIATIVE_TYPES, schemas.CATEGORIES).alias("prompt"))
+    got = state.kept(providers.asked(asked, "prompt", provider).drop("prompt"), "answers")
+    cases, wrong = validate.parse_cases(got.where("error is null"), ["pdf_url"])
+    left(got.where("error is null").select("pdf_url", "raw"), f"{out}/answers")
+    left(validate.with_slugs(validate.stamped(cases, F.col("pdf_url"))), f"{out}/cases")
+    left(wrong.unionByName(got.where("error is not null").select("pdf_url", "error"), allowMissingColumns=True), f"{out}/errors")
+
+
 @_tidy
 def gates_step(spark: SparkSession, cases: str, source: str, out: str) -> None:
     """out/ready and out/needs_review: the cases by the gate, those with their failed checks."""

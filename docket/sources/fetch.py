@@ -35,6 +35,20 @@ def http_text(agent: str, timeout: float = 30.0) -> Callable[[str], str]:
     return lambda url: get(url).decode("utf-8", "replace")
 
 
+def http_answer(endpoint: str, agent: str, key: str = "", timeout: float = 300.0) -> Callable[[str], str]:
+    """A model's answer to a prompt: the body that an endpoint returns for {"prompt", "temperature": 0}; anything but a 2xx answer is an error."""
+    headers = {"User-Agent": agent, "Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+
+    def ask(prompt: str) -> str:
+        body = json.dumps({"prompt": prompt, "temperature": 0}).encode()
+        with urlopen(Request(endpoint, body, headers), timeout=timeout) as answer:  # noqa: S310 - the endpoint is the caller's
+            if not 200 <= answer.status < 300:
+                raise OSError(f"{answer.status} for {endpoint}")
+            return answer.read().decode("utf-8", "replace")
+
+    return ask
+
+
 def downloaded(files: DataFrame, fetch: Callable[[str], bytes], base_uri: str) -> DataFrame:
     """(url, relative_path, n_bytes, error) of files (url, relative_path): each is fetched and written below base_uri.
 

@@ -235,6 +235,27 @@ def test_downloads(spark, tmp_path):
     assert fetch.downloaded(files.limit(0), get, f"file://{tmp_path}/raw").count() == 0
 
 
+def test_extract(spark, tmp_path):
+    """Each text is asked for once; failed requests and unreadable answers are rows of errors."""
+    lines(tmp_path / "minutes", [{"pdf_url": u, "protocol_ref": f"§1 {u}", "date": "2024-01-31", "text": f"text of {u}"} for u in ("good", "bad", "down")])
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def model(prompt):
+        name = next(u for u in ("good", "bad", "down") if f"text of {u}" in prompt)
+        with open(log / name, "a") as f:
+            f.write("x")
+        if name == "down":
+            raise OSError("503")
+        return json.dumps({"arenden": [case("bike", "a path", "§1 KF")]}) if name == "good" else "no JSON"
+
+    steps.extract_step(spark, f"{tmp_path}/minutes", f"{tmp_path}/out", model)
+    assert [(r.title, r.steps[0].source.pdf_url, r.steps[0].instance) for r in spark.read.json(f"{tmp_path}/out/cases").collect()] == [("bike", "good", "the-council")]
+    assert {(r.pdf_url, r.error) for r in spark.read.json(f"{tmp_path}/out/errors").collect()} == {("bad", "invalid JSON"), ("down", "OSError: 503")}
+    assert {r.pdf_url for r in spark.read.json(f"{tmp_path}/out/answers").collect()} == {"good", "bad"}
+    assert all((log / u).read_text() == "x" for u in ("good", "bad", "down"))
+
+
 def test_snapshots(spark):
     urls = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "pdf_url string")
     submit = lambda u: {"a": '{"job_id": "a1"}', "b": '{"message": "slow"}', "c": '{"job_id": "c1"}', "d": "["}[u]
