@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docket.functions import archive as A
 from docket.functions import links, refs, text
 from docket.operators import archive, gates, incremental, publish, resolve, validate
-from docket.sources import state
+from docket.sources import pages, served, state
 from docket.streaming import incremental as streaming
 
 BASE = "https://portal.example"
@@ -431,6 +431,52 @@ def view_by_party(spark: SparkSession, d: str) -> DataFrame:
     return publish.by_party(cases, "B").select("l_orderkey", F.size("steps").cast("long").alias("n_steps"))
 
 
+def _dated_cases(spark: SparkSession, d: str, last_day: str | None) -> DataFrame:
+    """Orders as cases: lines as steps of bodies with dates and parties' statements, as they were on a day."""
+    li = read(spark, d, "lineitem")
+    if last_day:
+        li = li.where(F.col("l_shipdate") <= F.lit(last_day).cast("timestamp"))
+    said = lambda r, party: F.when(F.col("l_linenumber") % 3 == r, F.array(F.struct(F.array(F.col(party)).alias("parties"))))
+    step = F.struct("l_linenumber", F.concat(F.lit("s-"), F.col("l_linenumber").cast("string")).alias("step_id"), F.lower("l_returnflag").alias("instance"), F.date_format("l_shipdate", DAY).alias("date"), said(1, "l_linestatus").alias("reservations"), said(2, "l_returnflag").alias("protocol_anteckning"))
+    none = F.array().cast("array<struct<name:string,party:string>>")
+    return li.groupBy(F.col("l_orderkey").alias("pos")).agg(F.array_sort(F.collect_list(step)).alias("steps")).select("pos", F.concat(F.lit("a-"), F.col("pos").cast("string")).alias("id"), none.alias("initiators"), "steps")
+
+
+def _served(spark: SparkSession, d: str, rows, by: str) -> DataFrame:  # noqa: ANN001
+    """The table of a day, brought up to date by the folders of those cases that have changed since."""
+    at = streaming.scratch(state.shared_folder(spark))
+    atexit.register(state.removed, spark, at)
+    before, now = _dated_cases(spark, d, "1996-06-30"), _dated_cases(spark, d, None)
+    served.write(rows(before), by, at)
+    served.write(rows(now), by, at, publish.difference(before, now))
+    return served.read(spark, at, by, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in now.schema))
+
+
+def served_by_body(spark: SparkSession, d: str) -> DataFrame:
+    """Cases with steps of body r in three years, from folders by body and year."""
+    return served.view(_served(spark, d, served.bodies, "body"), "body", "r", "1993", "1995").select("id", F.size("steps").cast("long").alias("n_steps"))
+
+
+def served_by_party(spark: SparkSession, d: str) -> DataFrame:
+    """Cases in which party F made a reservation or A a note, from folders by party and year."""
+    table = _served(spark, d, served.parties, "party")
+    each = [served.view(table, "party", p).select(F.lit(p).alias("party"), "id", F.size("steps").cast("long").alias("n_steps")) for p in "FA"]
+    return each[0].unionByName(each[1])
+
+
+def landed_pages(spark: SparkSession, d: str) -> DataFrame:
+    """All pages, landed as files by body and date and read back, and which of them a read of one body's dates has."""
+    at = streaming.scratch(state.shared_folder(spark))
+    atexit.register(state.removed, spark, at)
+    k = F.col("page_id")
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (k % 28).cast("int")), DAY)
+    pages.land(read(spark, d, "pages").select(F.concat(F.lit("b"), (k % 3).cast("string")).alias("committee_slug"), day.alias("date"), F.concat(k.cast("string"), F.lit(".html")).alias("file"), "html"), at)
+    number = F.regexp_extract("file", r"^(\d+)", 1).cast("long").alias("page_id")
+    some = pages.landed(spark, at).where("committee_slug = 'b1' and date between '2024-01-05' and '2024-01-20'").select(number, F.lit(True).alias("asked"))
+    every = pages.landed(spark, at).select(number, "committee_slug", "date", F.md5("html").alias("digest"))
+    return every.join(some, "page_id", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+
+
 def shown_links(spark: SparkSession, d: str) -> DataFrame:
     """Links to the archive, hidden while they wait for their commit."""
     return _markers(spark, d).select("page_id", publish.shown_link(F.col("marker")).alias("link"))
@@ -471,4 +517,5 @@ QUERIES = {f.__name__: f for f in (
     permalink_fill, service_messages, paragraph_refs, section_scope, key_link_first, title_similarity_best, link_decision, surrogate_ids,
     snapshot_diff, range_diff, hash_tree, changelog_entry, canonical_hash, inline_escape, view_by_body, view_search, view_search_indexed, title_norm_nfkd, merge_append, stream_batches,
     paragraph_keys, gate_quotes, failed_checks, view_by_party, shown_links, stamped_sources, snapshot_links, confirmed_bodies,
+    served_by_body, served_by_party, landed_pages,
 )}

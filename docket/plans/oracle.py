@@ -171,6 +171,11 @@ union all select l_orderkey, step_pos, 2, step_id, 'protocol_anteckning[C]', 'n
     "shown_links": f"select page_id, case when not pending then marker end link from ({_PARSED})",
     "stamped_sources": "select l_orderkey, 'file ' || l_orderkey urls, count(*) n_steps from lineitem group by 1",
     "snapshot_links": f"select l_orderkey, string_agg(case when s_suppkey % 3 > 0 then 'w' || s_suppkey else '-' end, ',' order by step_pos) links from ({_STEPS}) left join supplier on s_suppkey = l_suppkey group by 1",
+    "served_by_body": "select 'a-' || l_orderkey id, count(*) n_steps from lineitem group by l_orderkey having bool_or(lower(l_returnflag) = 'r' and year(l_shipdate) between 1993 and 1995)",
+    "served_by_party": """select party, 'a-' || l_orderkey id, count(*) n_steps from lineitem, (values ('F'), ('A')) p(party) group by all
+having bool_or(l_linenumber % 3 = 1 and l_linestatus = party or l_linenumber % 3 = 2 and l_returnflag = party)""",
+    "landed_pages": """select page_id, committee_slug, date, md5(html) digest, committee_slug = 'b1' and date between '2024-01-05' and '2024-01-20' asked
+from (select page_id, html, 'b' || page_id % 3 committee_slug, strftime(date '2024-01-01' + (page_id % 28)::integer, '%Y-%m-%d') date from pages)""",
     "confirmed_bodies": "select c_custkey from customer where c_acctbal > 0",
 }
 ORACLE["view_search_indexed"] = ORACLE["view_search"]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from docket import schemas
 from docket.operators import archive, gates, incremental, publish, resolve, validate
 from docket.plans import runs
-from docket.sources import landed, providers, state
+from docket.sources import landed, providers, served, state
 from docket.sources.store import Run, Store
 
 CASE_ROW = f"pos long, {schemas.CASE}"
@@ -161,12 +161,14 @@ def publish_step(spark: SparkSession, database: str, out: str, run_id: str, time
 
 
 def build_step(spark: SparkSession, template: str, cases: str, out: str) -> None:
-    """out/index.html and out/api: the page, and the cases as they are served."""
+    """out/index.html and out/api: the page, and the cases as they are served; out/by-body and out/by-party: the same in folders by year."""
     known = cases_at(spark, cases)
     with open(template, encoding="utf-8") as f:
         page = publish.render(f.read(), known)
     left_document(spark.createDataFrame([(page,)], "json string"), str(PurePosixPath(out) / "index.html"))
     left_document(publish.database_json(known), f"{out}/api")
+    served.write(served.bodies(known), "body", f"{out}/by-body")
+    served.write(served.parties(known), "party", f"{out}/by-party")
 
 
 @_tidy
