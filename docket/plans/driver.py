@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from docket.functions import archive as A
 from docket.functions import links, refs, text
 from docket.operators import archive, gates, incremental, publish, resolve, validate
+from docket.plans import steps
 from docket.sources import pages, served, state
+from docket.sources.store import Store
 from docket.streaming import incremental as streaming
 
 BASE = "https://portal.example"
@@ -373,8 +375,8 @@ def title_norm_nfkd(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select("doc_id", text.normal_title(F.col("text")).alias("title"), text.normal_title(F.col("text"), keep_marks_apart=False).alias("title_without_marks"))
 
 
-def merge_append(spark: SparkSession, d: str) -> DataFrame:
-    """The fold of candidates into existing cases: finished orders exist; open ones come in order and refer to their customer's or the next customer's orders, or to none."""
+def _fold(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(existing, candidates): finished orders exist; open ones come in order and refer to their customer's or the next customer's orders, or to none."""
     o = read(spark, d, "orders")
     ref = lambda c: F.concat(F.lit("§"), c.cast("string"), F.lit(" KF"))
     none = F.lit(None).cast("string")
@@ -386,10 +388,36 @@ def merge_append(spark: SparkSession, d: str) -> DataFrame:
     named = F.col("o_custkey") + F.when(F.col("o_orderkey") % 20 == 3, 1).otherwise(0)
     text = F.when(F.col("o_orderkey") % 4 > 0, F.concat(F.lit("se "), ref(named))).otherwise("")
     candidates = o.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("cand"), none.alias("id"), *case, text.alias("text"))
-    cases, _ = resolve.merged(existing, candidates)
+    return existing, candidates
+
+
+def _folded(cases: DataFrame) -> DataFrame:
     return cases.select("id", "title", "status", F.array_join(F.transform("steps", lambda s: s["step_id"]), ",").alias("steps"), "_link_flag")
 
 
+def merge_append(spark: SparkSession, d: str) -> DataFrame:
+    """The fold of candidates into existing cases."""
+    return _folded(resolve.merged(*_fold(spark, d))[0])
+
+
+def merge_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The same fold as a stream: candidates land in two parts, each a batch with a commit of its own; the stream is started anew between them."""
+    at = streaming.scratch(state.shared_folder(spark))
+    atexit.register(state.removed, spark, at)
+    existing, candidates = _fold(spark, d)
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in existing.schema)
+    store = Store(spark, f"{at}/store")
+    run = store.begin("start")
+    run.write(existing, "cases")
+    run.commit()
+    half = read(spark, d, "orders").agg(F.floor(F.avg("o_orderkey")).alias("k")).first().k or 0
+    for part in (F.col("cand") <= half, F.col("cand") > half):  # the earlier ones land first
+        candidates.where(part).write.mode("append").parquet(f"{at}/landed")
+        stream = streaming.landed(spark, f"{at}/landed", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in candidates.schema), per_batch=1_000_000)
+        streaming.drained(stream, f"{at}/checkpoint", steps.fold_batches(f"{at}/store", kind))  # begins where it left off
+    return _folded(store.rows("cases", kind))
+
+
 def paragraph_keys(spark: SparkSession, d: str) -> DataFrame:
     """The keys of steps' own references: with and without space, with what follows, with a year, without a number."""
     k = F.col("o_orderkey").cast("string")
@@ -517,5 +545,5 @@ QUERIES = {f.__name__: f for f in (
     permalink_fill, service_messages, paragraph_refs, section_scope, key_link_first, title_similarity_best, link_decision, surrogate_ids,
     snapshot_diff, range_diff, hash_tree, changelog_entry, canonical_hash, inline_escape, view_by_body, view_search, view_search_indexed, title_norm_nfkd, merge_append, stream_batches,
     paragraph_keys, gate_quotes, failed_checks, view_by_party, shown_links, stamped_sources, snapshot_links, confirmed_bodies,
-    served_by_body, served_by_party, landed_pages,
+    served_by_body, served_by_party, landed_pages, merge_batches,
 )}

@@ -179,3 +179,4 @@ from (select page_id, html, 'b' || page_id % 3 committee_slug, strftime(date '20
     "confirmed_bodies": "select c_custkey from customer where c_acctbal > 0",
 }
 ORACLE["view_search_indexed"] = ORACLE["view_search"]
+ORACLE["merge_batches"] = ORACLE["merge_append"]

@@ -266,6 +266,26 @@ def link_batches(world: str, folder: str, timestamp: Callable[[int], str]) -> Ca
     return lambda batch, number: linked(batch.sparkSession, batch, number)
 
 
+def fold_batches(folder: str, case: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch over candidates (cand, case's columns, text): each batch is folded into the cases of the store folder, in one commit.
+
+    case: the columns of the store's cases, with pos. Candidates come in their order, and a batch that is delivered again changes nothing.
+    """
+
+    @_tidy
+    def folded(session: SparkSession, batch: DataFrame, number: int) -> None:
+        store = Store(session, folder)
+        run = store.begin(f"batch-{number}")
+        if run is None:
+            return
+        cases, lost = resolve.merged(state.cut(store.rows("cases", case)), state.cut(batch))
+        run.write(cases, "cases")
+        run.write(lost, "errors")
+        run.commit()
+
+    return lambda batch, number: folded(batch.sparkSession, batch, number)
+
+
 def fetch_step(spark: SparkSession, lists: DataFrame, pages: DataFrame, seen: DataFrame, base: str, out: str) -> None:
     """out/meetings: unseen meetings of landed list pages (committee_slug, html) whose landed page links to approved minutes."""
     left(runs.with_protocols(incremental.unseen(runs.refs(lists, base), seen), pages, base), f"{out}/meetings")
