@@ -59,6 +59,7 @@ def test_chain(spark, tmp_path):
     assert spark.read.text(out.where("hash")).first().value == log["r1"].data_hash
     (tmp_path / "page.html").write_text("<script>/*__CASES__*/</script>")
     assert main(["build", f"{t}/page.html", f"{t}/out", f"{t}/site"]) == 0
+    assert list((tmp_path / "site" / "by-body").glob("body=*/year=*"))
     assert json.loads(spark.read.text(f"{t}/site/api").first().value)[0]["title"] == "bike"
     assert '"title":"bike"' in spark.read.text(f"{t}/site/index.html").first().value
 
