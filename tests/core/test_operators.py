@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from docket import schemas
 from docket.functions.text import normal_space
 from docket.operators import archive, gates, incremental, publish, validate
-from docket.plans import driver
+from docket.plans import driver, oracle
 from docket.sources import landed, providers, state
 from docket.streaming import incremental as streaming
 
@@ -319,3 +319,24 @@ def test_link_decision_grows_with_pages(spark):
     assert {r.page_id: (r.kind, r.case) for r in driver.link_decision(spark, d).collect()} == want
     met = [c for kind, c in want.values() if kind == "paragraph_ref"]
     assert len(set(met)) > 5 and len(met) > 10
+
+
+def _far_orders(spark, path):
+    """Orders at positions up to 400 million, and their lines."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create table orders as select k::bigint o_orderkey, 1::bigint o_custkey, 'F' o_orderstatus, timestamp '1995-01-01' + (k % 3) * interval 1 year o_orderdate, '1-URGENT' o_orderpriority from (values (1), (5), (5000000), (70000000), (400000000)) v(k)")
+    con.execute("create table lineitem as select o_orderkey l_orderkey, n::integer l_linenumber, 7::bigint l_partkey, 'N' l_returnflag, o_orderdate + n * interval 100 day l_shipdate from orders, range(1, 4) r(n)")
+    for t in ("orders", "lineitem"):
+        con.execute(f"copy {t} to '{path}/{t}.parquet' (format parquet)")
+    return con
+
+
+def test_hash_tree_of_far_positions_equals_its_sql(spark, tmp_path):
+    """Beyond 4 million positions the tree has as many levels as the SQL, which is three."""
+    con = _far_orders(spark, tmp_path)
+    want = con.execute("select level, node, hash, n from (" + oracle.ORACLE["hash_tree"] + ")").fetchall()
+    got = driver.hash_tree(spark, str(tmp_path)).select("level", "node", "hash", "n").collect()
+    assert max(r.level for r in got) == 2
+    assert sorted(map(tuple, got)) == sorted(want)
