@@ -340,3 +340,15 @@ def test_hash_tree_of_far_positions_equals_its_sql(spark, tmp_path):
     got = driver.hash_tree(spark, str(tmp_path)).select("level", "node", "hash", "n").collect()
     assert max(r.level for r in got) == 2
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_document_hash_is_the_documents(spark, tmp_path):
+    """The streamed hash is that of the whole document, also where there is no case; the entry holds no list of cases."""
+    con = _far_orders(spark, tmp_path)
+    cases = driver._cases(spark, str(tmp_path), None)
+    for some in (cases, cases.where("false")):
+        want = publish.database_json(some).select(F.sha2("json", 256), "n").first()
+        assert tuple(publish.document_hash(some).first()) == tuple(want)
+    entry = driver.changelog_entry(spark, str(tmp_path))
+    assert tuple(entry.select("run_id", "arende_count", "n_new", "n_updated", "data_hash").first()) == con.execute(oracle.ORACLE["changelog_entry"]).fetchone()
+    assert "collect_list(CASE" not in entry._jdf.queryExecution().optimizedPlan().toString()
