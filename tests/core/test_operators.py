@@ -352,3 +352,20 @@ def test_document_hash_is_the_documents(spark, tmp_path):
     entry = driver.changelog_entry(spark, str(tmp_path))
     assert tuple(entry.select("run_id", "arende_count", "n_new", "n_updated", "data_hash").first()) == con.execute(oracle.ORACLE["changelog_entry"]).fetchone()
     assert "collect_list(CASE" not in entry._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_answers_are_parsed_once_for_all_errors(spark):
+    """Cases and errors are one pass over the answers each, and a mixed answer still gives all of its errors."""
+    raw = '{"arenden": [{"title": "t", "initiativ_typ": "motion", "steps": [{"quote": "q", "date": "2024-01-31"}]}, 5, {"title": 3, "initiativ_typ": "motion"}, {"title": "b", "initiativ_typ": "motion", "steps": [[], {"quote": " ", "date": "2024-01-01"}, {"quote": "q", "date": 1}]}]}'
+    df = spark.createDataFrame([(1, raw), (2, '{"arenden": null}'), (3, "[]"), (4, '{"arenden": []}'), (5, "{")], "k int, raw string")
+    cases, errors = validate.parse_cases(df, ["k"])
+    assert [tuple(r) for r in cases.select("k", "case_pos", "title").collect()] == [(1, 0, "t")]
+    want = [(1, 1, None, "not an object"), (1, 2, None, "no title"), (1, 3, 0, "not an object"), (1, 3, 1, "no quote"), (1, 3, 2, "bad date"), (1, 3, None, "case left out: bad steps"), (2, None, None, "cases are not a list"), (3, None, None, "no cases in the answer"), (5, None, None, "invalid JSON")]
+    assert sorted(map(tuple, errors.collect()), key=str) == sorted(want, key=str)
+    assert errors._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+@pytest.mark.parametrize("query", ["range_diff", "view_search_indexed"])
+def test_cases_are_made_once(spark, query):
+    """What compares or searches cases reads those that the hashes or the index were made of, and doesn't make them again."""
+    assert "l_orderkey" not in getattr(driver, query)(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
