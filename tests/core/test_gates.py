@@ -64,3 +64,31 @@ def test_candidates(spark):
     plan = gates.candidates(p, s, ["doc"])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert gates.candidates(p.limit(0), s, ["doc"]).count() == gates.candidates(p.where(F.trim("quote") == ""), s, ["doc"]).count() == 0
+
+
+def test_texts_are_dealt_out_once(spark):
+    """Texts and quotations go through one shuffle each, by their keys; neither they nor the words' runs are shuffled or sorted again."""
+    sources = spark.range(50).selectExpr("cast(id as int) doc", "concat_ws(' ', transform(sequence(1, 300), i -> concat('w', i * id))) text")
+    quotes = sources.selectExpr("doc", "explode(regexp_extract_all(text, '.{1,90}', 0)) _quote").selectExpr("doc", "trim(_quote) _quote")
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with gates.dealt_alike(spark):
+            found = gates.located(quotes, gates.normalised(sources, ["doc"]), ["doc"])
+            assert found.count() == quotes.distinct().count()
+            plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert shuffles and all("REPARTITION_BY_COL" in line and "_quote" not in line and "h#" not in line for line in shuffles), shuffles
+    assert "SortMergeJoin" not in plan and "Nested" not in plan
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+
+
+def test_repeated_quotations_and_null_keys(spark):
+    """Quotations that are there twice, with other spaces between their words, or without a key, are rows each."""
+    s = spark.createDataFrame([(1, "a b c d e f g"), (None, "a b c d e f g")], "doc int, text string")
+    rows = [(1, "b c d e f"), (1, "b c d e f"), (1, "b  c\td e f"), (1, "b c d X f"), (1, "g"), (1, "g"), (None, "b c d e f"), (1, " "), (1, None)]
+    q = spark.createDataFrame([(i, *r, 5) for i, r in enumerate(rows)], "i int, doc int, quote string, word_limit int")
+    got = [r.reason for r in gates.check(q, s, ["doc"]).orderBy("i").collect()]
+    assert got == ["verified"] * 3 + ["not found"] + ["verified"] * 2 + ["not found", "empty", "empty"]
