@@ -244,7 +244,8 @@ def _rows(kind: int, s: Settings, *parts: np.ndarray) -> np.ndarray:
     for p in parts:
         h = (h * np.uint64(0x9E3779B97F4A7C15)) ^ p.astype(np.uint64)
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return ((h ^ (h >> np.uint64(32))) % np.uint64(s.rows)).astype(np.int32)
+    h ^= h >> np.uint64(32)
+    return (h % np.uint64(s.rows) if s.rows & (s.rows - 1) else h & np.uint64(s.rows - 1)).astype(np.int32)
 
 
 def features(x: np.ndarray, at: Layout, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
@@ -257,8 +258,8 @@ def features(x: np.ndarray, at: Layout, s: Settings) -> tuple[np.ndarray, np.nda
     return own, c, slot, of_class, of_slot
 
 
-def _softmax(table: np.ndarray, rows: list[np.ndarray], always: np.ndarray | None, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log probability of the target). always: a row of every context."""
+def _softmax(table: np.ndarray, rows: list[np.ndarray], always: np.ndarray | None, target: np.ndarray, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(probabilities, or what is in proportion to them if not whole; log probability of the target). always: a row of every context."""
     z = np.take(table, rows[0], axis=0)
     more = np.empty_like(z)
     for r in rows[1:]:
@@ -268,8 +269,9 @@ def _softmax(table: np.ndarray, rows: list[np.ndarray], always: np.ndarray | Non
     np.minimum(z, MOST, out=z)  # far beyond what is learned, but exp must not overflow
     own = z[np.arange(len(z)), target]
     np.exp(z, out=z)
-    total = z.sum(1)
-    z /= total[:, None]
+    total = z @ np.ones(z.shape[1], z.dtype)
+    if whole:
+        z /= total[:, None]
     return z, own - np.log(total)
 
 
@@ -279,22 +281,45 @@ def log_probabilities(x: np.ndarray, w: Weights, at: Layout, s: Settings) -> np.
     out = at.tail[own]
     for i in range(0, len(own), s.batch):
         part = slice(i, i + s.batch)
-        out[part] += _softmax(w.classes, [f[part] for f in of_class], w.classes[s.rows], c[part])[1]
-        out[part] += _softmax(w.slots, [f[part] for f in of_slot], None, slot[part])[1]
+        out[part] += _softmax(w.classes, [f[part] for f in of_class], w.classes[s.rows], c[part], False)[1]
+        out[part] += _softmax(w.slots, [f[part] for f in of_slot], None, slot[part], False)[1]
     return out
 
 
+#: Uses of a row in a batch that are added for all rows together; those of rows that have more are summed row by row.
+TOGETHER = 8
+
+
+def _summed(gradient: np.ndarray, order: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each run of order (starts, size; the longest first) the sum of its rows of gradient."""
+    total = np.take(gradient, order[starts], axis=0)
+    for j in range(1, TOGETHER):
+        n = np.count_nonzero(size > j)
+        if not n:
+            break
+        total[:n] += np.take(gradient, order[starts[:n] + j], axis=0)
+    ones = np.ones(size[0] if len(size) else 0, gradient.dtype)
+    for i in range(np.count_nonzero(size > TOGETHER)):
+        rest = order[starts[i] + TOGETHER : starts[i] + size[i]]
+        total[i] += ones[: len(rest)] @ np.take(gradient, rest, axis=0)
+    return total
+
+
 def _step(table: np.ndarray, energy: np.ndarray, used: np.ndarray, rows: list[np.ndarray], gradient: np.ndarray, s: Settings) -> None:
     """Move the rows against their summed gradients, less the more they have moved already."""
     for r in rows:
         order = np.argsort(r.astype(np.uint16) if len(table) <= 1 << 16 else r, kind="stable")  # 16 bits are sorted by radix
         at = r[order]
         starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        total = np.add.reduceat(gradient[order], starts, axis=0)
+        size = np.diff(np.append(starts, len(at)))
+        longest = np.argsort(-size, kind="stable")
+        starts, size = starts[longest], size[longest]
+        total = _summed(gradient, order, starts, size)
         own = at[starts]
-        used[own] += np.diff(np.append(starts, len(at)))
-        energy[own] += (total * total).sum(1)
-        table[own] -= s.rate * total / np.sqrt(1.0 + energy[own])[:, None]
+        used[own] += size
+        energy[own] += np.einsum("ij,ij->i", total, total)
+        total *= (s.rate / np.sqrt(1.0 + energy[own]))[:, None]
+        table[own] -= total
 
 
 def follow(batches: Iterator[np.ndarray], w: Weights, at: Layout, s: Settings) -> np.ndarray:

@@ -115,3 +115,45 @@ def test_merging_weights_rows_by_their_use():
     part = lambda used, change: np.concatenate([np.full(3, used), np.full(6, change * used), np.ones(3), np.zeros(4), np.zeros(8), np.zeros(4)])
     out = lm.merged(w, part(3.0, 1.0) + part(1.0, 5.0))
     assert np.allclose(out.classes, 2.0) and np.allclose(out.slots, 0) and np.allclose(out.energy[0], 2)
+
+
+def test_a_step_sums_the_gradients_of_each_row():
+    """Rows that are used once, a few times and very often, against one use after the other; two steps, so that energy counts."""
+    rng = np.random.default_rng(1)
+    s = lm.Settings(rows=64, slots=5)
+    r = np.concatenate([np.zeros(500, int), np.repeat(np.arange(1, 20), np.arange(1, 20)), np.arange(20, 60)]).astype(np.int32)
+    rng.shuffle(r)
+    table, energy, used = np.zeros((64, 5), np.float32), np.zeros(64, np.float32), np.zeros(64, np.float32)
+    want, squares = np.zeros((64, 5)), np.zeros(64)
+    for _ in range(2):
+        gradient = rng.normal(size=(len(r), 5)).astype(np.float32)
+        lm._step(table, energy, used, [r], gradient, s)
+        total = np.array([gradient[r == k].sum(0, dtype=float) for k in range(64)])
+        squares += (total * total).sum(1)
+        want -= s.rate * total / np.sqrt(1 + squares)[:, None]
+    assert np.allclose(table, want, atol=1e-4) and np.allclose(energy, squares, rtol=1e-4) and (used == 2 * np.bincount(r, minlength=64)).all()
+
+
+def test_rows_of_features_fit_any_number_of_rows():
+    x = np.arange(1000)
+    odd, even = (lm._rows(3, lm.Settings(rows=n), x, x + 1) for n in (1000, 1024))
+    assert len(np.unique(odd)) > 500 and len(np.unique(even)) > 500 and odd.max() < 1000 and even.max() < 1024 and min(odd.min(), even.min()) >= 0
+
+
+def test_a_step_sums_without_a_call_for_each_row_and_column(monkeypatch):
+    """A batch's steps over many rows that are used once or twice: reduceat, which took most of the training, isn't called."""
+
+    class Add:
+        def __getattr__(self, name):
+            assert name != "reduceat"
+            return getattr(np.add, name)
+
+    class Numpy:
+        add = Add()
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+    monkeypatch.setattr(lm, "np", Numpy())
+    r = np.repeat(np.arange(3000, dtype=np.int32), 2)
+    lm._step(np.zeros((4096, 8), np.float32), np.zeros(4096, np.float32), np.zeros(4096, np.float32), [r], np.ones((6000, 8), np.float32), lm.Settings())
